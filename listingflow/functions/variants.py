@@ -7,13 +7,11 @@ true: not null, not zero, not an empty text, list or object.
 
 from __future__ import annotations
 
+from typing import NamedTuple
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# JSON texts of the values that count as empty. Zero is normalised by the
-# variant encoding, so three spellings cover every number equal to zero.
-EMPTY_JSON = ["null", '""', "false", "[]", "{}", "0", "0.0", "-0.0"]
-
 # Fixed patterns: the number texts accepted in payloads. Digits may be grouped
 # by single underscores; the words for infinity and not-a-number are numbers.
 DIGITS = r"\d(?:_?\d)*"
@@ -22,79 +20,138 @@ FLOAT_TEXT = (
     r"|inf|infinity|nan)\s*$"
 )
 INT_TEXT = rf"(?U)^\s*[+-]?{DIGITS}\s*$"
+# The usual texts, tested first: they need no cleaning.
+PLAIN_NUMBER = r"^-?[0-9]+(?:\.[0-9]+)?$"
+PLAIN_DIGITS = r"^-?[0-9]+$"
+# What a number, boolean, list or object (or a null in a list, marked NULL_MARK)
+# looks like as text. A text that looks like none of them was one in the payload.
+NULL_MARK = "\x00"
+TYPED = r"(?:-?[0-9]|-?Infinity|NaN|true|false|[\[{\x00])"
 
+MAYBE_EMPTY = r"^(?:-?0+(?:\.0+)?(?:[eE].*)?|false|\[\]|\{\})$"
+TYPED_IN_LINE = rf"\|{TYPED}"
 
-def get(value: Column, path: str, as_type: str = "variant") -> Column:
-    return F.try_variant_get(value, path, as_type)
+STRINGS = "ARRAY<STRING>"
 
 
-def fields(value: Column, **types: str) -> Column:
-    """Several fields of an object in one pass; NULL if `value` is no object."""
-    listed = ", ".join(f"`{name}`: {kind}" for name, kind in types.items())
-    return get(value, "$", f"struct<{listed}>")
+def get(value: Column, path: str, as_type: str = "variant") -> Column:
+    return F.try_variant_get(value, path, as_type)
 
 
-def variants(*names: str) -> dict[str, str]:
-    return dict.fromkeys(names, "variant")
+def struct(**types: str) -> str:
+    """Type text of a struct, for reading JSON."""
+    return "struct<" + ", ".join(f"`{name}`: {kind}" for name, kind in types.items()) + ">"
 
 
 def texts(*names: str) -> dict[str, str]:
     return dict.fromkeys(names, "string")
 
 
-def truthy(value: Column) -> Column:
-    return F.coalesce(~F.to_json(value).isin(EMPTY_JSON), F.lit(False))
-
-
-def is_text(value: Column) -> Column:
-    return F.coalesce(F.to_json(value).startswith('"'), F.lit(False))
-
-
-def is_array(value: Column) -> Column:
-    return F.coalesce(F.to_json(value).startswith("["), F.lit(False))
+def kind(value: Column) -> Column:
+    """Type of a value: STRING, BOOLEAN, VOID (null), ARRAY<...>, OBJECT<...>, a number type."""
+    return F.schema_of_variant(value)
 
 
-def first(value: Column) -> Column:
-    """Element 0 of a JSON array, else NULL."""
-    return get(value, "$[0]")
+def truthy(value: Column) -> Column:
+    of = kind(value)
+    number = get(value, "$", "double") != 0
+    given = (
+        F.when(of == "STRING", get(value, "$", "string") != "")
+        .when(of == "BOOLEAN", get(value, "$", "boolean"))
+        .when(of.isin("VOID", "OBJECT<>"), False)
+        .when(of == "ARRAY<VOID>", get(value, "$[0]").isNotNull())
+        .when(of.startswith("ARRAY") | of.startswith("OBJECT"), True)
+        .otherwise(number)
+    )
+    return F.coalesce(given, F.lit(False))
 
 
 def float_text(text: Column) -> Column:
     """A text as double under the payload's number grammar, else NULL."""
     plain = F.regexp_replace(text, r"(?U)[_\s]", "")
-    return F.when(text.rlike(FLOAT_TEXT), plain.try_cast("double"))
+    return F.when(text.rlike(PLAIN_NUMBER), text.try_cast("double")).when(
+        text.rlike(FLOAT_TEXT), plain.try_cast("double")
+    )
 
 
 def int_text(text: Column) -> Column:
     plain = F.regexp_replace(text, r"(?U)[_\s]", "")
-    return F.when(text.rlike(INT_TEXT), plain.try_cast("bigint"))
+    return F.when(text.rlike(PLAIN_DIGITS), text.try_cast("bigint")).when(
+        text.rlike(INT_TEXT), plain.try_cast("bigint")
+    )
+
+
+class Leaf(NamedTuple):
+    """A scalar of the payload: as text, and as the VARIANT it was.
+
+    Nearly every decision can be made on the text, which is read for all fields
+    of an item at once. `value` parses the item again, so it stands only in
+    branches for the rest, where the type matters: is a `0` a number or a text?
+    It must not stand in a condition, not even behind an `&`: Spark may evaluate
+    a common part of conditions ahead of them.
+    """
+
+    text: Column
+    value: Column
+
+
+def is_text(scalar: Leaf) -> Column:
+    typed = scalar.text.rlike("^" + TYPED)
+    return F.when(~typed, True).when(typed, kind(scalar.value) == "STRING").otherwise(False)
 
 
-def to_double(value: Column) -> Column:
+def given(scalar: Leaf) -> Column:
+    """`truthy` of a scalar. Only a few texts count as empty if they were no text."""
+    return (
+        F.when(scalar.text.isNull(), False)
+        .when(scalar.text.rlike(MAYBE_EMPTY), truthy(scalar.value))
+        .otherwise(scalar.text != "")
+    )
+
+
+def to_double(scalar: Leaf) -> Column:
     """Number, numeric text or boolean as double; NULL if it is none of these."""
-    return F.when(is_text(value), float_text(get(value, "$", "string"))).otherwise(
-        get(value, "$", "double")
+    return (
+        F.when(scalar.text.rlike(PLAIN_NUMBER), scalar.text.try_cast("double"))
+        .when(scalar.text.isNull(), None)
+        .when(kind(scalar.value) == "STRING", float_text(scalar.text))
+        .otherwise(get(scalar.value, "$", "double"))
     )
 
 
-def to_int(value: Column) -> Column:
+def given_double(scalar: Leaf) -> Column:
+    """`to_double` of a scalar that is given, so not of a zero that is a number."""
+    plain = F.when(scalar.text.rlike(PLAIN_NUMBER), scalar.text.try_cast("double"))
+    return F.when(plain != 0, plain).when(given(scalar), to_double(scalar))
+
+
+def to_int(scalar: Leaf) -> Column:
     """As `to_double`, to whole numbers: a number is cut, a text must be whole."""
-    return F.when(is_text(value), int_text(get(value, "$", "string"))).otherwise(
-        get(value, "$", "bigint")
+    return (
+        F.when(scalar.text.rlike(PLAIN_DIGITS), scalar.text.try_cast("bigint"))
+        .when(scalar.text.isNull(), None)
+        .when(kind(scalar.value) == "STRING", int_text(scalar.text))
+        .otherwise(get(scalar.value, "$", "bigint"))
     )
 
 
-def to_text(value: Column) -> Column:
+def to_text(scalar: Leaf) -> Column:
     """A scalar as text; booleans are capitalised, lists and objects stay JSON."""
-    text = get(value, "$", "string")
-    is_bool = F.to_json(value).isin("true", "false")
-    return F.when(is_bool, F.initcap(text)).otherwise(text)
+    as_bool = F.when(kind(scalar.value) == "BOOLEAN", F.initcap(scalar.text)).otherwise(scalar.text)
+    return F.when(scalar.text.isin("true", "false"), as_bool).otherwise(scalar.text)
+
+
+def maybe_typed(line: Column) -> Column:
+    """True if a part of a `|`-joined line may have been something else than a text."""
+    return F.concat(F.lit("|"), line).rlike(TYPED_IN_LINE)
 
 
-def strings(value: Column) -> Column:
-    """A JSON array of texts as array<string>; NULL if anything else is in it."""
-    items = get(value, "$", "array<string>")
-    only_text = (F.schema_of_variant(value) == "ARRAY<STRING>") & ~F.exists(
-        items, lambda item: item.isNull()
+def joined(items: Column, value: Column) -> Column:
+    """A JSON array of texts joined by `|`; NULL if it is empty or holds anything else."""
+    line = F.array_join(items, "|", NULL_MARK)
+    only_text = (kind(value) == STRINGS) & ~F.exists(items, lambda item: item.isNull())
+    return (
+        F.when(items.isNull() | (F.size(items) == 0), None)
+        .when(~maybe_typed(line), line)
+        .when(only_text, line)
     )
-    return F.when(only_text, items)

@@ -1,10 +1,14 @@
-"""Listing items (VARIANT) to rows of the listings table.
+"""Listing items (JSON text) to rows of the listings table.
 
-The projection runs in stages, so that every nested object is opened once: item
--> listing -> its parts -> columns. An item the payload rules refuse gets an
-`outcome`: `reject:<field>` is one bad item, `fatal:<field>` is a broken shape
-that ends the walk it came from (see `stop_at_fatal`). Checks are listed in the
-order in which fields are read; the first one that fails names the outcome.
+Each item is read once, with a schema of texts. Most decisions can be made on
+those; the few that need the JSON type of a value (was a `0` a number or a text,
+was a field null or missing?) parse the item again as VARIANT, in branches that
+ordinary items do not enter (see `Leaf`).
+
+An item the payload rules refuse gets an `outcome`: `reject:<field>` is one bad
+item, `fatal:<field>` is a broken shape that ends the walk it came from (see
+`stop_at_fatal`). Checks are listed in the order in which fields are read; the
+first one that fails names the outcome.
 """
 
 from __future__ import annotations
@@ -15,255 +19,341 @@ from pyspark.sql import functions as F
 from listingflow.dims import UNIT_TYPES
 from listingflow.functions.text import round2
 from listingflow.functions.variants import (
-    fields, first, get, is_array, is_text, strings, texts, to_double, to_int, to_text, truthy, variants,
+    Leaf, get, given, given_double, is_text, joined, kind, maybe_typed, struct, texts, to_double,
+    to_int, to_text, truthy,
 )
-from listingflow.schema import LISTINGS
-
-DOUBLE, INT, TEXT = "double", "int", "text"
-
-# Field groups of the payload. Texts pass unchanged; the others are checked.
-ITEM = variants("listing", "medias", "account", "advertiser")
-LISTING = {
-    **texts("title", "description", "createdAt", "updatedAt"),
-    **variants(
-        "id", "status", "acceptExchange", "link", "address", "pricingInfos", "advertiserContact",
-        "usableAreas", "totalAreas", "bedrooms", "suites", "bathrooms", "parkingSpaces", "floors",
-        "unitFloor", "unitTypes", "usageTypes", "amenities", "complexAmenities",
-        "condominiumAmenities", "stamps",
-    ),
-}
-ADDRESS = {
+
+# Schema of an item. Spark fills CORRUPT if any value has another shape.
+CORRUPT = "_corrupt"
+READ_OPTIONS = {"columnNameOfCorruptRecord": CORRUPT}
+LISTS = [
+    "usableAreas", "totalAreas", "bedrooms", "suites", "bathrooms", "parkingSpaces", "floors",
+    "unitFloor", "unitTypes", "usageTypes", "amenities", "complexAmenities",
+    "condominiumAmenities", "stamps", "pricingInfos",
+]
+ADDRESS = struct(
     **texts("street", "neighborhood", "city", "stateAcronym", "zipCode", "zone"),
-    **variants("point"),
-}
-PRICING = {
-    **texts("iptuPeriod"),
-    **variants(
-        "businessType", "price", "rentalTotalPrice", "monthlyCondoFee", "yearlyIptu", "rentalInfo"
-    ),
-}
-RENTAL = variants("warranties", "monthlyRentalTotalPrice")
-PERSON = variants("name", "phones")
-
-# Parsed columns that come from element 0 of a payload list.
-FIRST_ELEMENTS = {
-    "quartos": "bedrooms",
-    "suites": "suites",
-    "banheiros": "bathrooms",
-    "vagas": "parkingSpaces",
-    "andar": "floors",
-    "total_andares": "unitFloor",
-}
+    point=struct(**texts("lat", "lon")),
+)
+LISTING = struct(
+    **texts("id", "title", "description", "createdAt", "updatedAt", "status"),
+    acceptExchange="boolean",
+    **dict.fromkeys(LISTS, "array<string>"),
+    link=struct(**texts("href")),
+    address=ADDRESS,
+    advertiserContact=struct(**texts("name", "phones")),
+)
+ITEM = struct(
+    listing=LISTING,
+    medias="array<struct<url: string>>",
+    account=struct(**texts("name")),
+    advertiser=struct(**texts("name")),
+    **texts(CORRUPT),
+)
+PRICING = struct(
+    **texts("iptuPeriod", "businessType", "price", "rentalTotalPrice", "monthlyCondoFee", "yearlyIptu"),
+    rentalInfo=struct(warranties="array<string>", **texts("monthlyRentalTotalPrice")),
+    **texts(CORRUPT),
+)
+
+# Columns that come from element 0 of a payload list.
+ROOMS = {"quartos": "bedrooms", "suites": "suites", "banheiros": "bathrooms", "vagas": "parkingSpaces"}
+FLOORS = {"andar": "floors", "total_andares": "unitFloor"}
 
 OUTCOME = "outcome"
 
 
-def _checks(*checks: tuple[str, Column]) -> Column:
-    return F.coalesce(*(F.when(failed, F.lit(name)) for name, failed in checks))
+def _unless(settled: Column, otherwise: Column) -> Column:
+    """False where `settled`; the costly look at a value is left to the rest."""
+    return F.when(settled, False).otherwise(F.coalesce(otherwise, F.lit(False)))
 
 
-def _broken(value: Column, opened: Column) -> Column:
-    """Present but not an object: the field cannot be looked into."""
-    return value.isNotNull() & opened.isNull()
+class _Reader:
+    """Columns and checks over one opened item (`_item`) and its first price (`_price`)."""
 
+    def __init__(self, item: str, base_url: str) -> None:
+        self.item = F.col(item)
+        self.base_url = base_url
+        self.exact = F.try_parse_json(self.item)
+        self.clean = F.col(f"_item.{CORRUPT}").isNull()
+        self.price_text = F.get(F.col("_item.listing.pricingInfos"), F.lit(0))
+        self.exact_price = F.try_parse_json(self.price_text)
+        self.clean_price = F.col(f"_price.{CORRUPT}").isNull()
 
-def _unreadable(value: Column, read: Column) -> Column:
-    """Counts as given, yet could not be converted."""
-    return truthy(value) & read.isNull()
+    # --- access ---
 
+    def leaf(self, path: str) -> Leaf:
+        return Leaf(F.col(f"_item.{path}"), get(self.exact, f"$.{path}"))
 
-def _no_list(value: Column) -> Column:
-    """Counts as given, yet is no list. Texts are refused too, not indexed."""
-    return truthy(value) & ~is_array(value)
+    def head(self, name: str) -> Leaf:
+        items = F.col(f"_item.listing.{name}")
+        return Leaf(F.get(items, F.lit(0)), get(self.exact, f"$.listing.{name}[0]"))
 
+    def price(self, path: str) -> Leaf:
+        return Leaf(F.col(f"_price.{path}"), get(self.exact_price, f"$.{path}"))
 
-def _joined(value: Column) -> Column:
-    return F.when(truthy(value), F.array_join(strings(value), "|"))
+    def list(self, name: str) -> tuple[Column, Column]:
+        return F.col(f"_item.listing.{name}"), get(self.exact, f"$.listing.{name}")
 
+    def either(self, first_choice: Leaf, second: Leaf) -> Leaf:
+        use = given(first_choice)
+        return Leaf(
+            F.when(use, first_choice.text).otherwise(second.text),
+            F.when(use, first_choice.value).otherwise(second.value),
+        )
 
-def _given(value: Column, read: Column) -> Column:
-    return F.when(truthy(value), read)
+    # --- what several columns or checks look at ---
+
+    def numbers(self) -> dict[str, Leaf]:
+        rent = self.price("rentalTotalPrice")
+        return {
+            "preco": self.either(self.price("price"), rent),
+            "preco_condominio": self.price("monthlyCondoFee"),
+            "iptu": self.price("yearlyIptu"),
+            "area_construida": self.head("usableAreas"),
+            "area_terreno": self.head("totalAreas"),
+            "aluguel_total": self.either(rent, self.price("rentalInfo.monthlyRentalTotalPrice")),
+        }
+
+    def lists(self) -> dict[str, tuple[Column, Column]]:
+        """List columns as (items, value)."""
+        chosen, value = self.list("complexAmenities")
+        other, other_value = self.list("condominiumAmenities")
+        # A value that is no list still wins over the other field, and is refused.
+        use = F.when(chosen.isNotNull(), F.size(chosen) > 0).otherwise(
+            F.when(self.clean, False).otherwise(truthy(value))
+        )
+        warranties = "rentalInfo.warranties"
+        return {
+            "amenities": self.list("amenities"),
+            "complex_amenities": (
+                F.when(use, chosen).otherwise(other),
+                F.when(use, value).otherwise(other_value),
+            ),
+            "usage_types": self.list("usageTypes"),
+            "stamps": self.list("stamps"),
+            "garantias_aluguel": (
+                F.col(f"_price.{warranties}"), get(self.exact_price, f"$.{warranties}"),
+            ),
+        }
 
+    def media_urls(self) -> Column:
+        """Photo addresses with their JSON types, for the rare list that needs them."""
+        return get(self.exact, "$.medias", "array<struct<url: variant>>")["url"]
 
-def open_items(df: DataFrame, item: str = "item") -> DataFrame:
-    """Open the nested objects of each item into the struct columns `_*`."""
-    return (
-        df.withColumn("_item", fields(F.col(item), **ITEM))
-        .withColumn("_listing", fields(F.col("_item.listing"), **LISTING))
-        .withColumn("_medias", get(F.col("_item.medias"), "$", "array<struct<url: variant>>"))
-        .withColumns(
-            {
-                "_address": fields(F.col("_listing.address"), **ADDRESS),
-                "_link": fields(F.col("_listing.link"), href="variant"),
-                "_contact": fields(F.col("_listing.advertiserContact"), **PERSON),
-                "_first_price": first(F.col("_listing.pricingInfos")),
-                "_photos": F.filter(F.col("_medias.url"), truthy),
-                "_advertiser_given": F.when(truthy(F.col("_item.account")), F.col("_item.account")).otherwise(
-                    F.col("_item.advertiser")
-                ),
-                "_unit_type": first(F.col("_listing.unitTypes")),
-                "_usable": first(F.col("_listing.usableAreas")),
-                "_total": first(F.col("_listing.totalAreas")),
-                "_complex": F.when(
-                    truthy(F.col("_listing.complexAmenities")), F.col("_listing.complexAmenities")
-                ).otherwise(F.col("_listing.condominiumAmenities")),
-            }
+    def person(self) -> Column:
+        """True where the account is given, so that it is taken for the advertiser."""
+        return F.when(F.col("_item.account.name").isNotNull(), True).otherwise(
+            self.item.contains('"account"') & truthy(get(self.exact, "$.account"))
         )
-        .withColumns(
-            {
-                "_price": fields(F.col("_first_price"), **PRICING),
-                "_point": fields(F.col("_address.point"), lat="variant", lon="variant"),
-                "_advertiser": fields(F.col("_advertiser_given"), **PERSON),
-            }
+
+    # --- columns ---
+
+    def checked_columns(self) -> dict[str, Column]:
+        """Columns that a check looks at too; they are read once, before both."""
+        whole = {c: to_int(self.head(name)) for c, name in {**ROOMS, **FLOORS}.items()}
+        numbers = {c: given_double(scalar) for c, scalar in self.numbers().items()}
+        return {**numbers, **whole, **{c: joined(*pair) for c, pair in self.lists().items()}}
+
+    def columns(self) -> dict[str, Column]:
+        """The other parsed columns."""
+        c = F.col
+        listing_id = self.leaf("listing.id")
+        null_id = self.item.contains('"id":') & F.is_variant_null(listing_id.value)
+        id_in_url = F.coalesce(to_text(listing_id), F.when(null_id, "None"), F.lit(""))
+        href = self.leaf("listing.link.href")
+        unit_type = self.head("unitTypes")
+        unit_name = F.when(given(unit_type), unit_type.text)
+        known_types = F.create_map(*(F.lit(x) for pair in UNIT_TYPES.items() for x in pair))
+        business = F.coalesce(c("_price.businessType"), F.lit("SALE"))
+        sold = F.replace(business, F.lit("SALE"), F.lit("venda"))
+        photos = F.array_join(F.array_remove("_item.medias.url", ""), "|")
+        odd_photos = F.transform(
+            F.filter(self.media_urls(), truthy), lambda url: get(url, "$", "string")
         )
-        .withColumns(
-            {
-                "_rental": fields(F.col("_price.rentalInfo"), **RENTAL),
-                "_asked": F.when(truthy(F.col("_price.price")), F.col("_price.price")).otherwise(
-                    F.col("_price.rentalTotalPrice")
-                ),
-            }
+        account, advertiser = self.leaf("account.name"), self.leaf("advertiser.name")
+        contact = self.leaf("listing.advertiserContact.name")
+        phones = self.leaf("listing.advertiserContact.phones")
+        exchange = c("_item.listing.acceptExchange")
+        return {
+            "url": F.when(given(href), F.concat(F.lit(self.base_url), to_text(href))).otherwise(
+                F.concat(F.lit(f"{self.base_url}/imovel/"), id_in_url)
+            ),
+            "titulo": c("_item.listing.title"),
+            "descricao": c("_item.listing.description"),
+            "tipo": F.coalesce(
+                F.try_element_at(known_types, F.upper(unit_name)), F.lower(unit_name)
+            ),
+            "property_sub_type": to_text(unit_type),
+            "finalidade": F.replace(sold, F.lit("RENTAL"), F.lit("aluguel")),
+            "contract_type": c("_price.businessType"),
+            "rua": c("_item.listing.address.street"),
+            "bairro": c("_item.listing.address.neighborhood"),
+            "cidade": c("_item.listing.address.city"),
+            "estado": c("_item.listing.address.stateAcronym"),
+            "cep": c("_item.listing.address.zipCode"),
+            "zona": c("_item.listing.address.zone"),
+            "latitude": to_double(self.leaf("listing.address.point.lat")),
+            "longitude": to_double(self.leaf("listing.address.point.lon")),
+            "fotos_urls": F.nullif(
+                F.when(maybe_typed(photos), F.array_join(odd_photos, "|")).otherwise(photos),
+                F.lit(""),
+            ),
+            "image_count": F.when(c("_item.medias").isNotNull(), F.size("_item.medias"))
+            .otherwise(0)
+            .cast("bigint"),
+            "data_publicacao": c("_item.listing.createdAt"),
+            "data_ultima_atualizacao": c("_item.listing.updatedAt"),
+            "aceita_permuta": F.when(exchange.isNotNull(), F.initcap(exchange.cast("string"))).when(
+                ~self.clean, get(self.exact, "$.listing.acceptExchange", "string")
+            ),
+            "status_anuncio": to_text(self.leaf("listing.status")),
+            "listing_id": to_text(listing_id),
+            "anunciante_nome": F.when(self.person() & given(account), to_text(account))
+            .when(~self.person() & given(advertiser), to_text(advertiser))
+            .otherwise(to_text(contact)),
+            "anunciante_telefone": F.when(given(phones), phones.text),
+            "periodo_iptu": c("_price.iptuPeriod"),
+            "raw_json": self.item,
+        }
+
+    # --- checks ---
+
+    def _broken(self, path: str) -> Column:
+        """Present but not an object: the field cannot be looked into."""
+        name = path.rsplit(".", 1)[-1]
+        settled = F.col(f"_item.{path}").isNotNull() | ~self.item.contains(f'"{name}"')
+        return _unless(settled, get(self.exact, f"$.{path}").isNotNull())
+
+    def _no_list(self, name: str) -> Column:
+        """Counts as given, yet is no list. Texts are refused too, not indexed."""
+        items, value = self.list(name)
+        return _unless(items.isNotNull() | self.clean, truthy(value))
+
+    def checks(self) -> list[tuple[str, Column]]:
+        c = F.col
+        numbers, lists = self.numbers(), self.lists()
+        medias = get(self.exact, "$.medias")
+        holds_names = F.coalesce(
+            (kind(medias) == "STRING") | kind(medias).startswith("OBJECT"), F.lit(False)
         )
-        .withColumn(
-            "_rent",
-            F.when(
-                truthy(F.col("_price.rentalTotalPrice")), F.col("_price.rentalTotalPrice")
-            ).otherwise(F.col("_rental.monthlyRentalTotalPrice")),
+        photos = F.array_join(F.array_remove("_item.medias.url", ""), "|")
+        unit_type, business = self.head("unitTypes"), self.price("businessType")
+        no_business = F.when(
+            business.text.isNull(),
+            self.price_text.contains('"businessType"') & business.value.isNotNull(),
+        ).otherwise(~is_text(business))
+        rental = get(self.exact_price, "$.rentalInfo")
+        advertiser = F.when(self.person(), self._broken("account")).otherwise(
+            self._broken("advertiser")
         )
-    )
 
-
-def _read_columns(item: str, base_url: str) -> dict[str, Column]:
-    """Every parsed column over the opened structs, NULL where unreadable."""
-    c = F.col
-    listing_id = F.when(F.is_variant_null(c("_listing.id")), "None").otherwise(
-        F.coalesce(to_text(c("_listing.id")), F.lit(""))
-    )
-    href = c("_link.href")
-    sale = F.coalesce(get(c("_price.businessType"), "$", "string"), F.lit("SALE"))
-    unit_type = _given(c("_unit_type"), get(c("_unit_type"), "$", "string"))
-    known_types = F.create_map(*(F.lit(x) for pair in UNIT_TYPES.items() for x in pair))
-    advertiser, contact = c("_advertiser.name"), c("_contact.name")
-    columns = {
-        "url": F.when(truthy(href), F.concat(F.lit(base_url), to_text(href))).otherwise(
-            F.concat(F.lit(f"{base_url}/imovel/"), listing_id)
-        ),
-        "titulo": c("_listing.title"),
-        "descricao": c("_listing.description"),
-        "tipo": F.coalesce(F.try_element_at(known_types, F.upper(unit_type)), F.lower(unit_type)),
-        "property_sub_type": to_text(c("_unit_type")),
-        "finalidade": F.replace(
-            F.replace(sale, F.lit("SALE"), F.lit("venda")), F.lit("RENTAL"), F.lit("aluguel")
-        ),
-        "contract_type": get(c("_price.businessType"), "$", "string"),
-        "preco": _given(c("_asked"), to_double(c("_asked"))),
-        "preco_condominio": _given(c("_price.monthlyCondoFee"), to_double(c("_price.monthlyCondoFee"))),
-        "iptu": _given(c("_price.yearlyIptu"), to_double(c("_price.yearlyIptu"))),
-        "area_construida": _given(c("_usable"), to_double(c("_usable"))),
-        "area_terreno": _given(c("_total"), to_double(c("_total"))),
-        "rua": c("_address.street"),
-        "bairro": c("_address.neighborhood"),
-        "cidade": c("_address.city"),
-        "estado": c("_address.stateAcronym"),
-        "cep": c("_address.zipCode"),
-        "zona": c("_address.zone"),
-        "latitude": to_double(c("_point.lat")),
-        "longitude": to_double(c("_point.lon")),
-        "fotos_urls": F.when(
-            F.size("_photos") > 0,
-            F.array_join(F.transform("_photos", lambda url: get(url, "$", "string")), "|"),
-        ),
-        "image_count": F.when(c("_medias").isNotNull(), F.size("_medias")).otherwise(0).cast("bigint"),
-        "data_publicacao": c("_listing.createdAt"),
-        "data_ultima_atualizacao": c("_listing.updatedAt"),
-        "amenities": _joined(c("_listing.amenities")),
-        "complex_amenities": _joined(c("_complex")),
-        "usage_types": _joined(c("_listing.usageTypes")),
-        "stamps": _joined(c("_listing.stamps")),
-        "garantias_aluguel": _joined(c("_rental.warranties")),
-        "aceita_permuta": to_text(c("_listing.acceptExchange")),
-        "status_anuncio": to_text(c("_listing.status")),
-        "listing_id": to_text(c("_listing.id")),
-        "anunciante_nome": F.when(truthy(advertiser), to_text(advertiser)).otherwise(to_text(contact)),
-        "anunciante_telefone": _given(c("_contact.phones"), F.to_json(c("_contact.phones"))),
-        "periodo_iptu": c("_price.iptuPeriod"),
-        "aluguel_total": _given(c("_rent"), to_double(c("_rent"))),
-        "raw_json": F.to_json(c(item)),
-    }
-    for name, source in FIRST_ELEMENTS.items():
-        value = c(f"_listing.{source}")
-        columns[name] = _given(value, to_int(first(value)))
-    return columns
-
-
-def _outcome(item: str) -> Column:
-    """The first failing check in reading order, NULL for a good item."""
-    c = F.col
-    medias = c("_item.medias")
-    medias_json = F.to_json(medias)
-    price = c("_price.price")
-    no_elements = medias_json.isin('""', "{}")
-
-    def unjoinable(value: Column) -> Column:
-        return truthy(value) & strings(value).isNull()
-
-    def uncounted(source: str) -> tuple[str, Column]:
-        value = c(f"_listing.{source}")
-        return f"reject:{source}", truthy(value) & to_int(first(value)).isNull()
-
-    counts = [uncounted(s) for s in ("bedrooms", "suites", "bathrooms", "parkingSpaces")]
-    floors = [uncounted(s) for s in ("floors", "unitFloor")]
-    business = c("_price.businessType")
-    return _checks(
-        ("fatal:item", c("_item").isNull()),
-        ("fatal:listing", _broken(c("_item.listing"), c("_listing"))),
-        ("reject:pricingInfos", _no_list(c("_listing.pricingInfos"))),
-        (
-            "fatal:medias",
-            F.when(c("_medias").isNotNull(), F.exists("_medias", lambda m: m.isNull())).otherwise(
-                (medias_json.startswith('"') | medias_json.startswith("{")) & ~no_elements
+        def no_number(column: str, field: str) -> tuple[str, Column]:
+            scalar = numbers[column]
+            settled = scalar.text.isNull() | c(column).isNotNull()
+            return f"reject:{field}", _unless(settled, given(scalar))
+
+        def no_line(column: str, field: str) -> tuple[str, Column]:
+            items, value = lists[column]
+            settled = c(column).isNotNull() | (F.size(items) == 0)
+            settled = settled | (items.isNull() & self.clean & self.clean_price)
+            return f"reject:{field}", _unless(F.coalesce(settled, F.lit(False)), truthy(value))
+
+        def no_whole(column: str, field: str) -> tuple[str, Column]:
+            items, value = self.list(field)
+            settled = c(column).isNotNull() | (F.size(items) == 0) | (items.isNull() & self.clean)
+            return f"reject:{field}", _unless(F.coalesce(settled, F.lit(False)), truthy(value))
+
+        return [
+            ("reject:json", _unless(self.clean, self.exact.isNull())),
+            ("fatal:item", ~F.coalesce(F.ltrim(self.item).startswith("{"), F.lit(False))),
+            ("fatal:listing", self._broken("listing")),
+            ("reject:pricingInfos", self._no_list("pricingInfos")),
+            (
+                "fatal:medias",
+                F.when(
+                    c("_item.medias").isNotNull(), F.exists("_item.medias", lambda m: m.isNull())
+                ).otherwise(
+                    _unless(
+                        self.clean,
+                        (holds_names & truthy(medias)) | (kind(medias).startswith("ARRAY")),
+                    )
+                ),
             ),
-        ),
-        (
-            "reject:medias",
-            F.when(c("_medias").isNotNull(), F.exists("_photos", lambda u: ~is_text(u))).otherwise(
-                medias.isNotNull() & ~no_elements
+            (
+                "reject:medias",
+                F.when(
+                    c("_item.medias").isNotNull(),
+                    maybe_typed(photos)
+                    & F.exists(
+                        self.media_urls(), lambda url: (kind(url) != "STRING") & truthy(url)
+                    ),
+                ).otherwise(
+                    _unless(
+                        ~self.item.contains('"medias"'), medias.isNotNull() & ~holds_names
+                    )
+                ),
             ),
-        ),
-        ("fatal:pricingInfos", _broken(c("_first_price"), c("_price"))),
-        ("fatal:link", _broken(c("_listing.link"), c("_link"))),
-        ("fatal:address", _broken(c("_listing.address"), c("_address"))),
-        ("reject:amenities", unjoinable(c("_listing.amenities"))),
-        ("reject:complexAmenities", unjoinable(c("_complex"))),
-        ("reject:usableAreas", _no_list(c("_listing.usableAreas"))),
-        ("reject:usableAreas", _unreadable(c("_usable"), to_double(c("_usable")))),
-        ("reject:price", _unreadable(c("_asked"), to_double(c("_asked")))),
-        ("fatal:rentalInfo", _broken(c("_price.rentalInfo"), c("_rental"))),
-        ("reject:stamps", unjoinable(c("_listing.stamps"))),
-        ("reject:unitTypes", _no_list(c("_listing.unitTypes"))),
-        ("fatal:unitTypes", truthy(c("_unit_type")) & ~is_text(c("_unit_type"))),
-        ("fatal:businessType", business.isNotNull() & ~is_text(business)),
-        ("reject:monthlyCondoFee", _unreadable(c("_price.monthlyCondoFee"), to_double(c("_price.monthlyCondoFee")))),
-        ("reject:yearlyIptu", _unreadable(c("_price.yearlyIptu"), to_double(c("_price.yearlyIptu")))),
-        ("reject:totalAreas", _no_list(c("_listing.totalAreas"))),
-        ("reject:totalAreas", _unreadable(c("_total"), to_double(c("_total")))),
-        *counts,
-        ("fatal:point", _broken(c("_address.point"), c("_point"))),
-        ("reject:usageTypes", unjoinable(c("_listing.usageTypes"))),
-        *floors,
-        ("fatal:advertiser", _broken(c("_advertiser_given"), c("_advertiser"))),
-        ("fatal:advertiserContact", _broken(c("_listing.advertiserContact"), c("_contact"))),
-        ("reject:warranties", unjoinable(c("_rental.warranties"))),
-        ("reject:rentalTotalPrice", _unreadable(c("_rent"), to_double(c("_rent")))),
-    )
+            (
+                "fatal:pricingInfos",
+                (F.size("_item.listing.pricingInfos") > 0)
+                & ~F.coalesce(self.price_text.startswith("{"), F.lit(False)),
+            ),
+            ("fatal:link", self._broken("listing.link")),
+            ("fatal:address", self._broken("listing.address")),
+            no_line("amenities", "amenities"),
+            no_line("complex_amenities", "complexAmenities"),
+            ("reject:usableAreas", self._no_list("usableAreas")),
+            no_number("area_construida", "usableAreas"),
+            no_number("preco", "price"),
+            (
+                "fatal:rentalInfo",
+                _unless(
+                    c("_price.rentalInfo").isNotNull() | ~self.price_text.contains('"rentalInfo"'),
+                    rental.isNotNull(),
+                ),
+            ),
+            no_line("stamps", "stamps"),
+            ("reject:unitTypes", self._no_list("unitTypes")),
+            ("fatal:unitTypes", given(unit_type) & ~is_text(unit_type)),
+            ("fatal:businessType", no_business),
+            no_number("preco_condominio", "monthlyCondoFee"),
+            no_number("iptu", "yearlyIptu"),
+            ("reject:totalAreas", self._no_list("totalAreas")),
+            no_number("area_terreno", "totalAreas"),
+            *(no_whole(column, field) for column, field in ROOMS.items()),
+            ("fatal:point", self._broken("listing.address.point")),
+            no_line("usage_types", "usageTypes"),
+            *(no_whole(column, field) for column, field in FLOORS.items()),
+            ("fatal:advertiser", advertiser),
+            ("fatal:advertiserContact", self._broken("listing.advertiserContact")),
+            no_line("garantias_aluguel", "warranties"),
+            no_number("aluguel_total", "rentalTotalPrice"),
+        ]
+
+    def outcome(self) -> Column:
+        """The first failing check in reading order, NULL for a good item."""
+        return F.coalesce(*(F.when(failed, F.lit(name)) for name, failed in self.checks()))
 
 
 def project_items(df: DataFrame, base_url: str, item: str = "item") -> DataFrame:
-    """Parsed columns plus `outcome`, next to the columns `df` already has."""
+    """Parsed columns plus `outcome`, next to the columns `df` already has.
+
+    The outcome passes through a one-element explode. Catalyst would otherwise
+    push a filter on it below the stages above and read every item again for
+    each field that is checked; it does not push a filter on the output of a
+    generator. Columns nobody asks for are still pruned.
+    """
     kept = [name for name in df.columns if name != item]
-    read = _read_columns(item, base_url)
-    out = open_items(df, item).select(
-        *kept, *(column.alias(name) for name, column in read.items()), _outcome(item).alias(OUTCOME)
+    reader = _Reader(item, base_url)
+    checked = reader.checked_columns()
+    read = {name: column.alias(name) for name, column in reader.columns().items()}
+    out = (
+        df.withColumn("_item", F.from_json(F.col(item), ITEM, READ_OPTIONS))
+        .withColumn("_price", F.from_json(reader.price_text, PRICING, READ_OPTIONS))
+        .withColumns(checked)
+        .select(*kept, *checked, *read.values(), reader.outcome().alias("_found"))
+        .select(*kept, *checked, *read, F.explode(F.array("_found")).alias(OUTCOME))
     )
     per_m2 = F.when(
         (F.col("preco") != 0) & (F.col("area_construida") > 0) & ~F.isnan("area_construida"),
@@ -310,11 +400,3 @@ def stop_at_fatal(rows: DataFrame, walk: list[str], order: list[str]) -> DataFra
         .where(F.col("_stop").isNull() | (at < F.col("_stop")))
         .select(*rows.columns)
     )
-
-
-PARSED_COLUMNS = [
-    f.name
-    for f in LISTINGS.fields
-    if f.name
-    not in ("portal", "data_coleta", "data_atualizacao_scraper", "imovel_disponivel", "imovel_atualizado")
-]

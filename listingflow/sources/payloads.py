@@ -5,8 +5,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from listingflow.functions.variants import truthy
+
 LISTINGS_PATH = "$.search.result.listings"
 
+PAGE = "struct<search: struct<result: struct<listings: array<string>>>>"
 LOCATIONS = (
     "struct<neighborhood: struct<result: struct<locations: array<struct<"
     "address: struct<neighborhood: string, city: string>>>>>>"
@@ -28,38 +31,31 @@ def read_payloads(spark: SparkSession, path: str) -> DataFrame:
 
 
 def page_items(payload: Column) -> Column:
-    """Listing items of a page as array<variant>; NULL where there are none."""
-    return F.try_variant_get(F.try_parse_json(payload), LISTINGS_PATH, "array<variant>")
+    """JSON texts of a page's listing items; NULL where the page has no list of them."""
+    return F.from_json(payload, PAGE)["search"]["result"]["listings"]
 
 
 def page_state(payload: Column) -> Column:
     """`items`, `empty`, or `error` for a page that cannot be looked into.
 
     A level that is missing makes an empty page; a level that is there but is
-    no object is an error, as is text that is no JSON (duplicate keys included)
-    or a page of items that is no list.
+    no object is an error, as is text that is no JSON or a list of items that is
+    none. Pages without items are few, so only they are parsed exactly.
     """
     page = F.try_parse_json(payload)
-    levels = [
-        F.try_variant_get(page, path, "variant") for path in ("$", "$.search", "$.search.result")
-    ]
     broken = F.lit(False)
-    for level in levels:
-        opened = F.try_variant_get(level, "$", "map<string, variant>")
-        broken = broken | (level.isNotNull() & opened.isNull())
-    first_item = F.try_variant_get(page, f"{LISTINGS_PATH}[0]", "variant")
-    other = F.to_json(F.try_variant_get(page, LISTINGS_PATH, "variant"))
-    nothing = other.isNull() | other.isin("null", '""', "{}", "[]", "0", "0.0", "-0.0", "false")
-    return (
-        F.when(first_item.isNotNull(), "items")
-        .when(page.isNull() | broken, "error")
-        .when(nothing, "empty")
-        .otherwise("error")
+    for path in ("$", "$.search", "$.search.result"):
+        level = F.try_variant_get(page, path, "variant")
+        broken = broken | (level.isNotNull() & ~F.schema_of_variant(level).startswith("OBJECT"))
+    other = F.try_variant_get(page, LISTINGS_PATH, "variant")
+    without_items = (
+        F.when(page.isNull() | broken, "error").when(truthy(other), "error").otherwise("empty")
     )
+    return F.when(F.size(page_items(payload)) > 0, "items").otherwise(without_items)
 
 
 def explode_listings(df: DataFrame, payload: str = "payload", parallelism: int | None = None) -> DataFrame:
-    """One row per listing item: the other columns, `pos` in the page and `item`.
+    """One row per listing item: the other columns, `pos` in the page and `item` (JSON text).
 
     Few large payload files make few tasks; `parallelism` spreads the pages
     before they are parsed.
