@@ -32,6 +32,8 @@ MAYBE_EMPTY = r"^(?:-?0+(?:\.0+)?(?:[eE].*)?|false|\[\]|\{\})$"
 TYPED_IN_LINE = rf"\|{TYPED}"
 
 STRINGS = "ARRAY<STRING>"
+# Values that count as empty, as JSON. Zero is normalised when JSON is parsed.
+EMPTY_JSON = ["null", '""', "false", "[]", "{}", "0", "0.0", "-0.0"]
 
 
 def get(value: Column, path: str, as_type: str = "variant") -> Column:
@@ -53,17 +55,7 @@ def kind(value: Column) -> Column:
 
 
 def truthy(value: Column) -> Column:
-    of = kind(value)
-    number = get(value, "$", "double") != 0
-    given = (
-        F.when(of == "STRING", get(value, "$", "string") != "")
-        .when(of == "BOOLEAN", get(value, "$", "boolean"))
-        .when(of.isin("VOID", "OBJECT<>"), False)
-        .when(of == "ARRAY<VOID>", get(value, "$[0]").isNotNull())
-        .when(of.startswith("ARRAY") | of.startswith("OBJECT"), True)
-        .otherwise(number)
-    )
-    return F.coalesce(given, F.lit(False))
+    return F.coalesce(~F.to_json(value).isin(EMPTY_JSON), F.lit(False))
 
 
 def float_text(text: Column) -> Column:
@@ -121,8 +113,16 @@ def to_double(scalar: Leaf) -> Column:
 
 def given_double(scalar: Leaf) -> Column:
     """`to_double` of a scalar that is given, so not of a zero that is a number."""
-    plain = F.when(scalar.text.rlike(PLAIN_NUMBER), scalar.text.try_cast("double"))
-    return F.when(plain != 0, plain).when(given(scalar), to_double(scalar))
+    number = scalar.text.try_cast("double")
+    plain = F.when(number != 0, number).otherwise(F.when(truthy(scalar.value), number))
+    other = F.when(kind(scalar.value) == "STRING", float_text(scalar.text)).otherwise(
+        get(scalar.value, "$", "double")
+    )
+    return (
+        F.when(scalar.text.rlike(PLAIN_NUMBER), plain)
+        .when(scalar.text.isNull(), None)
+        .otherwise(F.when(truthy(scalar.value), other))
+    )
 
 
 def to_int(scalar: Leaf) -> Column:

@@ -95,40 +95,52 @@ class _Reader:
     def list(self, name: str) -> tuple[Column, Column]:
         return F.col(f"_item.listing.{name}"), get(self.exact, f"$.listing.{name}")
 
-    def either(self, first_choice: Leaf, second: Leaf) -> Leaf:
-        use = given(first_choice)
+    # --- what several columns or checks look at ---
+
+    def choices(self) -> dict[str, Column]:
+        """Where one field stands in for another: which one is used, and its text."""
+        chosen, value = self.list("complexAmenities")
+        return {
+            "_use_price": given(self.price("price")),
+            "_use_rent": given(self.price("rentalTotalPrice")),
+            # A value that is no list still wins over the other field, and is refused.
+            "_use_complex": F.when(chosen.isNotNull(), F.size(chosen) > 0).otherwise(
+                F.when(self.clean, False).otherwise(truthy(value))
+            ),
+            "_use_account": F.when(F.col("_item.account.name").isNotNull(), True).otherwise(
+                F.when(self.item.contains('"account"'), truthy(get(self.exact, "$.account")))
+                .otherwise(False)
+            ),
+        }
+
+    def either(self, use: str, first_choice: Leaf, second: Leaf) -> Leaf:
         return Leaf(
-            F.when(use, first_choice.text).otherwise(second.text),
-            F.when(use, first_choice.value).otherwise(second.value),
+            F.when(F.col(use), first_choice.text).otherwise(second.text),
+            F.when(F.col(use), first_choice.value).otherwise(second.value),
         )
 
-    # --- what several columns or checks look at ---
-
     def numbers(self) -> dict[str, Leaf]:
         rent = self.price("rentalTotalPrice")
+        monthly = self.price("rentalInfo.monthlyRentalTotalPrice")
         return {
-            "preco": self.either(self.price("price"), rent),
+            "preco": self.either("_use_price", self.price("price"), rent),
             "preco_condominio": self.price("monthlyCondoFee"),
             "iptu": self.price("yearlyIptu"),
             "area_construida": self.head("usableAreas"),
             "area_terreno": self.head("totalAreas"),
-            "aluguel_total": self.either(rent, self.price("rentalInfo.monthlyRentalTotalPrice")),
+            "aluguel_total": self.either("_use_rent", rent, monthly),
         }
 
     def lists(self) -> dict[str, tuple[Column, Column]]:
         """List columns as (items, value)."""
         chosen, value = self.list("complexAmenities")
         other, other_value = self.list("condominiumAmenities")
-        # A value that is no list still wins over the other field, and is refused.
-        use = F.when(chosen.isNotNull(), F.size(chosen) > 0).otherwise(
-            F.when(self.clean, False).otherwise(truthy(value))
-        )
         warranties = "rentalInfo.warranties"
         return {
             "amenities": self.list("amenities"),
             "complex_amenities": (
-                F.when(use, chosen).otherwise(other),
-                F.when(use, value).otherwise(other_value),
+                F.when(F.col("_use_complex"), chosen).otherwise(other),
+                F.when(F.col("_use_complex"), value).otherwise(other_value),
             ),
             "usage_types": self.list("usageTypes"),
             "stamps": self.list("stamps"),
@@ -141,12 +153,6 @@ class _Reader:
         """Photo addresses with their JSON types, for the rare list that needs them."""
         return get(self.exact, "$.medias", "array<struct<url: variant>>")["url"]
 
-    def person(self) -> Column:
-        """True where the account is given, so that it is taken for the advertiser."""
-        return F.when(F.col("_item.account.name").isNotNull(), True).otherwise(
-            self.item.contains('"account"') & truthy(get(self.exact, "$.account"))
-        )
-
     # --- columns ---
 
     def checked_columns(self) -> dict[str, Column]:
@@ -171,7 +177,7 @@ class _Reader:
         odd_photos = F.transform(
             F.filter(self.media_urls(), truthy), lambda url: get(url, "$", "string")
         )
-        account, advertiser = self.leaf("account.name"), self.leaf("advertiser.name")
+        person = self.either("_use_account", self.leaf("account.name"), self.leaf("advertiser.name"))
         contact = self.leaf("listing.advertiserContact.name")
         phones = self.leaf("listing.advertiserContact.phones")
         exchange = c("_item.listing.acceptExchange")
@@ -209,9 +215,7 @@ class _Reader:
             ),
             "status_anuncio": to_text(self.leaf("listing.status")),
             "listing_id": to_text(listing_id),
-            "anunciante_nome": F.when(self.person() & given(account), to_text(account))
-            .when(~self.person() & given(advertiser), to_text(advertiser))
-            .otherwise(to_text(contact)),
+            "anunciante_nome": F.when(given(person), to_text(person)).otherwise(to_text(contact)),
             "anunciante_telefone": F.when(given(phones), phones.text),
             "periodo_iptu": c("_price.iptuPeriod"),
             "raw_json": self.item,
@@ -244,7 +248,7 @@ class _Reader:
             self.price_text.contains('"businessType"') & business.value.isNotNull(),
         ).otherwise(~is_text(business))
         rental = get(self.exact_price, "$.rentalInfo")
-        advertiser = F.when(self.person(), self._broken("account")).otherwise(
+        advertiser = F.when(c("_use_account"), self._broken("account")).otherwise(
             self._broken("advertiser")
         )
 
@@ -351,6 +355,7 @@ def project_items(df: DataFrame, base_url: str, item: str = "item") -> DataFrame
     out = (
         df.withColumn("_item", F.from_json(F.col(item), ITEM, READ_OPTIONS))
         .withColumn("_price", F.from_json(reader.price_text, PRICING, READ_OPTIONS))
+        .withColumns(reader.choices())
         .withColumns(checked)
         .select(*kept, *checked, *read.values(), reader.outcome().alias("_found"))
         .select(*kept, *checked, *read, F.explode(F.array("_found")).alias(OUTCOME))
