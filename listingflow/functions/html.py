@@ -16,7 +16,8 @@ from pyspark.sql import functions as F
 from listingflow.functions.text import first_match, parse_date
 
 # The inside of a tag; quoted values may hold a closing bracket.
-IN_TAG = r"""(?:[^>"']|"[^"]*"|'[^']*')*+"""
+TAG_PART = r"""(?:[^>"']|"[^"]*"|'[^']*')"""
+IN_TAG = TAG_PART + "*+"
 ATTRIBUTE_VALUE = r"""("[^"]*"|'[^']*'|[^\s"'>]+)"""
 
 # Types of structured data that describe a property, the tags
@@ -77,7 +78,7 @@ def json_ld(html: Column) -> Column:
     bodies = F.regexp_extract_all(
         html,
         F.lit(
-            r"(?is)<script(?=" + IN_TAG + r"[\s\"'/]type\s*=\s*(?-i:"
+            r"(?is)<script(?=" + TAG_PART + r"*?(?<=[\s\"'/])type\s*=\s*(?-i:"
             + "|".join([rf'"\Q{LD_SCRIPT_TYPE}\E"', rf"'\Q{LD_SCRIPT_TYPE}\E'", rf"\Q{LD_SCRIPT_TYPE}\E(?=[\s>])"])
             + r"))" + IN_TAG + r">(.*?)</script\s*>"
         ),
