@@ -37,7 +37,10 @@ REGISTERED = [
 
 
 def line_items(spark: SparkSession) -> DataFrame:
-    """One ordinary listing item per line item, with no odd shapes in it."""
+    """One ordinary listing item per line item, with no odd shapes in it.
+
+    The table is one row group, so one task; landed payloads are many files.
+    """
     key = F.concat_ws("-", "l_orderkey", "l_linenumber")
     item = obj(
         listing=obj(
@@ -56,7 +59,8 @@ def line_items(spark: SparkSession) -> DataFrame:
         medias=arr(*(obj(url=js(F.concat(F.lit(f"https://img.example/{i}/"), key))) for i in range(4))),
         account=obj(name=js("Agency")),
     )
-    return table(spark, SF_DIR, "lineitem").select(F.col("l_suppkey").alias("run"), item.alias("item"))
+    lines = table(spark, SF_DIR, "lineitem").repartition(int(CPUS))
+    return lines.select(F.col("l_suppkey").alias("run"), item.alias("item"))
 
 
 def parse_line_items(spark: SparkSession, _: str) -> DataFrame:

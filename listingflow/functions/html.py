@@ -38,20 +38,25 @@ STATE_PATTERNS = [
     r"(?sU)window\.initialData\s*=\s*(\{.*?\});",
 ]
 PUBLISHED_TEXT = r"(?iU)(?:publicado|criado|anunciado)\s*(?:em|:)?\s*(\d{2}/\d{2}/\d{4})"
+DAY_FIRST_DATE = r"[0-9]{2}/[0-9]{2}/[0-9]{4}"
 UPDATED_TEXT = r"(?iU)(?:atualizado|modificado)\s*(?:em|:)?\s*(\d{2}/\d{2}/\d{4})"
 
 # Entities decoded in attribute values; the ampersand comes last.
 ENTITIES = [("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&amp;", "&")]
 
 
-def tags(html: Column, name: str) -> Column:
-    """All start tags of a name, as texts, outside comments, scripts and styles."""
+def tags(html: Column, name: str, hint: str) -> Column:
+    """All start tags of a name, as texts, outside comments, scripts and styles.
+
+    Pages without `hint` (any case) are not searched: they have none that matter.
+    """
     bare = F.regexp_replace(
         html,
         r"(?is)<!--.*?-->|(<(script|style)\b" + IN_TAG + r">).*?</\2\s*>",
         "$1",
     )
-    return F.regexp_extract_all(bare, F.lit(r"(?is)(<" + name + r"(?=[\s/>])" + IN_TAG + ">)"), 1)
+    found = F.regexp_extract_all(bare, F.lit(r"(?is)(<" + name + r"(?=[\s/>])" + IN_TAG + ">)"), 1)
+    return F.when(html.rlike(rf"(?i)\Q{hint}\E"), found).otherwise(F.array().cast("array<string>"))
 
 
 def attribute(tag: Column, name: str) -> Column:
@@ -64,7 +69,7 @@ def attribute(tag: Column, name: str) -> Column:
 
 def meta_contents(html: Column, prop: str) -> Column:
     """`content` of every meta tag of a property, in page order (may hold NULLs)."""
-    of_property = F.filter(tags(html, "meta"), lambda tag: attribute(tag, "property") == prop)
+    of_property = F.filter(tags(html, "meta", prop), lambda tag: attribute(tag, "property") == prop)
     return F.transform(of_property, lambda tag: attribute(tag, "content"))
 
 
@@ -90,7 +95,7 @@ def json_ld(html: Column) -> Column:
         return F.coalesce(F.try_variant_get(value, "$", "array<variant>"), F.array(value))
 
     found = F.filter(F.flatten(F.transform(bodies, candidates)), _describes_property)
-    return F.get(found, F.lit(0))
+    return F.when(html.contains(LD_SCRIPT_TYPE), F.get(found, F.lit(0)))
 
 
 def next_data(html: Column) -> Column:
@@ -111,11 +116,13 @@ def photos(html: Column) -> Column:
         return reduce(lambda a, b: a | b, [url.contains(word) for word in PHOTO_WORDS])
 
     shown = F.filter(
-        F.transform(tags(html, "img"), lambda tag: attribute(tag, "src")),
+        F.transform(tags(html, "img", "<img"), lambda tag: attribute(tag, "src")),
         lambda url: url.rlike(IMAGE_URL) & about_property(url),
     )
     lazy = F.filter(
-        F.transform(tags(html, r"[a-z][^\s/>]*"), lambda tag: attribute(tag, "data-src")),
+        F.transform(
+            tags(html, r"[a-z][^\s/>]*", "data-src"), lambda tag: attribute(tag, "data-src")
+        ),
         lambda url: url.rlike(IMAGE_URL),
     )
     found = F.array_sort(F.array_distinct(F.concat(shared, shown, lazy)))
@@ -125,11 +132,14 @@ def photos(html: Column) -> Column:
 def page_dates(html: Column) -> Column:
     """struct(published, updated): from the meta tag, else from the page text."""
 
+    # Parsed inside `transform`, so that the search for the text runs only once.
     def from_meta(prop: str) -> Column:
-        return parse_date(F.get(meta_contents(html, prop), F.lit(0)))
+        return F.get(F.transform(F.slice(meta_contents(html, prop), 1, 1), parse_date), F.lit(0))
 
     def from_text(pattern: str) -> Column:
-        return parse_date(first_match(html, pattern))
+        # The search in any case is costly; few pages hold such a date at all.
+        found = F.transform(F.array(first_match(html, pattern)), parse_date)
+        return F.when(html.rlike(DAY_FIRST_DATE), F.get(found, F.lit(0)))
 
     return F.struct(
         F.coalesce(from_meta(PUBLISHED_TAG), from_text(PUBLISHED_TEXT)).alias("published"),
