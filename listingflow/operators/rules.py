@@ -76,10 +76,11 @@ def walk_stops(
         .agg(F.array_sort(F.collect_list(entry)).alias("_entries"))
         .select(*walk, "_piece", _piece_summary(F.col("_entries"), k).alias("_s"))
     )
-    # A run reaches back over at most k-1 earlier pieces that are not empty.
-    recent = Window.partitionBy(*walk).orderBy("_piece").rowsBetween(-(k - 1), -1)
+    # A run reaches back over at most k-1 earlier pieces, for each holds a page.
+    reach = max(k - 1, 1)
+    recent = Window.partitionBy(*walk).orderBy("_piece").rowsBetween(-reach, -1)
     carried = F.aggregate(
-        F.collect_list(F.struct("_s.run", "_s.only_blank")).over(recent) if k > 1 else F.array(),
+        F.collect_list(F.struct("_s.run", "_s.only_blank")).over(recent),
         F.lit(0),
         lambda run, s: F.when(s["only_blank"], run + s["run"]).otherwise(s["run"]),
     )

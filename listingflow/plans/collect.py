@@ -34,16 +34,25 @@ def walked_pages(payloads: DataFrame) -> DataFrame:
 
 
 def parse_pages(
-    payloads: DataFrame, base_url: str, portal: str, now: str, on_fatal: str = "quarantine"
+    payloads: DataFrame,
+    base_url: str,
+    portal: str,
+    now: str,
+    on_fatal: str = "quarantine",
+    stop_rule: bool = True,
 ) -> tuple[DataFrame, DataFrame]:
     """(good, rejected) items of landed pages, with the columns that order writes.
 
+    With `stop_rule`, pages beyond the stop of their walk do not count; leave it
+    out where the fetcher has stopped by itself and only good pages have landed.
+
     `on_fatal="quarantine"` sets aside just the broken item; `"truncate"` also
     ends its walk there.
     """
     if on_fatal not in ("quarantine", "truncate"):
         raise ValueError(f"unknown on_fatal: {on_fatal}")
-    rows = project_items(explode_listings(payloads), base_url)
+    pages = walked_pages(payloads) if stop_rule else payloads
+    rows = project_items(explode_listings(pages), base_url)
     if on_fatal == "truncate":
         fatal = stop_at_fatal(rows, WALK, ["page", "pos"])
     else:

@@ -58,9 +58,10 @@ def write_listings(df: DataFrame, path: str, files: int | None = None) -> None:
     query for one place still reads few. Never write to a path `df` reads from.
     """
     place = ["estado", "cidade", "bairro", "url"]
-    spread = df.repartitionByRange(files, *place) if files else df.repartitionByRange(*place)
-    conform = conform_listings(spread).sortWithinPartitions(*place)
-    conform.write.partitionBy("estado").mode("errorifexists").parquet(path)
+    rows = conform_listings(df)
+    spread = rows.repartitionByRange(files, *place) if files else rows.repartitionByRange(*place)
+    placed = spread.sortWithinPartitions(*place)
+    placed.write.partitionBy("estado").mode("errorifexists").parquet(path)
 
 
 def read_listings(spark: SparkSession, path: str) -> DataFrame:
