@@ -37,9 +37,10 @@ def city_counts(municipalities: DataFrame) -> DataFrame:
 def pending(df: DataFrame, done: DataFrame, keys: list[str]) -> DataFrame:
     """Rows whose key is not in `done`.
 
-    `done` lists every key that was looked up, also those that gave nothing.
+    `done` lists every key that was looked up, also those that gave nothing. A
+    key that is in it very often is brought down to one row per task first.
     """
-    return df.join(done.select(*keys), keys, "left_anti")
+    return df.join(done.select(*keys).distinct(), keys, "left_anti")
 
 
 def with_state_name(df: DataFrame, uf: str = "uf") -> DataFrame:

@@ -62,8 +62,8 @@ def walk_stops(
 
     A walk stops at the k-th empty page in a row, or at once at a page marked
     `error`, if such a column is named. A walk may be of any length: runs are
-    found inside pieces of bounded length, and carried over piece borders by a
-    window over one row per piece.
+    found inside pieces of bounded length (copies of a page count once), and
+    carried over piece borders by a window over one row per piece.
     """
     failed = F.coalesce(F.col(error), F.lit(False)) if error else F.lit(False)
     entry = F.struct(
@@ -73,7 +73,7 @@ def walk_stops(
     )
     pieces = (
         pages.groupBy(*walk, F.floor(F.col(page) / PIECE).alias("_piece"))
-        .agg(F.array_sort(F.collect_list(entry)).alias("_entries"))
+        .agg(F.array_sort(F.collect_set(entry)).alias("_entries"))
         .select(*walk, "_piece", _piece_summary(F.col("_entries"), k).alias("_s"))
     )
     # A run reaches back over at most k-1 earlier pieces, for each holds a page.
@@ -120,15 +120,20 @@ def truncate_after_empty(
 def limit_rows(
     df: DataFrame, n: int | None, order: list[str], by: list[str] | None = None
 ) -> DataFrame:
-    """The first `n` saved rows in order of arrival, in all or per group."""
+    """The first `n` saved rows in order of arrival, in all or per group.
+
+    A short limit is a top-k, kept in every task before the shuffle; a long one
+    goes by position, so that no task has to hold `n` rows.
+    """
     if not n:
         return df
-    if not by:
+    short = n < int(df.sparkSession.conf.get(TOP_K_SETTING))
+    if short and not by:
         return df.orderBy(*order).limit(n)
-    if n < int(df.sparkSession.conf.get(TOP_K_SETTING)):
+    if short:
         rank = F.row_number().over(Window.partitionBy(*by).orderBy(*order))
         return df.withColumn("_rank", rank).where(F.col("_rank") <= n).drop("_rank")
-    return with_position(df, by, order, "_pos").where(F.col("_pos") < n).drop("_pos")
+    return with_position(df, by or [], order, "_pos").where(F.col("_pos") < n).drop("_pos")
 
 
 def limit_groups(

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from listingflow.operators.parse import OUTCOME, project_items, stop_at_fatal
 from listingflow.operators.rules import LISTING_WALK_EMPTIES, truncate_after_empty
 from listingflow.operators.upsert import upsert_latest, write_order
+from listingflow.session import cut_lineage
 from listingflow.sources.payloads import explode_listings, page_state
 from listingflow.sources.tables import conform_listings, stamp
 
@@ -65,5 +66,11 @@ def parse_pages(
 
 
 def current_listings(existing: DataFrame | None, good: DataFrame) -> DataFrame:
-    """The listings table after the good rows of a run are written to it."""
+    """The listings table after the good rows of a run are written to it.
+
+    The upsert looks at the new rows twice, so they are stored once in between
+    and not parsed again.
+    """
+    if existing is not None:
+        good = cut_lineage(good)
     return conform_listings(upsert_latest(existing, good, write_order()))

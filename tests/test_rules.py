@@ -97,6 +97,23 @@ def test_limit_rows_per_group(spark, n, kept):
         spark.conf.set(rules.TOP_K_SETTING, 1000)
 
 
+def test_limit_rows_in_all(spark):
+    spark.conf.set(rules.TOP_K_SETTING, 100)
+    try:
+        df = spark.range(300).select("id")
+        for n in (7, 120):
+            got = rules.limit_rows(df, n, ["id"])
+            assert sorted(r["id"] for r in got.collect()) == list(range(n))
+    finally:
+        spark.conf.set(rules.TOP_K_SETTING, 1000)
+
+
+def test_copies_of_a_page_count_once(spark, piece):
+    rows = [(1, 1, False)] + [(1, 2, True)] * 50 + [(1, 3, False)]
+    df = spark.createDataFrame(rows, "w int, page int, empty boolean")
+    assert rules.truncate_after_empty(df, ["w"], 2).count() == 2
+
+
 def test_page_budget(spark):
     df = spark.createDataFrame([(50, 1, 100), (3, 1, 100), (50, 1, 0), (50, 10, 19)], "total int, start int, n int")
     c = F.col
