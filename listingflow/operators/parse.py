@@ -340,25 +340,32 @@ class _Reader:
         return F.coalesce(*(F.when(failed, F.lit(name)) for name, failed in self.checks()))
 
 
+def _held(column: Column) -> Column:
+    """The column as the output of a one-element explode.
+
+    Catalyst pushes a filter below the projections it stands on and repeats
+    their expressions in it, but not below a generator. Columns are still pruned.
+    """
+    return F.explode(F.array(column))
+
+
 def project_items(df: DataFrame, base_url: str, item: str = "item") -> DataFrame:
     """Parsed columns plus `outcome`, next to the columns `df` already has.
 
-    The outcome passes through a one-element explode. Catalyst would otherwise
-    push a filter on it below the stages above and read every item again for
-    each field that is checked; it does not push a filter on the output of a
-    generator. Columns nobody asks for are still pruned.
+    The opened item and the outcome are held, so that a later filter on any
+    column neither reads the JSON again nor repeats the checks.
     """
     kept = [name for name in df.columns if name != item]
     reader = _Reader(item, base_url)
     checked = reader.checked_columns()
     read = {name: column.alias(name) for name, column in reader.columns().items()}
     out = (
-        df.withColumn("_item", F.from_json(F.col(item), ITEM, READ_OPTIONS))
-        .withColumn("_price", F.from_json(reader.price_text, PRICING, READ_OPTIONS))
+        df.withColumn("_item", _held(F.from_json(F.col(item), ITEM, READ_OPTIONS)))
+        .withColumn("_price", _held(F.from_json(reader.price_text, PRICING, READ_OPTIONS)))
         .withColumns(reader.choices())
         .withColumns(checked)
         .select(*kept, *checked, *read.values(), reader.outcome().alias("_found"))
-        .select(*kept, *checked, *read, F.explode(F.array("_found")).alias(OUTCOME))
+        .select(*kept, *checked, *read, _held(F.col("_found")).alias(OUTCOME))
     )
     per_m2 = F.when(
         (F.col("preco") != 0) & (F.col("area_construida") > 0) & ~F.isnan("area_construida"),

@@ -20,6 +20,8 @@ def build_session(app: str = "listingflow", master: str | None = None, **conf: s
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.sources.partitionOverwriteMode": "dynamic",
+        # Of equal JSON keys the last counts, as it does for typed JSON reading.
+        "spark.sql.variant.allowDuplicateKeys": "true",
     }
     for key, value in {**settings, **conf}.items():
         builder = builder.config(key, value)

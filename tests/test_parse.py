@@ -195,6 +195,13 @@ def test_text_that_is_no_json_is_set_aside(spark):
     assert rows['{"listing": {"id": "1", "id": "2"}}'] is None  # the last one of equal keys counts
 
 
+def test_last_of_equal_keys_counts_in_exact_look_ups(spark):
+    text = '{"listing": {"pricingInfos": [{"price": "1", "price": 0, "rentalTotalPrice": 5}]}}'
+    df = spark.createDataFrame([(text,)], "item string")
+    row = project_items(df, BASE).first()
+    assert (row["preco"], row["outcome"]) == (5.0, None)
+
+
 def test_good_and_rejected_add_up(spark):
     rows = [(i, json.dumps(v)) for i, (v, _) in enumerate(GOOD + BAD)]
     good, rejected = parse_listings(spark.createDataFrame(rows, "k int, item string"), BASE)

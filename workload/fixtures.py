@@ -6,6 +6,8 @@ from its key, so that SQL over the same table can tell what must come out.
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -34,9 +36,11 @@ def uf_sql(key: str) -> str:
 
 def js(value: Column | str) -> Column:
     """A text as JSON text, quoted and escaped."""
-    value = F.lit(value) if isinstance(value, str) else value
-    array = F.to_json(F.array(value))
-    return array.substr(F.lit(2), F.length(array) - 2)
+    if isinstance(value, str):
+        return F.lit(json.dumps(value, ensure_ascii=False))
+    for plain, escaped in (("\\", "\\\\"), ('"', '\\"'), ("\n", "\\n")):
+        value = F.replace(value, F.lit(plain), F.lit(escaped))
+    return F.concat(F.lit('"'), value, F.lit('"'))
 
 
 def num(value: Column) -> Column:
