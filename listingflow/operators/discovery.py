@@ -22,8 +22,15 @@ def distinct_neighbourhoods(matched: DataFrame) -> DataFrame:
 
 
 def city_index(municipalities: DataFrame) -> DataFrame:
-    """(uf, city, city_idx), sorted by code point; the list keeps repeated names."""
-    return with_position(municipalities.select("uf", "city"), ["uf"], ["city"], "city_idx")
+    """(uf, city, city_idx), sorted by code point; the list keeps repeated names.
+
+    A name is one row with a count while positions are found, so one that is
+    repeated very often does not fill a partition.
+    """
+    names = municipalities.groupBy("uf", "city").agg(F.count("*").alias("n"))
+    placed = with_position(names, ["uf"], ["city"], "city_idx", weight="n")
+    copies = placed.select("uf", "city", "city_idx", F.explode(F.sequence(F.lit(1), "n")).alias("i"))
+    return copies.select("uf", "city", (F.col("city_idx") + F.col("i") - 1).cast("int").alias("city_idx"))
 
 
 def city_counts(municipalities: DataFrame) -> DataFrame:

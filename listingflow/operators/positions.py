@@ -31,9 +31,13 @@ def with_position(
     name: str = "pos",
     start: int = 0,
     partitions: int | None = None,
+    weight: str | None = None,
 ) -> DataFrame:
     """Number the rows of each group in order, from `start`.
 
+    With `weight`, a row stands for that many equal ones and gets the position of
+    the first of them.
+
     Rows are range-partitioned by key and order, so that a large group covers
     many partitions; each is numbered by itself and moved up by the count of the
     group's rows in the partitions before. The split is written to the shared
@@ -46,17 +50,23 @@ def with_position(
     earlier = (
         Window.partitionBy(*keys).orderBy("_piece").rowsBetween(Window.unboundedPreceding, -1)
     )
+    rows = F.col(weight) if weight else F.lit(1)
     offsets = (
         split.groupBy(*piece)
-        .agg(F.count("*").alias("_n"))
+        .agg(F.sum(rows).alias("_n"))
         .withColumn("_before", F.coalesce(F.sum("_n").over(earlier), F.lit(0)))
         .select(*_renamed(piece, "_o"), "_before")
     )
-    inside = F.row_number().over(Window.partitionBy(*piece).orderBy(*order))
+    in_piece = Window.partitionBy(*piece).orderBy(*order)
+    if weight:
+        lower = in_piece.rowsBetween(Window.unboundedPreceding, -1)
+        inside = F.coalesce(F.sum(weight).over(lower), F.lit(0))
+    else:
+        inside = F.row_number().over(in_piece) - 1
     return (
         split.withColumn("_inside", inside)
         .join(offsets, _same(piece, "_o"))
-        .withColumn(name, (F.col("_before") + F.col("_inside") - 1 + start).cast("int"))
+        .withColumn(name, (F.col("_before") + F.col("_inside") + start).cast("int"))
         .select(*df.columns, name)
     )
 

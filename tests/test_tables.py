@@ -241,6 +241,15 @@ def test_empty_look_up_is_not_repeated(spark):
     assert rows_of(discovery.pending(wanted, looked_up, ["uf", "city"])) == [("SP", "b")]
 
 
+def test_city_index_keeps_repeated_names(spark):
+    names = ["b"] * 500 + ["a", "c", "á", "a"]
+    listed = spark.createDataFrame([("SP", n) for n in names] + [("RJ", "x")], "uf string, city string")
+    got = rows_of(discovery.city_index(listed.repartition(5)))
+    assert got == sorted([("SP", n, i) for i, n in enumerate(sorted(names))] + [("RJ", "x", 0)])
+    totals = {(r["uf"], r["n_cities"], r["n_states"]) for r in discovery.city_counts(listed).collect()}
+    assert totals == {("SP", 504, 1), ("RJ", 1, 1), (None, 505, 2)}
+
+
 def test_capital_fallback(spark):
     wanted = spark.createDataFrame([("AC",), ("SP",), ("XX",)], "uf string")
     cities = spark.createDataFrame([("SP", "Campinas", 0), ("RJ", "Niterói", 0)], "uf string, city string, city_idx int")
