@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -29,15 +28,20 @@ def build_session(app: str = "listingflow", master: str | None = None, **conf: s
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The shared folder the cluster names; a temporary one in local runs only."""
-    named = spark.conf.get(CHECKPOINT_SETTING, None)
-    if named:
-        return named.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    """The folder all executors share: the one the session names, or its checkpoint folder."""
+    named = spark.conf.get(CHECKPOINT_SETTING, None) or spark.sparkContext.getCheckpointDir()
+    if not named:
         raise ValueError(f"set {CHECKPOINT_SETTING} to a folder all executors share")
-    local = tempfile.mkdtemp(prefix="listingflow-")
-    spark.conf.set(CHECKPOINT_SETTING, local)
-    return local
+    return named.rstrip("/")
+
+
+def ensure_shared_dir(spark: SparkSession, local: str = "/tmp/checkpoints") -> str:
+    """As `shared_dir`; a session of one machine that names none is given `local`."""
+    named = spark.conf.get(CHECKPOINT_SETTING, None) or spark.sparkContext.getCheckpointDir()
+    if not named and spark.sparkContext.master.startswith("local"):
+        if not spark.sparkContext.master.startswith("local-cluster"):
+            spark.conf.set(CHECKPOINT_SETTING, local)
+    return shared_dir(spark)
 
 
 def new_dir(spark: SparkSession, purpose: str) -> str:
