@@ -6,14 +6,57 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from listingflow.llm import quality, toxicity
 from listingflow.llm.bpe import encode_decode
-from listingflow.llm.common import table
+from listingflow.llm.common import remainder, table
+from listingflow.llm.lm import score_documents
 from listingflow.llm.minmax import near_duplicates
+from listingflow.llm.projections import near_vectors
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+# Scores from which a document is taken as good, and as toxic.
+GOOD, TOXIC = 0.3, 0.5
+
+
+def _to_learn(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Labels of the rows that may be learned from."""
+    return table(spark, sf_dir, "labels").where(remainder(F.col("doc_id")) != 0)
+
+
+def pu_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = quality.train(docs, _to_learn(spark, sf_dir))
+    scored = quality.score(docs, model)
+    return scored.select(
+        "doc_id",
+        (remainder(F.col("doc_id")) == 0).alias("held_out"),
+        "score",
+        quality.accepted(F.col("score"), GOOD).cast("int").alias("predicted"),
+    )
+
+
+def toxicity_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The labels have two categories: text of low quality, then toxic text."""
+    docs = table(spark, sf_dir, "documents")
+    labels = _to_learn(spark, sf_dir).select("doc_id", (1 - F.col("quality")).alias("junk"), "toxic")
+    models = toxicity.train(docs, labels, ["junk", "toxic"])
+    scored = toxicity.score(docs, models, ["junk", "toxic"])
+    toxic = F.col("p_toxic") >= TOXIC
+    return scored.select("doc_id", "p_junk", "p_toxic", toxic.cast("int").alias("toxic"))
+
+
+def collision_near_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_vectors(table(spark, sf_dir, "embeddings"), threshold=0.9)
+
+
+def gru_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return score_documents(table(spark, sf_dir, "documents"), remainder(F.col("doc_id")) != 1)
+
+
 def byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     ranks = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
     return encode_decode(table(spark, sf_dir, "documents"), ranks, public_tokenizers.PATTERN, ids=False)
@@ -24,6 +67,10 @@ def minmax_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op1_pu_quality": pu_quality,
+    "op2_toxicity_chain": toxicity_chain,
+    "op4_collision_near_vectors": collision_near_vectors,
+    "op5_gru_scores": gru_scores,
     "op8_byte_bpe": byte_bpe,
     "op9_minmax_near_dedup": minmax_near_dedup,
 }
