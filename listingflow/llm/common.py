@@ -43,6 +43,11 @@ def remainder(id_column: Column) -> Column:
     return F.coalesce(F.crc32(id_column.cast("string")), F.lit(0)) % 5
 
 
+def labels_to_learn(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Labels of the documents that may be learned from."""
+    return table(spark, sf_dir, "labels").where(remainder(F.col("doc_id")) != 0)
+
+
 def lower_ascii(text: Column) -> Column:
     return F.translate(text, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 

@@ -23,6 +23,8 @@ from listingflow.llm.common import prepare, records
 # At most so many positives and so many unlabelled rows are fitted on.
 SAMPLE = 8_000
 BUCKETS = 256
+# The score from which a document is taken as good.
+GOOD = 0.3
 SEED = 11
 
 _LETTERS = bytes(
@@ -175,5 +177,18 @@ def score(docs: DataFrame, model: tuple[np.ndarray, float], id: str = "doc_id",
     return docs.select(id, text).mapInArrow(run, f"{id} {kind}, score double")
 
 
-def accepted(score: Column, threshold: float = 0.3) -> Column:
+def keep_good(docs: DataFrame, model: tuple[np.ndarray, float], threshold: float, text: str = "text") -> DataFrame:
+    """The rows of `docs`, whole, whose text scores at least `threshold`."""
+    prepare(docs.sparkSession)
+    weights, bias = model
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = np.array([features(value) @ weights for (value,) in records(batch, text)], float)
+            yield batch.filter(pa.array(sigmoid(found + bias) >= threshold))
+
+    return docs.mapInArrow(run, docs.schema)
+
+
+def accepted(score: Column, threshold: float = GOOD) -> Column:
     return score >= threshold

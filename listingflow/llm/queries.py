@@ -4,51 +4,56 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import corpus_pipeline
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from listingflow.llm import quality, toxicity
 from listingflow.llm.bpe import encode_decode
-from listingflow.llm.common import remainder, table
+from listingflow.llm.chats import SQL as CHATS_SQL
+from listingflow.llm.chats import maximal_conversations
+from listingflow.llm.common import labels_to_learn, remainder, table
+from listingflow.llm.decontaminate import contaminated
 from listingflow.llm.lm import score_documents
 from listingflow.llm.minmax import near_duplicates
+from listingflow.llm.pii import personal_data
 from listingflow.llm.projections import near_vectors
+from listingflow.llm.urls import judge
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
-# Scores from which a document is taken as good, and as toxic.
-GOOD, TOXIC = 0.3, 0.5
-
-
-def _to_learn(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Labels of the rows that may be learned from."""
-    return table(spark, sf_dir, "labels").where(remainder(F.col("doc_id")) != 0)
+# The score from which a document is taken as toxic.
+TOXIC = 0.5
 
 
 def pu_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
-    model = quality.train(docs, _to_learn(spark, sf_dir))
+    model = quality.train(docs, labels_to_learn(spark, sf_dir))
     scored = quality.score(docs, model)
     return scored.select(
         "doc_id",
         (remainder(F.col("doc_id")) == 0).alias("held_out"),
         "score",
-        quality.accepted(F.col("score"), GOOD).cast("int").alias("predicted"),
+        quality.accepted(F.col("score")).cast("int").alias("predicted"),
     )
 
 
 def toxicity_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The labels have two categories: text of low quality, then toxic text."""
     docs = table(spark, sf_dir, "documents")
-    labels = _to_learn(spark, sf_dir).select("doc_id", (1 - F.col("quality")).alias("junk"), "toxic")
+    labels = labels_to_learn(spark, sf_dir).select("doc_id", (1 - F.col("quality")).alias("junk"), "toxic")
     models = toxicity.train(docs, labels, ["junk", "toxic"])
     scored = toxicity.score(docs, models, ["junk", "toxic"])
     toxic = F.col("p_toxic") >= TOXIC
     return scored.select("doc_id", "p_junk", "p_toxic", toxic.cast("int").alias("toxic"))
 
 
+def chat_collapse(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return maximal_conversations(table(spark, sf_dir, "conversations"))
+
+
 def collision_near_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_vectors(table(spark, sf_dir, "embeddings"), threshold=0.9)
 
@@ -57,6 +62,14 @@ def gru_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_documents(table(spark, sf_dir, "documents"), remainder(F.col("doc_id")) != 1)
 
 
+def path_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return judge(table(spark, sf_dir, "pages"))
+
+
+def pii_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return personal_data(table(spark, sf_dir, "documents"))
+
+
 def byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     ranks = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
     return encode_decode(table(spark, sf_dir, "documents"), ranks, public_tokenizers.PATTERN, ids=False)
@@ -66,13 +79,22 @@ def minmax_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"), size=3, percent=85)
 
 
+def simhash_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_pu_quality": pu_quality,
     "op2_toxicity_chain": toxicity_chain,
+    "op3_chat_collapse": chat_collapse,
     "op4_collision_near_vectors": collision_near_vectors,
     "op5_gru_scores": gru_scores,
+    "op6_path_templates": path_templates,
+    "op7_pii_spans": pii_spans,
     "op8_byte_bpe": byte_bpe,
     "op9_minmax_near_dedup": minmax_near_dedup,
+    "op10_simhash_decontamination": simhash_decontamination,
+    "pipeline": corpus_pipeline.run,
 }
 
-SQL: dict[str, str] = {}
+SQL: dict[str, str] = {"op3_chat_collapse": CHATS_SQL}
