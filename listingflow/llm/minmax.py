@@ -7,8 +7,10 @@ documents that share a band are candidates, and every link is confirmed on the
 full shingle sets.
 
 Only connected groups are asked for, not all links. A bucket of many near copies
-is therefore compared with a few of its members drawn at random, and then member
-by member only where its members are not yet known to belong together.
+is therefore compared with its most central member first, then with members drawn
+at random while that still joins groups. Members not known to belong together after
+that are compared by an exact prefix join: of two sets similar enough, the rarest
+shingles have one in common, at places that leave room for the rest.
 """
 
 from __future__ import annotations
@@ -30,9 +32,9 @@ SEED = 20240229
 CACHE_WORDS = 400_000
 # Shingles hashed at once: their values stay in the processor's cache.
 BLOCK = 1 << 16
-# A further round of random pivots is worth it while more pairs than this many
-# per document are left; what is left then is compared in full.
-PAIRS_PER_DOCUMENT = 4
+# Pivots are drawn again while more than this share of the pairs of a round link,
+# so many times at most; what is left then goes through the prefix join.
+WORTH = 0.05
 PIVOT_ROUNDS = 4
 
 
@@ -199,16 +201,19 @@ def near_duplicates(
         .distinct()
     )
     crowded = keys.groupBy("bucket").agg(F.count("*").alias("members")).where("members > 1")
-    keys = stored(keys.join(crowded.select("bucket"), "bucket", "left_semi"), "buckets")
-    wanted = keys.select("digest").distinct()
+    keys = stored(keys.join(crowded, "bucket"), "buckets")
+    wanted = stored(keys.groupBy("digest").agg(F.sum("members").alias("central")), "wanted")
+    keys = keys.drop("members")
     wanted_ids = signed.select(id, "digest").join(wanted, "digest", "left_semi")
     wanted_ids = wanted_ids.groupBy("digest").agg(F.min(id).alias("i")).select("i").distinct()
     sets = _sets(docs.join(wanted_ids, F.col(id).eqNullSafe(F.col("i")), "left_semi"), text, size)
     sets = stored(sets.where("digest is not null").dropDuplicates(["digest"]), "sets")
 
-    links, tested, group = None, None, keys.withColumn("group", F.col("digest"))
+    links, tested = None, None
+    group = keys.join(wanted, "digest").withColumn("group", F.col("digest"))
     for turn in range(PIVOT_ROUNDS):
-        drawn = F.struct(F.xxhash64("digest", F.lit(turn), "bucket").alias("draw"), "digest", "n", "group")
+        first = -F.col("central") if turn == 0 else F.xxhash64("digest", F.lit(turn), "bucket")
+        drawn = F.struct(first.alias("draw"), "digest", "n", "group")
         pivots = group.groupBy("bucket").agg(F.min(drawn).alias("p"))
         pairs = (
             group.join(pivots, "bucket")
@@ -222,12 +227,11 @@ def near_duplicates(
         found = stored(_links(pairs, sets, percent), "links")
         tested = pairs if tested is None else tested.unionByName(pairs)
         links = found if links is None else links.unionByName(found)
-        group, left = _regroup(keys, links)
-        if not left or left <= PAIRS_PER_DOCUMENT * wanted.count():
+        group = _regroup(keys, links)
+        if found.count() <= WORTH * pairs.count():
             break
-    if left:
-        rest = _across(group, percent).join(tested, ["a", "b"], "left_anti")
-        links = links.unionByName(stored(_links(rest, sets, percent), "links"))
+    rest = _across(group, sets, percent).join(tested, ["a", "b"], "left_anti")
+    links = links.unionByName(stored(_links(stored(rest, "pairs"), sets, percent), "links"))
     found = stored(components(links), "components")
 
     label = nodes.join(found, F.col("digest") == F.col("node"), "left").select(
@@ -244,36 +248,47 @@ def near_duplicates(
     )
 
 
-def _regroup(keys: DataFrame, links: DataFrame) -> tuple[DataFrame, int]:
-    """Members of buckets that hold several groups, and the pairs across groups there."""
+def _regroup(keys: DataFrame, links: DataFrame) -> DataFrame:
+    """Members of the buckets that hold several groups, with their own and the
+    bucket's largest group."""
     found = components(links)
     group = keys.join(found, F.col("digest") == F.col("node"), "left").select(
         *keys.columns, F.coalesce("component", "digest").alias("group")
     )
     per_group = group.groupBy("bucket", "group").agg(F.count("*").alias("size"))
-    mixed = (
-        per_group.groupBy("bucket")
-        .agg(
-            F.count("*").alias("groups"),
-            F.sum("size").alias("all"),
-            F.sum(F.col("size") * F.col("size")).alias("squares"),
-            F.max(F.struct("size", "group")).alias("main"),
-        )
-        .where("groups > 1")
-        .select("bucket", F.col("main.group").alias("main"), ((F.col("all") ** 2 - F.col("squares")) / 2).alias("across"))
-    )
-    mixed = stored(mixed, "mixed")
-    left = mixed.agg(F.sum("across")).first()[0] or 0
-    return stored(group.join(mixed.select("bucket", "main"), "bucket"), "groups"), left
+    mixed = per_group.groupBy("bucket").agg(F.count("*").alias("groups"), F.max(F.struct("size", "group")).alias("main"))
+    mixed = mixed.where("groups > 1").select("bucket", F.col("main.group").alias("main"))
+    return stored(group.join(mixed, "bucket"), "groups")
 
 
-def _across(group: DataFrame, percent: int) -> DataFrame:
-    """All pairs across the groups of a bucket, once each.
+def _across(group: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """The pairs across groups that may be similar enough, by an exact prefix join.
 
-    One side is never of the bucket's largest group, so that few are paired with many.
+    In an order of shingles by rarity, two sets of n and m with the needed overlap o
+    share one among their first n - p + 1 and m - p' + 1, p and p' being the least
+    overlap of any partner; behind their first common place i, j no more than
+    min(n - i, m - j) can be common. One of a pair is never of its bucket's largest
+    group, so those sets are looked up among the others.
     """
-    few = group.where(F.col("group") != F.col("main"))
-    x = few.select("bucket", F.col("digest").alias("x"), F.col("n").alias("n_x"), F.col("group").alias("g_x"))
-    y = group.select("bucket", F.col("digest").alias("y"), F.col("n").alias("n_y"), F.col("group").alias("g_y"))
-    pairs = x.join(y, "bucket").where((F.col("g_x") != F.col("g_y")) & _could_link(F.col("n_x"), F.col("n_y"), percent))
-    return pairs.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
+    members = group.groupBy("digest").agg(F.first("group").alias("group"), F.max(F.col("group") != F.col("main")).alias("few"))
+    rows = members.join(sets, "digest").withColumn("n", F.size("shingles"))
+    each = rows.select("digest", F.explode("shingles").alias("shingle"))
+    common = each.groupBy("shingle").agg(F.count("*").alias("df"))
+    ranked = each.join(common, "shingle").groupBy(F.col("digest").alias("d")).agg(
+        F.array_sort(F.collect_list(F.struct("df", "shingle"))).alias("ranked")
+    )
+    # The rarest n - ceil(n * percent / 100) + 1 of a set.
+    length = F.col("n") - F.ceil(F.col("n") * percent / 100).cast("int") + 1
+    first = rows.drop("shingles").join(ranked, F.col("digest") == F.col("d"))
+    first = first.select("digest", "group", "few", "n", F.slice("ranked", F.lit(1), length).alias("ranked"))
+    first = first.select("digest", "group", "few", "n", F.posexplode("ranked").alias("at", "r"))
+    first = stored(first.select("digest", "group", "few", "n", "at", F.col("r.shingle").alias("shingle")), "prefixes")
+    names = [c for c in first.columns if c != "shingle"]
+    x = first.where("few").select("shingle", *(F.col(c).alias(f"{c}_x") for c in names))
+    y = first.select("shingle", *(F.col(c).alias(f"{c}_y") for c in names))
+    needed = percent * (F.col("n_x") + F.col("n_y"))
+    room = F.least(F.col("n_x") - F.col("at_x"), F.col("n_y") - F.col("at_y"))
+    pairs = x.join(y, "shingle").where((F.col("group_x") != F.col("group_y")) & ((100 + percent) * room >= needed))
+    return pairs.select(
+        F.least("digest_x", "digest_y").alias("a"), F.greatest("digest_x", "digest_y").alias("b")
+    ).distinct()
