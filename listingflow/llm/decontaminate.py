@@ -20,7 +20,7 @@ SHINGLE = 5
 THRESHOLD = 0.8
 # Fingerprints of 64 bits in blocks. At a similarity of 0.8 about 10 bits differ,
 # give or take 3; the radius leaves out some 2 pairs in 10,000 there.
-BITS, BLOCKS, RADIUS = 64, 4, 20
+BITS, BLOCKS, RADIUS = 64, 8, 20
 WHITE = r"[\x20\x09-\x0D]+"
 
 
@@ -144,7 +144,8 @@ def contaminated(
     ours = ours.select("item", "n_words", "item_print", F.posexplode_outer(_blocks(F.col("item_print"))).alias("block", "part"))
     ours = ours.withColumn("flip", F.explode_outer(_flips())).withColumn("part", F.col("part").bitwiseXOR(F.col("flip")))
     theirs = cut.select("window", "n_words", "print", F.posexplode_outer(_blocks(F.col("print"))).alias("block", "part"))
-    near = theirs.join(ours.drop("flip"), ["n_words", "block", "part"])
+    # Spark cannot see how many rows the flips make, and would take them for few.
+    near = theirs.join(ours.drop("flip").hint("merge"), ["n_words", "block", "part"])
     near = near.where(F.bit_count(F.col("print").bitwiseXOR(F.col("item_print"))) <= RADIUS)
     near = near.select("window", "item").distinct()
 
