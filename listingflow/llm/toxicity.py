@@ -153,7 +153,8 @@ def train(
                 | {name: batch.column(name) for name in names}
             )
 
-    rows = docs.dropDuplicates([id]).join(chosen, F.col(id) == F.col("_id")).select(F.col("_id").cast("string"), text, *names)
+    rows = docs.select(id, text).join(chosen, F.col(id) == F.col("_id")).dropDuplicates(["_id"])
+    rows = rows.select(F.col("_id").cast("string"), text, *names)
     fields = ", ".join(f"{name} double" for name in names)
     found = rows.mapInArrow(run, f"_id string, _words binary, {fields}").toArrow().to_pandas()
     index, starts = _joined([np.frombuffer(w, np.int32) for w in found["_words"]])
