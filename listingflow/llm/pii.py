@@ -44,7 +44,7 @@ def _is_iban(match: Column) -> Column:
         code = F.ascii(sign)
         return F.when(code >= 65, (rest * 100 + code - 55) % 97).otherwise((rest * 10 + code - 48) % 97)
 
-    return F.aggregate(F.split(turned, "(?!^)"), F.lit(0), step) == 1
+    return F.aggregate(F.regexp_extract_all(turned, F.lit("."), 0), F.lit(0), step) == 1
 
 
 @dataclass(frozen=True)
