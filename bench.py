@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 import workload
 from listingflow.operators.parse import parse_listings
 from listingflow.operators.upsert import latest
-from listingflow.session import build_session
+from listingflow.session import build_session, ensure_shared_dir
 from listingflow.sources.pages import extract_pages, read_pages
 from workload.fixtures import BASE_URL, arr, js, num, obj, uf_of
 from workload.registry import table
@@ -101,6 +101,7 @@ def main() -> None:
         },
     )
     spark.sparkContext.setLogLevel("ERROR")
+    ensure_shared_dir(spark)
     runs = {name: workload.QUERIES[name] for name in REGISTERED}
     for extra in (parse_line_items, parse_and_upsert, upsert_by_rank, upsert_by_max, extract_all_pages):
         runs[extra.__name__] = extra

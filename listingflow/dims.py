@@ -35,6 +35,12 @@ STATES = [
     ("DF", "Distrito Federal", "Brasília", 53),
 ]
 
+# The states in the order a run walks them.
+STATE_WALK = [
+    "SP", "RJ", "MG", "PR", "RS", "SC", "BA", "PE", "CE", "DF", "GO", "PA", "AM", "MA", "ES", "MT", "MS", "PB", "RN", "AL",
+    "PI", "SE", "TO", "RO", "AC", "AP", "RR",
+]
+
 # Unit type of the payload -> listing type of the table.
 UNIT_TYPES = {
     "APARTMENT": "apartamento",

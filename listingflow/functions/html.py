@@ -80,15 +80,13 @@ def _describes_property(value: Column) -> Column:
 
 def json_ld(html: Column) -> Column:
     """First property description among the page's JSON-LD scripts, as VARIANT."""
-    bodies = F.regexp_extract_all(
-        html,
-        F.lit(
-            r"(?is)<script(?=" + TAG_PART + r"*?(?<=[\s\"'/])type\s*=\s*(?-i:"
-            + "|".join([rf'"\Q{LD_SCRIPT_TYPE}\E"', rf"'\Q{LD_SCRIPT_TYPE}\E'", rf"\Q{LD_SCRIPT_TYPE}\E(?=[\s>])"])
-            + r"))" + IN_TAG + r">(.*?)</script\s*>"
-        ),
-        1,
-    )
+    # Start tags are matched without going back, then looked into one by one.
+    script = r"(?is)<script(?=[\s/>])" + IN_TAG + ">"
+    whole = script + r".*?</script\s*>"
+    bare = F.regexp_replace(html, rf"(?s)<!--.*?-->|({whole})", "$1")
+    scripts = F.regexp_extract_all(bare, F.lit(whole), 0)
+    typed = F.filter(scripts, lambda s: attribute(F.regexp_extract(s, script, 0), "type") == LD_SCRIPT_TYPE)
+    bodies = F.transform(typed, lambda s: F.regexp_extract(s, script + r"(.*)</script\s*>$", 1))
 
     def candidates(body: Column) -> Column:
         value = F.try_parse_json(body)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Window, SparkSession
 from pyspark.sql import functions as F
 
 from listingflow.dims import CITY_STRIDE, states
@@ -54,18 +54,28 @@ def start_city(last_page: Column) -> Column:
 def next_progress(done: DataFrame, n_cities: DataFrame, limit: int | None = None) -> DataFrame:
     """(estado, last_page) from the finished cities (uf, city_idx, saved).
 
-    Progress is kept per city; the state's number is derived here. A state is
-    complete when its last city is done, unless the run ended at its limit.
+    Cities may be done in any order. A state is complete when all its cities are
+    done, unless the run ended at its limit; else the next run starts at the first
+    city that is not done.
     """
-    reached = done.groupBy("uf").agg(
-        F.max("city_idx").alias("_last"), F.sum("saved").alias("_saved")
+    cities = done.groupBy("uf", "city_idx").agg(F.sum("saved").alias("saved"))
+    place = F.row_number().over(Window.partitionBy("uf").orderBy("city_idx")) - 1
+    reached = (
+        cities.withColumn("_place", place)
+        .groupBy("uf")
+        .agg(
+            F.min(F.when(F.col("city_idx") != F.col("_place"), F.col("_place"))).alias("_gap"),
+            F.count("*").alias("_done"),
+            F.sum("saved").alias("_saved"),
+        )
+        .withColumn("_next", F.coalesce("_gap", "_done"))
     )
     at_limit = F.col("_saved") >= limit if limit else F.lit(False)
-    complete = F.col("_last") + 1 >= F.col("n_cities")
+    complete = F.col("_next") >= F.col("n_cities")
     return reached.join(n_cities.select("uf", "n_cities"), "uf").select(
         F.col("uf").alias("estado"),
         F.when(~at_limit & complete, COMPLETE)
-        .otherwise(packed(F.col("_last")))
+        .otherwise(packed(F.col("_next") - 1))
         .cast("bigint")
         .alias("last_page"),
     )

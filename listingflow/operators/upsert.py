@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from listingflow.dims import LISTING_TYPES
+from listingflow.dims import LISTING_TYPES, STATE_WALK
 
 REQUIRED = ["url", "portal"]
 
@@ -13,12 +13,15 @@ REQUIRED = ["url", "portal"]
 def write_order() -> list[Column]:
     """Total order of writes of a run over the columns of a page context.
 
+    A run finishes one state before the next, and city numbers start anew in each.
     The pass without a neighbourhood comes after all others of its city, and
     new developments come after used property.
     """
     kinds = F.array(*(F.lit(kind) for kind in LISTING_TYPES))
     return [
         F.col("run"),
+        F.array_position(F.array(*(F.lit(uf) for uf in STATE_WALK)), F.col("uf")),
+        F.col("uf"),
         F.col("city_idx"),
         F.coalesce(F.col("neighbourhood"), F.lit("")) == "",
         F.col("neighbourhood_pos"),

@@ -41,8 +41,8 @@ def expand_worklist(cities: DataFrame, neighbourhoods: DataFrame) -> DataFrame:
 
 
 def expand_pages(worklist: DataFrame, pages: Column | int = MAX_PAGES) -> DataFrame:
-    """One row per page with the offset of its first listing."""
-    last = F.least(F.lit(pages) if isinstance(pages, int) else pages, F.lit(MAX_PAGES))
+    """One row per page with the offset of its first listing: all pages asked for."""
+    last = F.lit(pages) if isinstance(pages, int) else pages
     numbers = F.when(last >= 1, F.sequence(F.lit(1), last.cast("int")))
     return worklist.withColumn("page", F.explode(numbers)).withColumn(
         "offset", (F.col("page") - 1) * PAGE_SIZE

@@ -55,6 +55,7 @@ def read_log(spark: SparkSession, log: str, after_batch: int = -1) -> DataFrame:
     """Rows of the change log with their `batch`, optionally only of later batches."""
     return (
         spark.read.option("basePath", log)
+        .option("mergeSchema", "true")  # a later batch may have more columns
         .parquet(f"{log}/batch=*")
         .withColumn("batch", F.col("batch").cast("bigint"))
         .where(F.col("batch") > after_batch)

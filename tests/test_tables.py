@@ -83,11 +83,12 @@ def test_stored_rows_are_not_shuffled_for_few_new_ones(spark, tmp_path):
 
 
 def test_write_order(spark):
-    schema = "run int, city_idx int, neighbourhood string, neighbourhood_pos int, listing_type string, page int, pos int"
+    schema = "run int, uf string, city_idx int, neighbourhood string, neighbourhood_pos int, listing_type string, page int, pos int"
     in_order = [
-        (0, 0, "A", 0, "USED", 1, 0), (0, 0, "A", 0, "USED", 1, 1), (0, 0, "A", 0, "USED", 2, 0),
-        (0, 0, "A", 0, "DEVELOPMENT", 1, 0), (0, 0, "B", 1, "USED", 1, 0), (0, 0, "", None, "USED", 1, 0),
-        (0, 1, "A", 0, "USED", 1, 0), (1, 0, "A", 0, "USED", 1, 0),
+        (0, "SP", 0, "A", 0, "USED", 1, 0), (0, "SP", 0, "A", 0, "USED", 1, 1), (0, "SP", 0, "A", 0, "USED", 2, 0),
+        (0, "SP", 0, "A", 0, "DEVELOPMENT", 1, 0), (0, "SP", 0, "B", 1, "USED", 1, 0), (0, "SP", 0, "", None, "USED", 1, 0),
+        (0, "SP", 1, "A", 0, "USED", 1, 0), (0, "AC", 0, "A", 0, "USED", 1, 0), (0, "RR", 0, "A", 0, "USED", 1, 0),
+        (1, "SP", 0, "A", 0, "USED", 1, 0),
     ]
     df = spark.createDataFrame(random.Random(1).sample(in_order, len(in_order)), schema)
     assert [tuple(r) for r in df.orderBy(*write_order()).collect()] == in_order
@@ -204,6 +205,24 @@ def test_next_progress(spark):
     assert rows_of(progress.next_progress(done, totals, limit=10)) == [("A", 2001), ("B", 1001), ("C", -1)]
 
 
+def test_progress_of_cities_done_out_of_order(spark):
+    done = spark.createDataFrame([("A", 4, 1), ("B", 0, 1), ("B", 2, 1), ("B", 2, 1)], "uf string, city_idx int, saved int")
+    totals = spark.createDataFrame([("A", 5), ("B", 3)], "uf string, n_cities int")
+    assert rows_of(progress.next_progress(done, totals)) == [("A", 1), ("B", 1001)]
+
+
+def test_all_pages_asked_for(spark):
+    assert worklist.expand_pages(spark.range(1), 500).count() == 500
+    assert worklist.expand_pages(spark.range(1)).count() == 420
+
+
+def test_columns_of_a_later_batch(spark, tmp_path):
+    spark.range(1).selectExpr("'x' as a").write.parquet(str(tmp_path / "batch=0"))
+    spark.range(1).selectExpr("'y' as a", "'z' as b").write.parquet(str(tmp_path / "batch=1"))
+    rows = read_log(spark, str(tmp_path)).orderBy("batch").collect()
+    assert [(r.a, r.b) for r in rows] == [("x", None), ("y", "z")]
+
+
 def test_progress_table(spark):
     stored = spark.createDataFrame([("SP", 5, "t0"), ("RJ", 6, "t0")], "estado string, last_page long, updated_at string")
     updates = spark.createDataFrame([("SP", 9, 1), ("SP", 7, 2)], "estado string, last_page long, seq int")

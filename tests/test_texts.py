@@ -184,3 +184,17 @@ def test_index_is_followed_one_level(spark):
 def test_filter_urls(spark, pattern, kept):
     urls = spark.createDataFrame([("h/SP/1",), ("h/sp/2",), ("h/rj/1",)], "url string")
     assert S.filter_urls(urls, pattern).count() == kept
+
+
+def test_json_ld_in_odd_tags(spark):
+    product = '{"@type": "Product", "name": "%s"}'
+    script = '<script type="application/ld+json">%s</script>'
+    pages = [
+        (1, f'<script type=application/ld+json {"a" * 100_000}>{product % "long"}</script>'),
+        (2, f'<!-- {script % (product % "commented")} -->{script % (product % "real")}'),
+        (3, '<script type="application/ld+json" ' + "a" * 100_000),
+        (4, "<scripted type='application/ld+json'>" + product % "other" + "</script>"),
+    ]
+    df = spark.createDataFrame(pages, "id int, html string")
+    rows = df.select("id", F.try_variant_get(H.json_ld(F.col("html")), "$.name", "string").alias("n")).orderBy("id").collect()
+    assert [r.n for r in rows] == ["long", "real", None, None]

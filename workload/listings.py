@@ -326,19 +326,22 @@ def upsert_preserve(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     "U2_write_order",
-    """WITH writes AS (SELECT l_orderkey || '-' || l_linenumber AS url, l_suppkey % 7 AS city_idx,
+    """WITH writes AS (SELECT CAST(l_orderkey % 5000 AS VARCHAR) AS url, l_suppkey % 7 AS city_idx,
+        ['SP', 'AC', 'RJ', 'MG', 'RR', 'DF'][1 + l_partkey % 6] AS uf,
         CASE WHEN l_linestatus = 'O' THEN '' ELSE 'N' || l_partkey % 5 END AS neighbourhood,
         CASE WHEN l_returnflag = 'A' THEN 'DEVELOPMENT' ELSE 'USED' END AS listing_type,
         l_suppkey AS page, l_partkey AS pos FROM lineitem)
-    SELECT url, neighbourhood, listing_type, pos FROM writes
-    QUALIFY row_number() OVER (PARTITION BY url ORDER BY city_idx DESC, neighbourhood = '' DESC,
+    SELECT DISTINCT url, uf, neighbourhood, listing_type, pos FROM writes
+    QUALIFY rank() OVER (PARTITION BY url ORDER BY
+        list_position(['SP', 'RJ', 'MG', 'DF', 'AC', 'RR'], uf) DESC, city_idx DESC, neighbourhood = '' DESC,
         neighbourhood DESC, listing_type = 'DEVELOPMENT' DESC, page DESC, pos DESC) = 1""",
 )
 def written_last(spark: SparkSession, sf_dir: str) -> DataFrame:
     passes = F.col("l_linestatus") == "O"
     writes = table(spark, sf_dir, "lineitem").select(
-        F.concat_ws("-", "l_orderkey", "l_linenumber").alias("url"),
+        (F.col("l_orderkey") % 5000).cast("string").alias("url"),
         F.lit(0).alias("run"),
+        F.element_at(F.array(*map(F.lit, ["SP", "AC", "RJ", "MG", "RR", "DF"])), (F.col("l_partkey") % 6 + 1).cast("int")).alias("uf"),
         (F.col("l_suppkey") % 7).alias("city_idx"),
         F.when(passes, "").otherwise(F.concat(F.lit("N"), F.col("l_partkey") % 5)).alias("neighbourhood"),
         F.when(~passes, F.col("l_partkey") % 5).alias("neighbourhood_pos"),
@@ -346,7 +349,7 @@ def written_last(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("l_suppkey").alias("page"),
         F.col("l_partkey").alias("pos"),
     )
-    return latest(writes, "url", write_order()).select("url", "neighbourhood", "listing_type", "pos")
+    return latest(writes, "url", write_order()).select("url", "uf", "neighbourhood", "listing_type", "pos")
 
 
 @query(

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from listingflow.dims import DISCOVERY_TERMS, MAX_PAGES, STATES
+from listingflow.dims import DISCOVERY_TERMS, STATES
 from listingflow.functions.variants import truthy
 from listingflow.operators import discovery, progress, rules
 from listingflow.operators.positions import with_position
@@ -293,12 +293,12 @@ def work_list(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     "J4_pages",
-    f"""SELECT c_custkey, CAST(page AS INTEGER) AS page, CAST((page - 1) * 24 AS INTEGER) AS "offset"
-    FROM (SELECT c_custkey, unnest(range(1, least(c_custkey % 500, {MAX_PAGES}) + 1)) AS page FROM customer)""",
+    """SELECT c_custkey, CAST(page AS INTEGER) AS page, CAST((page - 1) * 24 AS INTEGER) AS "offset"
+    FROM (SELECT c_custkey, unnest(range(1, c_custkey % 501 + 1)) AS page FROM customer)""",
 )
 def pages_of_walks(spark: SparkSession, sf_dir: str) -> DataFrame:
     walks = table(spark, sf_dir, "customer").select("c_custkey")
-    return worklist.expand_pages(walks, F.col("c_custkey") % 500)
+    return worklist.expand_pages(walks, F.col("c_custkey") % 501)
 
 
 TERMS_SQL = "[" + ", ".join(f"'{term}'" for term in DISCOVERY_TERMS) + "]"
@@ -459,13 +459,18 @@ def save_progress(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     "P3_next_progress",
-    f"""SELECT uf AS estado, CASE WHEN last + 1 >= {CITIES} AND NOT at_limit THEN -1 ELSE (last + 1) * 1000 + 1 END
-        AS last_page FROM (SELECT uf, max(city_idx) AS last, sum(saved) >= 650 AS at_limit FROM {SAVED_SQL}
-        WHERE uf < 'PA' OR city_idx < 11 GROUP BY uf)""",
+    f"""WITH done AS (SELECT uf, city_idx + CAST(city_idx >= ascii(uf) % 13 AS INTEGER) AS city_idx, saved FROM {SAVED_SQL}),
+    states AS (SELECT uf, sum(saved) >= 650 AS at_limit, list(city_idx) AS cities FROM done GROUP BY uf),
+    gaps AS (SELECT *, list_min(list_filter(range(0, {CITIES} + 2), lambda i: NOT list_contains(cities, i))) AS gap FROM states)
+    SELECT uf AS estado, CASE WHEN gap >= {CITIES} + ascii(uf) % 2 AND NOT at_limit THEN -1 ELSE gap * 1000 + 1 END AS last_page
+    FROM gaps""",
 )
 def next_progress(spark: SparkSession, sf_dir: str) -> DataFrame:
-    done = saved_per_city(spark, sf_dir).where("uf < 'PA' OR city_idx < 11")
-    totals = customers(spark, sf_dir).groupBy("uf").agg(F.lit(CITIES).alias("n_cities"))
+    """All cities are done but one in most states, which have one more or not."""
+    left_out = F.ascii("uf") % 13
+    done = saved_per_city(spark, sf_dir)
+    done = done.withColumn("city_idx", F.col("city_idx") + (F.col("city_idx") >= left_out).cast("int"))
+    totals = customers(spark, sf_dir).groupBy("uf").agg((F.lit(CITIES) + F.ascii("uf") % 2).alias("n_cities"))
     return progress.next_progress(done, totals, limit=650)
 
 
