@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from listingflow.llm import gru
-from listingflow.llm.common import prepare, records, stored, words
+from listingflow.llm.common import BATCH_ROWS, prepare, records, stored, words
 
 # The token behind a document's last word; no word is empty.
 END = b""
@@ -31,7 +31,10 @@ FREQUENT = 1 << 17
 TAILS = 64
 # Words counted, and tokens learned from or scored, at once in a task.
 COUNTED = 300_000
-CHUNK = 400_000
+CHUNK = 1_600_000
+# Rows of a batch, of bounded bytes as ever: many documents fill the lanes beside a
+# very long one.
+ROWS = 4 * BATCH_ROWS
 # The share of the training documents (in sixteenths) that each round learns from.
 ROUNDS = ((0, 4), (4, 16))
 BLOCK = 4096
@@ -247,6 +250,7 @@ def score_documents(docs: DataFrame, learn_from: Column, id: str = "doc_id", tex
     """
     prepare(docs.sparkSession)
     spark = docs.sparkSession
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", ROWS)
     rows = docs.select(F.col(id).alias("id"), F.col(text).alias("text"), F.coalesce(learn_from, F.lit(False)).alias("learn"))
     training = rows.where("learn").select("id", "text")
     counts = stored(count_words(training, "text"), "counts")
