@@ -37,13 +37,15 @@ def batch_metrics(df: DataFrame, required: list[str] = REQUIRED) -> DataFrame:
 
 
 def listings_per_state(listings: DataFrame) -> DataFrame:
-    """Current listings per state with their mean price.
+    """Current listings per state, those with a price, and their mean price.
 
     Prices are added up as decimals, so the result does not depend on the order
-    in which partial sums meet.
+    in which partial sums meet. A price that is infinite or of more than 22 whole
+    digits is left out of the mean and of `n_priced`.
     """
-    cents = F.col("preco").cast("decimal(18,2)")
+    price = F.col("preco").try_cast("decimal(28,6)")
     return listings.groupBy("estado").agg(
         F.count("*").alias("n_listings"),
-        (F.sum(cents).cast("double") / F.count(cents)).alias("mean_price"),
+        F.count(price).alias("n_priced"),
+        F.try_divide(F.sum(price).cast("double"), F.count(price)).alias("mean_price"),
     )

@@ -18,7 +18,8 @@ def match_city(locations: DataFrame, city: str = "city") -> DataFrame:
 def distinct_neighbourhoods(matched: DataFrame) -> DataFrame:
     """(uf, city, neighbourhood, neighbourhood_pos), sorted by code point."""
     found = matched.select("uf", "city", "neighbourhood").distinct()
-    return with_position(found, ["uf", "city"], ["neighbourhood"], "neighbourhood_pos")
+    placed = with_position(found, ["uf", "city"], ["neighbourhood"], "neighbourhood_pos")
+    return placed.withColumn("neighbourhood_pos", F.col("neighbourhood_pos").cast("int"))
 
 
 def city_index(municipalities: DataFrame) -> DataFrame:

@@ -66,7 +66,7 @@ def with_position(
     return (
         split.withColumn("_inside", inside)
         .join(offsets, _same(piece, "_o"))
-        .withColumn(name, (F.col("_before") + F.col("_inside") + start).cast("int"))
+        .withColumn(name, (F.col("_before") + F.col("_inside") + start).cast("bigint"))
         .select(*df.columns, name)
     )
 

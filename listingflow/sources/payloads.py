@@ -54,6 +54,19 @@ def page_state(payload: Column) -> Column:
     return F.when(F.size(page_items(payload)) > 0, "items").otherwise(without_items)
 
 
+def unreadable(df: DataFrame, payload: str = "payload") -> DataFrame:
+    """The rows whose payload is not one JSON text as a whole, with the `reason`.
+
+    Works for pages, locations and municipalities alike; `reason` is "missing" for
+    a null, else "not JSON": empty, cut off, or with something behind the JSON.
+    """
+    # A parser stops at the end of the first value; a mark behind it tells that all was read.
+    marked = F.try_parse_json(F.concat(F.lit("["), payload, F.lit(',"end"]')))
+    whole = F.coalesce(F.try_variant_get(marked, "$[1]", "string") == "end", F.lit(False))
+    reason = F.when(F.col(payload).isNull(), "missing").when(~whole, "not JSON")
+    return df.withColumn("reason", reason).where(F.col("reason").isNotNull())
+
+
 def explode_listings(df: DataFrame, payload: str = "payload", parallelism: int | None = None) -> DataFrame:
     """One row per listing item: the other columns, `pos` in the page and `item` (JSON text).
 

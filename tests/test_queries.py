@@ -33,5 +33,5 @@ def test_plan_stays_in_the_jvm(spark, name):
 
 def test_entry(spark):
     df = __spark_entry__.entry(spark)
-    assert df.columns == ["estado", "n_listings", "mean_price"] and df.count() > 0
+    assert df.columns == ["estado", "n_listings", "n_priced", "mean_price"] and df.count() > 0
     assert set(__spark_entry__.oracle_sql()) <= set(__spark_entry__.queries())

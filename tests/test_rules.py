@@ -6,7 +6,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from listingflow.operators import positions, rules
+from listingflow.operators.counts import listings_per_state
 from listingflow.operators.positions import sum_before, with_position
+from listingflow.sources.payloads import unreadable
 
 
 @pytest.fixture(params=[3, 4096])
@@ -119,3 +121,18 @@ def test_page_budget(spark):
     c = F.col
     rows = df.select(rules.last_page(c("total"), c("start"), c("n")).alias("last")).collect()
     assert [r["last"] for r in rows] == [7, 3, 50, 11]
+
+
+def test_unreadable_payloads_are_set_aside(spark):
+    texts = ['{"a":1}', ' {"a":1} ', "[1,2]", '{"a":1} x', '{"a":1}{', '{"a":', "", None, '1,2', "null"]
+    rows = spark.createDataFrame(list(enumerate(texts)), "id int, payload string")
+    got = {r["id"]: r["reason"] for r in unreadable(rows).collect()}
+    assert got == {3: "not JSON", 4: "not JSON", 5: "not JSON", 6: "not JSON", 7: "missing", 8: "not JSON"}
+    assert unreadable(rows.limit(0)).collect() == []
+
+
+def test_mean_price_leaves_out_what_is_no_price(spark):
+    prices = [("AC", 0.004), ("AC", 0.004), ("AC", float("inf")), ("AC", 1e30), ("RJ", 1e17), ("SP", None)]
+    rows = spark.createDataFrame(prices, "estado string, preco double")
+    got = {tuple(r) for r in listings_per_state(rows).collect()}
+    assert got == {("AC", 4, 2, 0.004), ("RJ", 1, 1, 1e17), ("SP", 1, 0, None)}

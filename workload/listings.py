@@ -12,7 +12,7 @@ from listingflow.operators.parse import OUTCOME, parse_listings, project_items
 from listingflow.operators.upsert import latest, upsert_latest, write_order
 from listingflow.plans.collect import current_listings, parse_pages, walked_pages
 from listingflow.session import new_dir
-from listingflow.sources.payloads import explode_listings
+from listingflow.sources.payloads import explode_listings, unreadable
 from listingflow.sources.tables import (
     add_columns, conform_listings, evolve, only_portal, read_listings, stamp, write_listings,
 )
@@ -200,6 +200,24 @@ def fatal_truncate(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- S: sources and sinks ----------------------------------------------------
 
 
+@query(
+    "S1_unreadable",
+    f"""SELECT DISTINCT {K} // 24 AS n, CASE {K} // 24 % 5 WHEN 3 THEN 'missing' ELSE 'not JSON' END AS reason
+    FROM part WHERE {K} // 24 % 5 IN (0, 2, 3)""",
+)
+def unreadable_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages of which some are cut off, some hold text behind the JSON, and some are missing."""
+    n = F.col("city_idx") * 4 + F.col("page") - 1
+    pages = part_pages(spark, sf_dir).withColumn("n", n.cast("bigint"))
+    whole = F.col("payload")
+    spoilt = (
+        F.when(F.col("n") % 5 == 0, F.expr("left(payload, length(payload) - 2)"))
+        .when(F.col("n") % 5 == 2, F.concat(whole, F.lit(" x")))
+        .when(F.col("n") % 5 != 3, whole)
+    )
+    return unreadable(pages.withColumn("payload", spoilt)).select("n", "reason")
+
+
 @query(
     "S1_explode_listings",
     f"SELECT {K} // 24 AS n, {K} % 24 AS pos, {ID_SQL} AS id FROM part",
@@ -421,12 +439,16 @@ def metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # --- end to end --------------------------------------------------------------
 
-# Rows with one address are written in the order of their parts.
+# Rows with one address are written state by state, in the order that a run walks
+# the states, and within a state in the order of their parts. Four pages make a walk.
 PER_STATE_SQL = f"""
     WITH items AS (SELECT {K} AS k, {URL_SQL} AS url, {STATE_SQL} AS estado, {PRICE_SQL} AS preco FROM part),
-    current_rows AS (SELECT * FROM items QUALIFY row_number() OVER (PARTITION BY url ORDER BY k DESC) = 1)
+    current_rows AS (SELECT * FROM items QUALIFY row_number() OVER (PARTITION BY url ORDER BY
+        list_position(['SP', 'RJ', 'MG', 'PR', 'RS', 'SC', 'BA', 'PE', 'CE', 'DF', 'GO', 'PA', 'AM', 'MA', 'ES', 'MT',
+        'MS', 'PB', 'RN', 'AL', 'PI', 'SE', 'TO', 'RO', 'AC', 'AP', 'RR'], {uf_sql("k // 96")}) DESC, k DESC) = 1)
     SELECT estado, count(*) AS n_listings,
-        CAST(sum(CAST(preco AS DECIMAL(18, 2))) AS DOUBLE) / count(preco) AS mean_price
+        count(preco) AS n_priced,
+        CAST(sum(CAST(preco AS DECIMAL(28, 6))) AS DOUBLE) / count(preco) AS mean_price
     FROM current_rows GROUP BY estado"""
 
 

@@ -327,7 +327,7 @@ def filtered(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filter_urls(table(spark, sf_dir, "pages").select("page_id", "url"), r"/EN/|\.HTML$")
 
 
-@query("S4_read_sitemaps", "SELECT url, 2 AS files FROM pages")
+@query("S4_read_sitemaps", "SELECT unnest([url, url || '&amp;x=1']) AS url, 2 AS files FROM pages")
 def sitemap_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Write the sitemaps out plain and packed, and read both back."""
     maps = child_maps(spark, sf_dir).select("content")
@@ -336,5 +336,4 @@ def sitemap_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     maps.write.option("compression", "gzip").text(f"{path}/packed")
     found = sitemap_urls(read_sitemaps(spark, f"{path}/*"))
     packed = F.col("path").endswith(".gz").cast("int")
-    per_url = found.groupBy("url").agg(F.countDistinct(packed).cast("int").alias("files"))
-    return filter_urls(per_url, r"^(?!.*&amp;x=1$)")
+    return found.groupBy("url").agg(F.countDistinct(packed).cast("int").alias("files"))
