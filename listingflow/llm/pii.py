@@ -23,6 +23,22 @@ ENOUGH = 0.5
 # Lengths are summed in stretches of this many parts.
 STRETCH = 128
 
+# Characters of an IBAN by country: the registry's, then those in partial use.
+IBAN_LENGTHS = {
+    15: "NO", 16: "BE", 18: "DK FI FO GL NL SD FK", 19: "MK SI", 20: "AT BA EE KZ LT LU MN XK",
+    21: "CH HR LI LV", 22: "BG BH CR DE GB GE IE ME RS VA", 23: "AE GI IL IQ OM SO TL",
+    24: "AD CZ ES MD PK RO SA SE SK TN VG", 25: "LY PT ST AO CV GW MZ", 26: "IS TR DZ IR",
+    27: "BI DJ FR GR IT MC MR SM CF CG CM GA GQ KM MG TD",
+    28: "AL AZ BY CY DO GT HN HU LB NI PL SV BF BJ CI MA ML NE SN TG", 29: "BR EG PS QA UA", 30: "JO KW MU YE",
+    31: "MT SC", 32: "LC", 33: "RU",
+}
+_KNOWN = "(?:" + "|".join(" ".join(IBAN_LENGTHS.values()).split()) + ")[0-9]{2}"
+# As many signs as the country has; of codes not listed any number, but none that begin another.
+_IBAN = "|".join(
+    [f"(?:{'|'.join(codes.split())})[0-9]{{2}}(?: ?[A-Z0-9]){{{n - 4}}}" for n, codes in IBAN_LENGTHS.items()]
+    + [f"(?!{_KNOWN})[A-Z]{{2}}[0-9]{{2}}(?:(?: (?!{_KNOWN}))?[A-Z0-9]){{11,30}}"]
+)
+
 _BYTE = "0*(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[0-9]{1,2})"
 
 
@@ -75,7 +91,7 @@ BASE = (
 )
 MORE = (
     Kind(
-        "iban", r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]){11,30}(?![A-Za-z0-9])", "[A-Z]{2}[0-9]{2}", 0.8,
+        "iban", rf"(?<![A-Za-z0-9])(?:{_IBAN})(?![A-Za-z0-9])", "[A-Z]{2}[0-9]{2}", 0.8,
         "iban|account|bank", _is_iban,
     ),
     Kind("secret", r"(?<![0-9A-Za-z])[0-9a-f]{32,64}(?![0-9A-Za-z])", "[0-9a-f]{32}", 0.3, "token|secret|key|password"),
@@ -115,20 +131,29 @@ def _starts(sizes: Column) -> Column:
     return F.flatten(F.zip_with(stretches, running(totals, F.lit(0)), running))
 
 
-def _around(before: Column, behind: Column) -> Column:
-    """What stands next to a match, given the part before and the text behind it."""
-    left = F.right(F.substring_index(before, CUT, -1), F.lit(NEARBY))
-    return F.lower(F.concat(left, F.lit(" "), F.left(behind, F.lit(NEARBY))))
+def _around(parts: Column, k: Column) -> Column:
+    """What stands on either side of the match in part `k`, other matches of its kind left out."""
+
+    def between(part: Column) -> Column:
+        return F.substring_index(part, CUT, -1)
+
+    def joined(own: Column, begin: Column, number: Column, cut: Callable[[Column, Column], Column]) -> Column:
+        # Other parts count only if their neighbour is short.
+        more = F.transform(F.slice(parts, begin, number), lambda p: cut(between(p), F.lit(NEARBY)))
+        return cut(F.when(F.length(own) >= NEARBY, own).otherwise(F.array_join(more, "")), F.lit(NEARBY))
+
+    left = joined(between(F.get(parts, k - 1)), F.greatest(k - NEARBY, F.lit(0)) + 1, F.least(k, F.lit(NEARBY)), F.right)
+    right = joined(between(F.get(parts, k)), k + 1, F.lit(NEARBY), F.left)
+    return F.lower(F.concat(left, F.lit(" "), right))
 
 
 def _spans(parts: Column, starts: Column, kind: Kind) -> Column:
     """The confirmed matches with their scores; base kinds stay whatever the score."""
 
     def span(k: Column) -> Column:
-        part, before = F.get(parts, k), F.get(parts, k - 1)
-        match = F.substring_index(part, CUT, 1)
+        match = F.substring_index(F.get(parts, k), CUT, 1)
         begin = F.get(starts, k)
-        near = _around(before, F.substring_index(part, CUT, -1)).rlike(kind.words)
+        near = _around(parts, k).rlike(kind.words)
         return F.struct(
             begin.alias("start"),
             F.lit(KINDS.index(kind)).alias("rank"),
@@ -195,11 +220,11 @@ def _replaced(parts: Column, kind: Kind) -> Column:
     """The text of the parts, with the kind's name for its confirmed matches."""
 
     def put(k: Column) -> Column:
-        part, before = F.get(parts, k), F.get(parts, k - 1)
+        part = F.get(parts, k)
         match, behind = F.substring_index(part, CUT, 1), F.substring_index(part, CUT, -1)
         taken = kind.valid(match)
         if kind.score < ENOUGH:
-            taken = taken & _around(before, behind).rlike(kind.words)
+            taken = taken & _around(parts, k).rlike(kind.words)
         return F.concat(F.when(taken, f"<{kind.name}>").otherwise(match), behind)
 
     rest = F.transform(F.sequence(F.lit(1), F.size(parts) - 1), put)
