@@ -24,8 +24,6 @@ SLOTS = CLASSES * WIDTH
 START = SLOTS  # the input at the start of a document
 WINDOW = 16
 LANES = 128
-# Of so many windows one is learned from; the state is carried over all of them.
-LEARN_EVERY = 3
 RATE = 0.006
 SEED = 5
 
@@ -217,7 +215,6 @@ class Learner:
         self.mean = {name: np.zeros_like(value) for name, value in model.items()}
         self.square = {name: np.zeros_like(value) for name, value in model.items()}
         self.steps = 0
-        self.windows = 0
 
     def _change(self, name: str, rows: slice | np.ndarray, gradient: np.ndarray, share: float) -> None:
         mean = self.mean[name][rows] * 0.9 + 0.1 * gradient
@@ -226,7 +223,9 @@ class Learner:
         fix = share * RATE * np.sqrt(1 - 0.99**self.steps) / (1 - 0.9**self.steps)
         self.model[name][rows] -= (fix * mean / (np.sqrt(square) + 1e-6)).astype(np.float32)
 
-    def learn(self, documents: list[np.ndarray]) -> None:
+    def learn(self, documents: list[np.ndarray]) -> int:
+        """Learn from every window of `documents`, none empty; the tokens that gave a gradient."""
+        seen = 0
         lanes = Lanes(documents)
         state = np.zeros((len(lanes.lengths), HIDDEN), np.float32)
         for at in lanes.windows():
@@ -235,20 +234,19 @@ class Learner:
             inputs = np.where(there, lanes.inputs[at], START)
             states, kept = _recur(self.model, inputs, state)
             state = states[-1].copy()
-            self.windows += 1
-            if self.windows % LEARN_EVERY:
-                continue
             self.steps += 1
             _, grads, d = _outputs(self.model, states[1:][there], lanes.targets[at[there]], True)
             d_states = np.zeros(there.shape + (HIDDEN,), np.float32)
             d_states[there] = d
             _back(self.model, inputs, states, kept, d_states, grads)
             # A window of few lanes tells little and moves the weights little.
+            seen += int(there.sum())
             share = there.sum() / (LANES * WINDOW)
             scale = np.float32(1 / max(1, there.sum()))
             rows, values = grads.pop("table")
             for name, rows, gradient in (*((n, slice(None), g) for n, g in grads.items()), ("table", rows, values)):
                 self._change(name, rows, gradient * scale, share)
+        return seen
 
 
 def log_probabilities(model: Model, documents: list[np.ndarray]) -> np.ndarray:

@@ -136,11 +136,10 @@ def _learned(docs: DataFrame, text: str, lexicon, flat: np.ndarray) -> np.ndarra
                 chunk.append(lex.look_up([*words(value), END])[1])
                 size += len(chunk[-1])
                 if size >= CHUNK:
-                    learner.learn(chunk)
-                    seen, chunk, size = seen + size, [], 0
+                    seen += learner.learn(chunk)
+                    chunk, size = [], 0
         if chunk:
-            learner.learn(chunk)
-            seen += size
+            seen += learner.learn(chunk)
         if seen:
             weights = gru.pack(learner.model).astype(np.float64) * seen
             blocks = [weights[k : k + BLOCK].tobytes() for k in range(0, len(weights), BLOCK)]
