@@ -13,14 +13,12 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from listingflow.llm.common import lower_ascii, stored
 
-# Segments of a path that have a place of their own; those further down share one.
-DEPTH = 3
-WILD, DEEPER = "*", "**"
+WILD = "*"
 # A place has varied segments if it has more values than this, and they than that
 # share of its urls.
 MANY_VALUES, VARIED = 20, 0.2
@@ -78,31 +76,65 @@ def _shape(segment: Column) -> Column:
     return F.regexp_replace(segment, "[0-9]++|[0-9a-fA-F-]{16,}+", WILD)
 
 
+def _smooth(blocked: Column, labelled: Column, above: Column) -> Column:
+    return (blocked + PRIOR * above) / (labelled + PRIOR)
+
+
+def _settled(paths: DataFrame, depth: int) -> DataFrame:
+    """Templates below places whose labels are all the same, or that have none.
+
+    No branch differs there, so every segment is wild. A level as deep as `length`
+    has the labels of all paths that reach it; the distance of its purity from that of
+    the labels shrinks by a factor a level, and the factors are multiplied as logs.
+    """
+    place = ["host", "template"]
+    lengths = paths.groupBy(*place, "length").agg(F.sum("labelled").alias("own"), F.sum("blocked").alias("own_blocked"))
+    whole, down = Window.partitionBy(*place), Window.partitionBy(*place).orderBy("length")
+    reach = F.sum("own").over(Window.partitionBy(*place).orderBy(F.desc("length")))
+    levels = F.col("length") - F.coalesce(F.lag("length").over(down), F.lit(depth))
+    target = F.coalesce(F.try_divide(F.sum("own_blocked").over(whole), F.sum("own").over(whole)), F.lit(0.0))
+    lengths = lengths.select(*place, "length", target.alias("target"), (levels * F.log(PRIOR / (reach + PRIOR))).alias("log"))
+    lengths = lengths.select(*place, "length", "target", F.exp(F.sum("log").over(down)).alias("left"))
+    found = paths.join(lengths, [*place, "length"])
+    wild = F.expr(f"repeat('/{WILD}', length - {depth})")
+    # Rounded, so that logs do not move a purity of just IMPURE.
+    purity = F.round(F.col("target") + (F.col("purity") - F.col("target")) * F.col("left"), 12)
+    return found.select("host", "path", F.concat("template", wild).alias("template"), purity.alias("purity"))
+
+
 def templates(paths: DataFrame) -> DataFrame:
-    """(host, path, template, purity) of distinct paths.
+    """(host, path, template, purity) of distinct paths, of any depth.
 
-    `paths` has host, path, n (urls), labelled and blocked (urls of those).
+    `paths` has host, path, n (urls), labelled and blocked (urls of those). The tree
+    grows a level at a time while some place holds both labels; the rest is settled.
     """
     segments = F.filter(F.split("path", "/"), lambda s: s != "")
-    named = F.transform(F.slice(segments, 1, DEPTH), _shape)
-    tail = F.when(F.size(segments) > DEPTH, F.array(F.lit(DEEPER))).otherwise(F.expr("cast(array() as array<string>)"))
     sums = [F.sum(c).alias(c) for c in ("n", "labelled", "blocked")]
     whole = paths.agg(F.sum("blocked").alias("all_blocked"), F.sum("labelled").alias("all_labelled"))
     top = whole.first()
     share = (top["all_blocked"] or 0) / top["all_labelled"] if top["all_labelled"] else 0.0
-    now = paths.withColumn("segments", F.concat(named, tail)).withColumn("template", F.lit(""))
+    now = paths.withColumn("segments", segments).withColumn("length", F.size("segments")).withColumn("template", F.lit(""))
     # A host's purity leans on that of its domain, a domain's on that of all.
     domain = F.regexp_extract("host", r"([^.]*\.[^.]*)$", 1)
     now = now.withColumn("domain", F.when(domain != "", domain).otherwise(F.col("host"))).withColumn("purity", F.lit(float(share)))
-    smooth = (F.col("blocked") + PRIOR * F.col("above")) / (F.col("labelled") + PRIOR)
+    smooth = _smooth(F.col("blocked"), F.col("labelled"), F.col("above"))
     for level in (["domain"], ["domain", "host"]):
         sure = now.groupBy(*level).agg(*sums[1:], F.first("purity").alias("above")).select(*level, smooth.alias("purity"))
         now = now.drop("purity").join(stored(sure, "purity"), level)
-    for depth in range(DEPTH + 1):
-        place, own = ["host", "template"], F.get("segments", F.lit(depth))
-        now = now.withColumn("segment", own)
-        here = now.where("segment is not null")
-        branches = here.groupBy(*place, "segment").agg(*sums, F.first("purity").alias("above"))
+    now, depth, out = now.drop("domain"), 0, None
+    place = ["host", "template"]
+    while True:
+        mixed = now.groupBy(*place).agg(*sums[1:]).select(*place, F.col("blocked").between(1, F.col("labelled") - 1).alias("mixed"))
+        now = stored(now.join(mixed, place), "level")
+        done = _settled(now.where("not mixed"), depth)
+        ended = now.where(F.col("mixed") & (F.col("length") == depth)).select("host", "path", "template", "purity")
+        done = stored(done.unionByName(ended), "settled")
+        out = done if out is None else out.unionByName(done)
+        now = now.where(F.col("mixed") & (F.col("length") > depth)).drop("mixed")
+        if now.isEmpty():
+            return out
+        now = now.withColumn("segment", _shape(F.get("segments", F.lit(depth))))
+        branches = now.groupBy(*place, "segment").agg(*sums, F.first("purity").alias("above"))
         places = branches.groupBy(*place).agg(
             F.sum("n").alias("of_n"), F.sum("labelled").alias("of_labelled"), F.sum("blocked").alias("of_blocked"), F.count("*").alias("values")
         )
@@ -115,10 +147,9 @@ def templates(paths: DataFrame) -> DataFrame:
         pure = chosen.groupBy(*place, "as").agg(F.sum("labelled").alias("labelled"), F.sum("blocked").alias("blocked"), F.first("above").alias("above"))
         pure = pure.select(*place, "as", smooth.alias("below"))
         chosen = stored(chosen.select(*place, "segment", "as").join(pure, [*place, "as"]), "branches")
-        now = now.join(chosen, [*place, "segment"], "left")
-        grown = F.when(F.col("segment").isNotNull(), F.concat("template", F.lit("/"), "as")).otherwise(F.col("template"))
-        now = now.withColumn("template", grown).withColumn("purity", F.coalesce("below", "purity")).drop("as", "below", "segment")
-    return now.select("host", "path", "template", "purity")
+        now = now.join(chosen, [*place, "segment"])
+        now = now.withColumn("template", F.concat("template", F.lit("/"), "as")).withColumn("purity", F.col("below")).drop("as", "below", "segment")
+        depth += 1
 
 
 def judge(pages: DataFrame, rules: tuple[Rule, ...] = RULES, id: str = "page_id", url: str = "url") -> DataFrame:
