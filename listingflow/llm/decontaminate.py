@@ -68,7 +68,10 @@ def _flips() -> Column:
 
 
 def _items(benchmark: DataFrame, item: str, text: str) -> DataFrame:
-    """(item, n_words, size, shingles): items with words; `size` is the shingles' width."""
+    """(item, n_words, size, shingles): items with words; `size` is the shingles' width.
+
+    The item id may be null, and may have several texts.
+    """
     hashes = _hashes(_words(F.col(text)))
     found = benchmark.select(F.col(item).alias("item"), hashes.alias("hashes")).where(F.size("hashes") > 0)
     found = found.withColumn("size", F.least(F.size("hashes"), F.lit(SHINGLE)))
@@ -102,12 +105,16 @@ def contaminated(
     of fewer than five words is one shingle.
 
     Null and empty texts, on either side, match nothing. Repeated rows and rows that
-    share an id give their pairs once; rows without an id are not looked at, as a
-    pair could not name them. Other columns are not read.
+    share an id give their pairs once. Items that share an id and differ in their
+    texts are searched each on its own, and the best counts; all items without an id
+    come out under the null. Documents without an id are not looked at, as a pair
+    could not name them. Other columns are not read.
     """
     spark = docs.sparkSession
     docs = docs.select(F.col(id).alias("id"), F.col(text).alias("text")).where("id is not null")
-    items = stored(_items(benchmark, item, item_text).where("item is not null").distinct(), "items")
+    # Each text of an item has a key of its own until the very end.
+    items = _items(benchmark, item, item_text).distinct()
+    items = stored(items.withColumn("key", F.monotonically_increasing_id()), "items")
     sizes = sorted(r["size"] for r in items.select("size").distinct().collect())  # at most five
     n_items = items.count()
     empty = "id {}, item {}, start int, similarity double".format(
@@ -115,10 +122,10 @@ def contaminated(
     )
     if not sizes:
         return _named(spark.createDataFrame([], empty), id, item)
-    places = items.select("item", "n_words", "size", F.posexplode("shingles").alias("place", "shingle"))
+    places = items.select("key", "n_words", "size", F.posexplode("shingles").alias("place", "shingle"))
     weight = F.log(1 + F.lit(n_items) / F.col("df"))
     weights = stored(
-        places.groupBy("size", "shingle").agg(F.count_distinct("item").alias("df")).select("size", "shingle", weight.alias("w")), "weights"
+        places.groupBy("size", "shingle").agg(F.count_distinct("key").alias("df")).select("size", "shingle", weight.alias("w")), "weights"
     )
     heaviest = F.log(F.lit(1.0 + n_items))
 
@@ -141,30 +148,30 @@ def contaminated(
 
     # Equal blocks, after flips on the items' side, find all pairs within the radius.
     ours = items.withColumn("item_print", _fingerprint(F.col("shingles")))
-    ours = ours.select("item", "n_words", "item_print", F.posexplode_outer(_blocks(F.col("item_print"))).alias("block", "part"))
+    ours = ours.select("key", "n_words", "item_print", F.posexplode_outer(_blocks(F.col("item_print"))).alias("block", "part"))
     ours = ours.withColumn("flip", F.explode_outer(_flips())).withColumn("part", F.col("part").bitwiseXOR(F.col("flip")))
     theirs = cut.select("window", "n_words", "print", F.posexplode_outer(_blocks(F.col("print"))).alias("block", "part"))
     # Spark cannot see how many rows the flips make, and would take them for few.
     near = theirs.join(ours.drop("flip").hint("merge"), ["n_words", "block", "part"])
     near = near.where(F.bit_count(F.col("print").bitwiseXOR(F.col("item_print"))) <= RADIUS)
-    near = near.select("window", "item").distinct()
+    near = near.select("window", "key").distinct()
 
     # The exact similarity, by shingle.
     held = cut.select("window", "size", F.explode("shingles").alias("shingle")).groupBy("window", "size", "shingle").agg(F.count("*").alias("c"))
     held = stored(held.join(weights, ["size", "shingle"], "left").withColumn("w", F.coalesce("w", heaviest)), "held")
     total = held.groupBy("window").agg(F.sum(F.col("c") * F.col("w")).alias("of_window"))
-    own = places.groupBy("item", "size", "shingle").agg(F.count("*").alias("n")).join(weights, ["size", "shingle"])
-    item_total = own.groupBy("item").agg(F.sum(F.col("n") * F.col("w")).alias("of_item"))
+    own = places.groupBy("key", "size", "shingle").agg(F.count("*").alias("n")).join(weights, ["size", "shingle"])
+    item_total = own.groupBy("key").agg(F.sum(F.col("n") * F.col("w")).alias("of_item"))
     common = (
         near.join(held.select("window", "shingle", "c", "size"), "window")
-        .join(own, ["item", "size", "shingle"])
-        .groupBy("window", "item")
+        .join(own, ["key", "size", "shingle"])
+        .groupBy("window", "key")
         .agg(F.sum(F.least("c", "n") * F.col("w")).alias("common"))
     )
     similarity = F.col("common") / (F.col("of_window") + F.col("of_item") - F.col("common"))
-    scored = common.join(total, "window").join(item_total, "item").withColumn("similarity", similarity)
+    scored = common.join(total, "window").join(item_total, "key").withColumn("similarity", similarity)
     scored = scored.where(F.col("similarity") >= threshold)
-    found = scored.join(cut.select("window", "id", "start"), "window")
+    found = scored.join(cut.select("window", "id", "start"), "window").join(items.select("key", "item"), "key")
     best = F.max(F.struct("similarity", (-F.col("start")).alias("s"))).alias("best")
     out = found.groupBy("id", "item").agg(best)
     return _named(out.select("id", "item", (-F.col("best.s")).alias("start"), "best.similarity"), id, item)
