@@ -81,7 +81,12 @@ def band_shape(threshold: float, miss: float = 1e-4) -> tuple[int, int]:
 
 
 def signatures(sets: list[np.ndarray], permutations: int) -> np.ndarray:
-    """For each non-empty set the least and the greatest value under every permutation."""
+    """For each non-empty set the least values under all permutations, then the greatest.
+
+    Given that two sets agree in the one, they are less likely to agree in the other of
+    the same permutation; so far apart, the two are never in one band, and the odds of
+    a band are those of independent values.
+    """
     draw = np.random.default_rng(SEED)
     factors = draw.integers(0, 1 << 63, permutations, np.uint64) * np.uint64(2) + np.uint64(1)
     shifts = draw.integers(0, 1 << 63, permutations, np.uint64)
@@ -97,8 +102,8 @@ def signatures(sets: list[np.ndarray], permutations: int) -> np.ndarray:
         for k in range(permutations):
             permuted = values * factors[k] + shifts[k]
             permuted ^= permuted >> np.uint64(32)
-            out[start:end, 2 * k] = np.minimum.reduceat(permuted, offsets)
-            out[start:end, 2 * k + 1] = np.maximum.reduceat(permuted, offsets)
+            out[start:end, k] = np.minimum.reduceat(permuted, offsets)
+            out[start:end, permutations + k] = np.maximum.reduceat(permuted, offsets)
         start = end
     return out
 
