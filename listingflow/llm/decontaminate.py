@@ -1,8 +1,9 @@
 """Benchmark passages in documents, by fingerprints of item-sized windows.
 
 A window is as many words of a document as an item has. Windows are laid where the
-document holds a shingle of an item as the item does; all others share no shingle
-with it and so are not similar. Their SimHash fingerprints are compared with those
+document holds a shingle of an item as the item does: a preselection by an exact
+join. A window between two such may share shingles, too, and with words put into the
+item may be a little more similar; only pairs near the threshold can be lost. Their SimHash fingerprints are compared with those
 of the items by Hamming distance: fingerprints are cut into blocks, and two within
 the radius differ by few bits in one block at least, so equal blocks after a few
 flips find every pair within the radius. Candidates are confirmed by the exact
