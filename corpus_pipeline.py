@@ -29,21 +29,30 @@ def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return quality.keep_good(docs, model, quality.GOOD)
 
 
+def _keyed(docs: DataFrame) -> DataFrame:
+    """`docs` with `_key`, of id and text; keys sort as ids do, rows without an id last."""
+    text = F.concat(F.when(F.col("text").isNull(), "0").otherwise("1"), F.coalesce("text", F.lit("")))
+    own = F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id").alias("id"), F.sha2(text, 256).alias("text"))
+    return docs.withColumn("_key", own)
+
+
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies, that of the smallest id.
 
-    Of rows that share an id one stays. Rows without an id cannot be told from
-    others and all stay.
+    Rows are told apart by id and text: of rows equal in both one stays, and rows that
+    share an id, or have none, go or stay each by its own text.
     """
-    kept = near_duplicates(docs, size=5, percent=80).where("kept").select(F.col("doc_id").alias("_kept"))
-    named = docs.join(kept, F.col("doc_id") == F.col("_kept"), "left_semi").dropDuplicates(["doc_id"])
-    return named.unionByName(docs.where("doc_id is null"))
+    keyed = _keyed(docs)
+    kept = near_duplicates(keyed, size=5, percent=80, id="_key").where("kept").select(F.to_json("_key").alias("_kept"))
+    own = keyed.withColumn("_key", F.to_json("_key"))
+    return own.join(kept, F.col("_key") == F.col("_kept"), "left_semi").dropDuplicates(["_key"]).drop("_key")
 
 
 def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold no passage of the benchmark."""
-    leaks = contaminated(docs, table(spark, sf_dir, "benchmark")).select(F.col("doc_id").alias("_leak")).distinct()
-    return docs.join(leaks, F.col("doc_id") == F.col("_leak"), "left_anti")
+    keyed = _keyed(docs).withColumn("_key", F.to_json("_key"))
+    leaks = contaminated(keyed, table(spark, sf_dir, "benchmark"), id="_key").select(F.col("_key").alias("_leak")).distinct()
+    return keyed.join(leaks, F.col("_key") == F.col("_leak"), "left_anti").drop("_key")
 
 
 def cover_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
