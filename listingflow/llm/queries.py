@@ -18,6 +18,7 @@ from listingflow.llm.common import labels_to_learn, remainder, table
 from listingflow.llm.decontaminate import contaminated
 from listingflow.llm.lm import score_documents
 from listingflow.llm.minmax import near_duplicates
+from listingflow.llm.neighbours import nearest
 from listingflow.llm.pii import personal_data
 from listingflow.llm.projections import near_vectors
 from listingflow.llm.repeats import find_runs
@@ -85,6 +86,10 @@ def simhash_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def graph_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, k=20)
+
+
 def token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     a, b = (public_tokenizers.path(name) for name in ("byte_bpe_50k.json", "piece_bpe_32k.model"))
     return align(table(spark, sf_dir, "documents"), a, b, digest=True).withColumnRenamed("groups", "groups_sha256")
@@ -140,6 +145,7 @@ QUERIES: dict[str, Query] = {
     "op8_byte_bpe": byte_bpe,
     "op9_minmax_near_dedup": minmax_near_dedup,
     "op10_simhash_decontamination": simhash_decontamination,
+    "op11_graph_neighbours": graph_neighbours,
     "op12_token_alignment": token_alignment,
     "op13_repeated_runs": repeated_runs,
     "pipeline": corpus_pipeline.run,
