@@ -49,6 +49,15 @@ def texts(*names: str) -> dict[str, str]:
     return dict.fromkeys(names, "string")
 
 
+def held(column: Column) -> Column:
+    """The column as the output of a one-element explode.
+
+    Catalyst pushes a filter below the projections it stands on and repeats
+    their expressions in it, but not below a generator. Columns are still pruned.
+    """
+    return F.explode(F.array(column))
+
+
 def kind(value: Column) -> Column:
     """Type of a value: STRING, BOOLEAN, VOID (null), ARRAY<...>, OBJECT<...>, a number type."""
     return F.schema_of_variant(value)

@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from listingflow.dims import UNIT_TYPES
 from listingflow.functions.text import round2
 from listingflow.functions.variants import (
-    Leaf, get, given, given_double, is_text, joined, kind, maybe_typed, struct, texts, to_double,
+    Leaf, get, given, given_double, held, is_text, joined, kind, maybe_typed, struct, texts, to_double,
     to_int, to_text, truthy,
 )
 
@@ -340,15 +340,6 @@ class _Reader:
         return F.coalesce(*(F.when(failed, F.lit(name)) for name, failed in self.checks()))
 
 
-def _held(column: Column) -> Column:
-    """The column as the output of a one-element explode.
-
-    Catalyst pushes a filter below the projections it stands on and repeats
-    their expressions in it, but not below a generator. Columns are still pruned.
-    """
-    return F.explode(F.array(column))
-
-
 def project_items(df: DataFrame, base_url: str, item: str = "item") -> DataFrame:
     """Parsed columns plus `outcome`, next to the columns `df` already has.
 
@@ -360,12 +351,12 @@ def project_items(df: DataFrame, base_url: str, item: str = "item") -> DataFrame
     checked = reader.checked_columns()
     read = {name: column.alias(name) for name, column in reader.columns().items()}
     out = (
-        df.withColumn("_item", _held(F.from_json(F.col(item), ITEM, READ_OPTIONS)))
-        .withColumn("_price", _held(F.from_json(reader.price_text, PRICING, READ_OPTIONS)))
+        df.withColumn("_item", held(F.from_json(F.col(item), ITEM, READ_OPTIONS)))
+        .withColumn("_price", held(F.from_json(reader.price_text, PRICING, READ_OPTIONS)))
         .withColumns(reader.choices())
         .withColumns(checked)
         .select(*kept, *checked, *read.values(), reader.outcome().alias("_found"))
-        .select(*kept, *checked, *read, _held(F.col("_found")).alias(OUTCOME))
+        .select(*kept, *checked, *read, held(F.col("_found")).alias(OUTCOME))
     )
     per_m2 = F.when(
         (F.col("preco") != 0) & (F.col("area_construida") > 0) & ~F.isnan("area_construida"),
@@ -394,8 +385,8 @@ def is_fatal(outcome: Column | str = OUTCOME) -> Column:
     return F.coalesce(outcome.startswith("fatal:"), F.lit(False))
 
 
-def stop_at_fatal(rows: DataFrame, walk: list[str], order: list[str]) -> DataFrame:
-    """Keep, per walk, the rows before its first fatal item.
+def stop_at_fatal(rows: DataFrame, walk: list[str], order: list[str], keep_fatal: bool = False) -> DataFrame:
+    """Keep, per walk, the rows before its first fatal item; with `keep_fatal`, that one too.
 
     The stop point is a partial aggregate over narrow rows and is joined back,
     so a walk that holds a large share of all rows is not gathered in one task.
@@ -409,6 +400,6 @@ def stop_at_fatal(rows: DataFrame, walk: list[str], order: list[str]) -> DataFra
     same_walk = [F.col(name).eqNullSafe(F.col(f"_walk_{name}")) for name in walk]
     return (
         rows.join(stops, same_walk, "left")
-        .where(F.col("_stop").isNull() | (at < F.col("_stop")))
+        .where(F.col("_stop").isNull() | (at <= F.col("_stop") if keep_fatal else at < F.col("_stop")))
         .select(*rows.columns)
     )

@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from listingflow.operators.positions import PIECE, _renamed, _same, sum_before, with_position
+from listingflow.operators.positions import PIECE, _renamed, _same, sum_before
+from listingflow.session import cut_lineage
 
 # Empty pages in a row that end a walk, and the listings per page
 # the page budget reckons with.
@@ -13,9 +14,6 @@ LISTING_WALK_EMPTIES = 2
 GENERIC_WALK_EMPTIES = 5
 BUDGET_PAGE_SIZE = 20
 
-# A top-k inside a window is pushed below the shuffle up to this many rows.
-TOP_K_SETTING = "spark.sql.optimizer.windowGroupLimitThreshold"
-
 
 def _piece_summary(entries: Column, k: int) -> Column:
     """Fold the sorted (page, blank, error) rows of a piece of a walk.
@@ -122,18 +120,55 @@ def limit_rows(
 ) -> DataFrame:
     """The first `n` saved rows in order of arrival, in all or per group.
 
-    A short limit is a top-k, kept in every task before the shuffle; a long one
-    goes by position, so that no task has to hold `n` rows.
+    The key of the n-th row is looked for among narrow keys only, the same way for
+    any `n`: keys are dealt into ranges, the ranges are counted, the n-th row falls
+    into one of them, and only that one is numbered. All rows up to that key stay. Whole rows
+    are neither shuffled by order nor stored, and no task holds `n` rows.
+
+    Rows equal in `order` are told apart by a hash of all their columns, so that the
+    result is the same at every run.
     """
     if not n:
         return df
-    short = n < int(df.sparkSession.conf.get(TOP_K_SETTING))
-    if short and not by:
-        return df.orderBy(*order).limit(n)
-    if short:
-        rank = F.row_number().over(Window.partitionBy(*by).orderBy(*order))
-        return df.withColumn("_rank", rank).where(F.col("_rank") <= n).drop("_rank")
-    return with_position(df, by or [], order, "_pos").where(F.col("_pos") < n).drop("_pos")
+    keys = by or []
+    marked = df.withColumn("_key", F.struct(*order, F.xxhash64(*df.columns).alias("_hash")))
+    narrow = marked.select(*keys, "_key")
+    split = cut_lineage(
+        narrow.repartitionByRange(*keys, "_key").withColumn("_piece", F.spark_partition_id())
+    )
+    piece = [*keys, "_piece"]
+    earlier = (
+        Window.partitionBy(*keys).orderBy("_piece").rowsBetween(Window.unboundedPreceding, -1)
+    )
+    crossed = (
+        split.groupBy(*piece)
+        .agg(F.count("*").alias("_n"))
+        .withColumn("_before", F.coalesce(F.sum("_n").over(earlier), F.lit(0)))
+        .where((F.col("_before") < n) & (F.col("_before") + F.col("_n") >= n))
+        .select(*_renamed(piece, "_c"), "_before")
+    )
+    in_piece = Window.partitionBy(*piece).orderBy("_key")
+    numbered = split.join(crossed, _same(piece, "_c")).withColumns(
+        {"_row": F.col("_before") + F.row_number().over(in_piece), "_first": F.col("_before") + F.rank().over(in_piece)}
+    )
+    # Of rows that equal the n-th one in all, so many stay.
+    ends = numbered.where(F.col("_row") == n).select(
+        *_renamed(keys, "_e"), F.col("_key").alias("_end"), (n + 1 - F.col("_first")).alias("_left")
+    )
+    if by:
+        kept = marked.join(ends, _same(keys, "_e"), "left")
+    else:
+        end = ends.first()  # one row
+        if end is None:
+            return df
+        kinds = marked.schema["_key"].dataType
+        values = [F.lit(v).cast(f.dataType).alias(f.name) for v, f in zip(end["_end"], kinds.fields, strict=True)]
+        kept = marked.withColumns({"_end": F.struct(*values), "_left": F.lit(end["_left"])})
+    below = kept.where(F.col("_end").isNull() | (F.col("_key") < F.col("_end")))
+    equal = kept.where(F.col("_key") == F.col("_end"))
+    copies = F.row_number().over(Window.partitionBy(*keys).orderBy("_key"))
+    equal = equal.withColumn("_copy", copies).where(F.col("_copy") <= F.col("_left"))
+    return below.select(*df.columns).unionByName(equal.select(*df.columns))
 
 
 def limit_groups(

@@ -5,11 +5,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from listingflow.functions.variants import truthy
+from listingflow.functions.variants import held, truthy
 
 LISTINGS_PATH = "$.search.result.listings"
 
-PAGE = "struct<search: struct<result: struct<listings: array<string>>>>"
+# A page in a list, with a mark behind it (see `_marked`).
+MARKED_PAGE = "array<struct<search: struct<result: struct<listings: array<string>>>, end: string>>"
 LOCATIONS = (
     "struct<neighborhood: struct<result: struct<locations: array<struct<"
     "address: struct<neighborhood: string, city: string>>>>>>"
@@ -30,28 +31,60 @@ def read_payloads(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(PAGE_CONTEXT).parquet(path)
 
 
-def page_items(payload: Column) -> Column:
-    """JSON texts of a page's listing items; NULL where the page has no list of them."""
-    return F.from_json(payload, PAGE)["search"]["result"]["listings"]
+def _marked(payload: Column) -> Column:
+    """The payload in a JSON list, with a digest of it as a second element.
+
+    A parser stops at the end of the first value. If the second of two elements is
+    the digest, which no payload holds of itself, the payload was one JSON value.
+    """
+    return F.concat(F.lit("["), payload, F.lit(',{"end":"'), F.md5(payload), F.lit('"}]'))
+
+
+def _is_whole(marked: Column, payload: Column) -> Column:
+    """Whether a marked payload, parsed as VARIANT, was one JSON value."""
+    at_end = F.try_variant_get(marked, "$[1].end", "string") == F.md5(payload)
+    only = F.try_variant_get(marked, "$[2]", "variant").isNull()
+    return F.coalesce(at_end & only, F.lit(False))
 
 
-def page_state(payload: Column) -> Column:
-    """`items`, `empty`, or `error` for a page that cannot be looked into.
+def read_pages(df: DataFrame, payload: str = "payload", status: str | None = "status") -> DataFrame:
+    """The pages with their `items` (JSON texts), `state` and `reason`, from one reading.
 
-    A level that is missing makes an empty page; a level that is there but is
-    no object is an error, as is text that is no JSON or a list of items that is
-    none. Pages without items are few, so only they are parsed exactly.
+    `state` is `items`, `empty`, or `error` for a page that cannot be looked into; then
+    `reason` tells why: `status` (400 or more, if such a column is named), `missing` (no
+    payload), `not JSON` (no JSON text, one cut off, or one with something behind it), or
+    `shape`: a level that is there but is no object, or a list of items that is none. A
+    level that is missing makes an empty page.
+
+    Pages without items are few, so only they are parsed exactly.
     """
-    page = F.try_parse_json(payload)
+    text = F.col(payload)
+    first, last = F.get("_read", F.lit(0)), F.get("_read", F.lit(1))
+    listings = first["search"]["result"]["listings"]
+    plain = (F.size("_read") == 2) & (last["end"] == F.md5(text)) & (F.size(listings) > 0)
+    marked = F.try_parse_json(_marked(text))
     broken = F.lit(False)
-    for path in ("$", "$.search", "$.search.result"):
-        level = F.try_variant_get(page, path, "variant")
+    for path in ("$[0]", "$[0].search", "$[0].search.result"):
+        level = F.try_variant_get(marked, path, "variant")
         broken = broken | (level.isNotNull() & ~F.schema_of_variant(level).startswith("OBJECT"))
-    other = F.try_variant_get(page, LISTINGS_PATH, "variant")
-    without_items = (
-        F.when(page.isNull() | broken, "error").when(truthy(other), "error").otherwise("empty")
+    other = F.try_variant_get(marked, LISTINGS_PATH.replace("$", "$[0]"), "variant")
+    plain = F.coalesce(plain, F.lit(False))
+    failed = F.col(status) >= 400 if status else F.lit(False)
+    reason = (
+        F.when(failed, "status")
+        .when(text.isNull(), "missing")
+        .when(plain, None)
+        .when(~_is_whole(marked, text), "not JSON")
+        .when(broken | truthy(other), "shape")
+    )
+    state = F.when(F.col("reason").isNotNull(), "error").otherwise(
+        F.when(F.size("items") > 0, "items").otherwise("empty")
+    )
+    return (
+        df.withColumn("_read", held(F.from_json(_marked(text), MARKED_PAGE)))
+        .select(*df.columns, listings.alias("items"), held(reason).alias("reason"))
+        .withColumn("state", state)
     )
-    return F.when(F.size(page_items(payload)) > 0, "items").otherwise(without_items)
 
 
 def unreadable(df: DataFrame, payload: str = "payload") -> DataFrame:
@@ -60,22 +93,22 @@ def unreadable(df: DataFrame, payload: str = "payload") -> DataFrame:
     Works for pages, locations and municipalities alike; `reason` is "missing" for
     a null, else "not JSON": empty, cut off, or with something behind the JSON.
     """
-    # A parser stops at the end of the first value; a mark behind it tells that all was read.
-    marked = F.try_parse_json(F.concat(F.lit("["), payload, F.lit(',"end"]')))
-    whole = F.coalesce(F.try_variant_get(marked, "$[1]", "string") == "end", F.lit(False))
-    reason = F.when(F.col(payload).isNull(), "missing").when(~whole, "not JSON")
+    text = F.col(payload)
+    whole = _is_whole(F.try_parse_json(_marked(text)), text)
+    reason = F.when(text.isNull(), "missing").when(~whole, "not JSON")
     return df.withColumn("reason", reason).where(F.col("reason").isNotNull())
 
 
 def explode_listings(df: DataFrame, payload: str = "payload", parallelism: int | None = None) -> DataFrame:
     """One row per listing item: the other columns, `pos` in the page and `item` (JSON text).
 
-    Few large payload files make few tasks; `parallelism` spreads the pages
-    before they are parsed.
+    Pages that cannot be read as a whole have no items (see `read_pages`). Few large
+    payload files make few tasks; `parallelism` spreads the pages before they are parsed.
     """
     others = [name for name in df.columns if name != payload]
     pages = df.repartition(parallelism) if parallelism else df
-    return pages.select(*others, F.posexplode(page_items(F.col(payload))).alias("pos", "item"))
+    read = read_pages(pages, payload, status=None).where(F.col("state") == "items")
+    return read.select(*others, F.posexplode("items").alias("pos", "item"))
 
 
 def explode_locations(df: DataFrame, payload: str = "payload") -> DataFrame:

@@ -7,7 +7,11 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from listingflow.operators.parse import OUTCOME
 from listingflow.operators.upsert import REQUIRED, upsert_latest, write_order
+from listingflow.plans.collect import page_outcomes
+from listingflow.sources.payloads import PAGE_CONTEXT
+from listingflow.sources.tables import stamp
 
 Parse = Callable[[DataFrame], DataFrame]
 
@@ -36,6 +40,54 @@ def ingest_incremental(
     def write(batch: DataFrame, batch_id: int) -> None:
         parse(batch).write.mode("overwrite").parquet(f"{log}/batch={batch_id}")
 
+    _each_batch(spark, source, checkpoint, write, schema, max_files, file_glob)
+
+
+def ingest_pages(
+    spark: SparkSession,
+    source: str,
+    log: str,
+    checkpoint: str,
+    base_url: str,
+    portal: str,
+    now: str,
+    max_files: int | None = None,
+    file_glob: str | None = None,
+) -> None:
+    """Parse newly landed listing pages; all that they hold goes to the log.
+
+    Each page is parsed once. Good items, rejected ones and pages without items go to
+    folders of their own below the micro-batch's (`part=good`, `rejected`, `page`), by
+    one write that a replay replaces as a whole: good + rejected + pages is always the
+    input. No walk is cut here, for its pages may come in several batches; the stop
+    rule is applied to the whole log when it is read (`plans.collect.counted`).
+    """
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        rows = stamp(page_outcomes(batch, base_url), portal, now)
+        part = F.when(F.col(OUTCOME).isNull(), "good").otherwise(
+            F.when(F.col(OUTCOME).startswith("page:"), "page").otherwise("rejected")
+        )
+        (
+            rows.withColumn("part", part)
+            .write.mode("overwrite")
+            .option("partitionOverwriteMode", "static")  # a replay leaves nothing of the first attempt
+            .partitionBy("part")
+            .parquet(f"{log}/batch={batch_id}")
+        )
+
+    _each_batch(spark, source, checkpoint, write, PAGE_CONTEXT, max_files, file_glob)
+
+
+def _each_batch(
+    spark: SparkSession,
+    source: str,
+    checkpoint: str,
+    write: Callable[[DataFrame, int], None],
+    schema: str,
+    max_files: int | None,
+    file_glob: str | None,
+) -> None:
     reader = spark.readStream.schema(schema)
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)

@@ -87,27 +87,40 @@ def test_limit_groups_keeps_the_crossing_city(spark, piece):
     assert rules.limit_groups(df, None).count() == 4
 
 
-@pytest.mark.parametrize("n,kept", [(None, 300), (0, 300), (7, 14), (120, 240)])
+@pytest.mark.parametrize("n,kept", [(None, 300), (0, 300), (1, 2), (7, 14), (120, 240), (150, 300), (900, 300)])
 def test_limit_rows_per_group(spark, n, kept):
-    spark.conf.set(rules.TOP_K_SETTING, 100)  # 120 takes the way for long limits
-    try:
-        df = spark.range(300).select((F.col("id") % 2).alias("g"), "id")
-        got = rules.limit_rows(df, n, ["id"], by=["g"])
-        assert got.count() == kept
-        assert got.agg(F.max("id")).first()[0] == kept - 1
-    finally:
-        spark.conf.set(rules.TOP_K_SETTING, 1000)
+    df = spark.range(300).select((F.col("id") % 2).alias("g"), "id").repartition(7)
+    got = rules.limit_rows(df, n, ["id"], by=["g"])
+    assert got.count() == kept and got.columns == ["g", "id"]
+    assert got.agg(F.max("id")).first()[0] == kept - 1
 
 
 def test_limit_rows_in_all(spark):
-    spark.conf.set(rules.TOP_K_SETTING, 100)
-    try:
-        df = spark.range(300).select("id")
-        for n in (7, 120):
-            got = rules.limit_rows(df, n, ["id"])
-            assert sorted(r["id"] for r in got.collect()) == list(range(n))
-    finally:
-        spark.conf.set(rules.TOP_K_SETTING, 1000)
+    df = spark.range(300).select("id").repartition(7)
+    for n in (1, 7, 120, 300, 500):
+        got = rules.limit_rows(df, n, ["id"])
+        assert sorted(r["id"] for r in got.collect()) == list(range(min(n, 300)))
+    assert rules.limit_rows(df.where("false"), 5, ["id"]).count() == 0
+
+
+def test_limit_rows_with_ties_and_nulls(spark):
+    """Exactly n rows, also where many are equal in order or in all; nulls come first."""
+    rows = [(g, None if k % 5 == 0 else k % 3, "same" if k % 2 else f"t{k}") for k in range(60) for g in (None, "a")]
+    df = spark.createDataFrame([*rows, ("b", 1, "x")], "g string, at int, text string").repartition(5)
+    for n in (1, 12, 13, 29, 60, 61):
+        got = rules.limit_rows(df, n, ["at"], by=["g"])
+        sizes = {r["g"]: r["count"] for r in got.groupBy("g").count().collect()}
+        assert sizes == {None: min(n, 60), "a": min(n, 60), "b": 1}
+        want = sorted(-1 if r[1] is None else r[1] for r in rows if r[0] == "a")[:n]
+        assert sorted(-1 if r.at is None else r.at for r in got.where("g = 'a'").collect()) == want
+        assert rows_sorted(got) == rows_sorted(rules.limit_rows(df.repartition(3), n, ["at"], by=["g"]))
+        assert rules.limit_rows(df, n, ["at"]).count() == n
+    same = spark.createDataFrame([(1, 2.5)] * 40, "k int, v double")
+    assert rules.limit_rows(same, 7, ["k"]).count() == 7
+
+
+def rows_sorted(df):
+    return sorted(map(str, df.collect()))
 
 
 def test_copies_of_a_page_count_once(spark, piece):
@@ -124,10 +137,10 @@ def test_page_budget(spark):
 
 
 def test_unreadable_payloads_are_set_aside(spark):
-    texts = ['{"a":1}', ' {"a":1} ', "[1,2]", '{"a":1} x', '{"a":1}{', '{"a":', "", None, '1,2', "null"]
+    texts = ['{"a":1}', ' {"a":1} ', "[1,2]", '{"a":1} x', '{"a":1}{', '{"a":', "", None, '1,2', "null", '{"a":1},"end"', '{"a":1},{"end":"x"}']
     rows = spark.createDataFrame(list(enumerate(texts)), "id int, payload string")
     got = {r["id"]: r["reason"] for r in unreadable(rows).collect()}
-    assert got == {3: "not JSON", 4: "not JSON", 5: "not JSON", 6: "not JSON", 7: "missing", 8: "not JSON"}
+    assert got == {3: "not JSON", 4: "not JSON", 5: "not JSON", 6: "not JSON", 7: "missing", 8: "not JSON", 10: "not JSON", 11: "not JSON"}
     assert unreadable(rows.limit(0)).collect() == []
 
 

@@ -11,13 +11,13 @@ from listingflow.operators import discovery, progress
 from listingflow.operators.counts import batch_metrics, count_listings, saved_totals
 from listingflow.operators.upsert import latest, upsert_latest, write_order
 from listingflow.plans import worklist
-from listingflow.plans.collect import current_listings, parse_pages
+from listingflow.plans.collect import counted, current_listings, parse_pages, split_outcomes
 from listingflow.schema import LISTINGS
-from listingflow.sources.payloads import PAGE_CONTEXT, page_state, read_payloads
+from listingflow.sources.payloads import PAGE_CONTEXT, read_pages, read_payloads
 from listingflow.sources.tables import (
     add_columns, conform_listings, evolve, read_listings, stamp, write_listings,
 )
-from listingflow.streaming.ingest import current, ingest_incremental, read_log
+from listingflow.streaming.ingest import current, ingest_incremental, ingest_pages, read_log
 
 NOW = "2024-06-01T12:00:00"
 
@@ -142,20 +142,26 @@ def test_counts(spark):
 # --- pages ---
 
 
-def test_page_state(spark):
+def test_read_pages(spark):
     cases = {
         '{"search":{"result":{"listings":[{}]}}}': "items",
-        '{"search":{"result":{"listings":[null]}}}': "items",
+        ' {"search":{"result":{"listings":[null]}}} ': "items",
         '{"search":{"result":{"listings":[]}}}': "empty",
         '{"search":{"result":{"listings":null}}}': "empty",
         '{"search":{}}': "empty", "{}": "empty",
-        '{"search":null}': "error", '{"search":{"result":null}}': "error", "[]": "error", "null": "error",
-        '{"search":{"result":{"listings":5}}}': "error",
-        '{"search":{"result":{"listings":"x"}}}': "error", "<html>": "error", "": "error",
+        '{"search":null}': "shape", '{"search":{"result":null}}': "shape", "[]": "shape", "null": "shape",
+        '{"search":{"result":{"listings":5}}}': "shape", '{"search":{"result":{"listings":"x"}}}': "shape",
+        "<html>": "not JSON", "": "not JSON", '{"search":{"result":{"listings":[{}': "not JSON",
+        '{"search":{"result":{"listings":[{}]}}} x': "not JSON", '{"search":{"result":{"listings":[{}]}}},"end"': "not JSON",
+        '{"search":{"result":{"listings":[{}]}}},{"end":"end"}': "not JSON",
+        '{"search":{"result":{"listings":[{}]}}}],[{}': "not JSON", None: "missing",
     }
-    df = spark.createDataFrame([(c,) for c in cases], "payload string")
-    got = {r["payload"]: r["s"] for r in df.select("payload", page_state(F.col("payload")).alias("s")).collect()}
+    df = spark.createDataFrame([(c, 200) for c in cases], "payload string, status int")
+    got = {r.payload: r.reason or r.state for r in read_pages(df).collect()}
     assert got == cases
+    assert {r.reason for r in read_pages(df.withColumn("status", F.lit(404))).collect()} == {"status"}
+    states = {(r.state, r.reason is None) for r in read_pages(df, status=None).collect()}
+    assert states == {("items", True), ("empty", True), ("error", False)}
 
 
 def page(run, number, *urls, status=200, kind="USED"):
@@ -172,6 +178,29 @@ def test_broken_item_in_a_walk(spark, on_fatal, urls):
     assert [r["outcome"] for r in rejected.collect()] == ["fatal:item"]
 
 
+def test_rejects_behind_a_fatal_item_do_not_count(spark):
+    rows = [page(0, 1, "/a", None, "/b", None), page(0, 2, None), page(0, 3, status=500)]
+    pages = spark.createDataFrame(rows, PAGE_CONTEXT)
+    _, rejected = parse_pages(pages, "", "p", NOW, "truncate")
+    assert [(r.page, r.pos, r.outcome) for r in rejected.collect()] == [(1, 1, "fatal:item")]
+    _, rejected = parse_pages(pages, "", "p", NOW)
+    assert rows_of(rejected.select("page", "pos", "outcome")) == [
+        (1, 1, "fatal:item"), (1, 3, "fatal:item"), (2, 0, "fatal:item"), (3, None, "page:status"),
+    ]
+
+
+def test_unreadable_pages_end_their_walk(spark):
+    whole = page(0, 1, "/a")
+    behind = (*page(0, 2, "/b")[:-1], page(0, 2, "/b")[-1] + ',"end"')
+    cut = (*page(0, 2, "/c", kind="DEVELOPMENT")[:-1], '{"search":{"result":{"listings":[{"listing":')
+    later = [page(0, 3, "/d"), page(0, 3, "/e", kind="DEVELOPMENT"), page(0, 1, "/f", kind="DEVELOPMENT")]
+    pages = spark.createDataFrame([whole, behind, cut, *later], PAGE_CONTEXT)
+    good, rejected = parse_pages(pages, "", "p", NOW)
+    assert sorted(r.url for r in good.collect()) == ["/a", "/f"]
+    got = sorted((r.listing_type, r.page, r.pos, r.outcome, r.raw_json) for r in rejected.collect())
+    assert got == [("DEVELOPMENT", 2, None, "page:not JSON", cut[-1]), ("USED", 2, None, "page:not JSON", behind[-1])]
+
+
 def test_current_listings_from_two_runs(spark):
     first = spark.createDataFrame([page(0, 1, "/a", "/b"), page(0, 2), page(0, 3, "/c"), page(0, 4), page(0, 5), page(0, 6, "/x")], PAGE_CONTEXT)
     table = current_listings(None, parse_pages(first, "", "p", "t1")[0])
@@ -249,7 +278,7 @@ def test_worklist(spark):
     near = spark.createDataFrame([("SP", "a", "x", 0)], "uf string, city string, neighbourhood string, neighbourhood_pos int")
     got = worklist.expand_worklist(cities, near)
     assert got.count() == 6 and "Cartesian" not in plan_of(got) and "NestedLoop" not in plan_of(got)
-    assert worklist.expand_pages(got, 999).groupBy("city", "neighbourhood", "listing_type").count().first()["count"] == 420
+    assert worklist.expand_pages(got, 999).groupBy("city", "neighbourhood", "listing_type").count().first()["count"] == 999
     assert worklist.expand_pages(got, 0).count() == 0
     assert worklist.expand_terms(cities).count() == 76
 
@@ -301,3 +330,33 @@ def test_incremental_runs(spark, tmp_path):
     snapshot = current(None, rows.where("batch = 0"))
     later = current(snapshot, read_log(spark, log, after_batch=0))
     assert rows_of(later.select("url", "batch")) == rows_of(newest.select("url", "batch"))
+
+
+def test_walks_across_batches(spark, tmp_path):
+    """One batch or many give the same rows, and nothing of the input is lost."""
+    pages = [page(0, 1, "/a", None), page(0, 2), page(0, 3, "/b"), page(0, 4), page(0, 5), page(0, 6, "/no")]
+    pages += [page(0, 1, "/c", kind="DEVELOPMENT"), page(0, 2, status=500, kind="DEVELOPMENT"), page(0, 3, "/no", kind="DEVELOPMENT")]
+    found = []
+    for name, size in (("many", 1), ("one", len(pages))):
+        source, log, state = (str(tmp_path / f"{n}-{name}") for n in ("in", "log", "state"))
+        for at in range(0, len(pages), size):
+            spark.createDataFrame(pages[at : at + size], PAGE_CONTEXT).coalesce(1).write.mode("append").parquet(source)
+        for _ in range(2):
+            ingest_pages(spark, source, log, state, "", "p", NOW, max_files=1 if size == 1 else None)
+        rows = read_log(spark, log)
+        parts = {r.part: r["count"] for r in rows.groupBy("part").count().collect()}
+        assert parts == {"good": 5, "rejected": 1, "page": 4}
+        assert rows.select("batch").distinct().count() == len(pages) / size
+        good, rejected = split_outcomes(counted(rows))
+        found.append((rows_of(good.select("url", "page", "portal")), rows_of(rejected.select("page", "pos", "outcome"))))
+    assert found[0] == found[1]
+    assert [r[0] for r in found[0][0]] == ["/a", "/b", "/c"]
+    assert found[0][1] == [(1, 1, "fatal:item"), (2, None, "page:status")]
+
+
+def test_a_replayed_batch_changes_nothing(spark, tmp_path):
+    source, log = str(tmp_path / "in"), str(tmp_path / "log")
+    spark.createDataFrame([page(0, 1, "/a", None), page(0, 2, status=500)], PAGE_CONTEXT).write.parquet(source)
+    for attempt in range(2):  # a new checkpoint forgets that batch 0 was written
+        ingest_pages(spark, source, log, str(tmp_path / f"state{attempt}"), "", "p", NOW)
+        assert rows_of(read_log(spark, log).select("batch", "part")) == [(0, "good"), (0, "page"), (0, "rejected")]

@@ -10,13 +10,15 @@ from listingflow.operators.counts import (
 )
 from listingflow.operators.parse import OUTCOME, parse_listings, project_items
 from listingflow.operators.upsert import latest, upsert_latest, write_order
-from listingflow.plans.collect import current_listings, parse_pages, walked_pages
+from listingflow.plans.collect import (
+    counted, current_listings, parse_pages, split_outcomes, walked_pages,
+)
 from listingflow.session import new_dir
 from listingflow.sources.payloads import explode_listings, unreadable
 from listingflow.sources.tables import (
     add_columns, conform_listings, evolve, only_portal, read_listings, stamp, write_listings,
 )
-from listingflow.streaming.ingest import current, ingest_incremental, read_log
+from listingflow.streaming.ingest import current, ingest_incremental, ingest_pages, read_log
 from workload.fixtures import (
     AREA_SQL, BASE_URL, ID_SQL, K, NOW, PORTAL, PRICE_SQL, STATE_SQL, URL_SQL,
     js, num, obj, part_items, part_pages, uf_of, uf_sql,
@@ -512,7 +514,119 @@ def incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
         ingest_incremental(spark, sf_dir, log, checkpoint, parse, schema, file_glob="events.parquet")
     rows = read_log(spark, log)
     newest = current(None, rows, key="user_id", order=[F.col("event_id")], required=["user_id"])
-    logged = rows.agg(F.count("*").alias("logged"))
-    return newest.join(F.broadcast(logged)).select("user_id", "event_id", "value", "logged")
+    return newest.select("user_id", "event_id", "value", F.lit(rows.count()).cast("bigint").alias("logged"))
+
+
+# Pages of twelve to a walk, of which some are empty, cut off, followed by other text,
+# or failed; which they are follows from their number.
+SPOILT_SQL = f"""
+    items AS (SELECT {K} AS k, {K} // 24 AS n, {BAD_SQL} AS bad FROM part),
+    pages AS (SELECT DISTINCT n, n // 12 AS walk, n % 12 + 1 AS page, CASE
+        WHEN n // 12 % 4 = 0 AND n % 12 IN (6, 7) THEN 'page:empty'
+        WHEN n // 12 % 4 = 1 AND n % 12 IN (2, 5) THEN 'page:empty'
+        WHEN n // 12 % 4 = 1 AND n % 12 = 9 THEN 'page:not JSON'
+        WHEN n // 12 % 4 = 2 AND n % 12 = 4 THEN 'page:not JSON'
+        WHEN n // 12 % 4 = 2 AND n % 12 = 8 THEN 'page:shape'
+        WHEN n // 12 % 4 = 3 AND n % 12 = 10 THEN 'page:status'
+        WHEN n // 12 % 4 = 3 AND n % 12 = 11 THEN 'page:missing' END AS lost FROM items),
+    marked AS (SELECT *, lost IS NOT NULL AND lag(lost) OVER (PARTITION BY walk ORDER BY page) = 'page:empty'
+        OR lost <> 'page:empty' AS stops FROM pages),
+    ends AS (SELECT walk, min(page) AS stop FROM marked WHERE stops GROUP BY walk),
+    walked AS (SELECT * FROM pages LEFT JOIN ends USING (walk) WHERE stop IS NULL OR page <= stop)"""
+
+
+def spoilt_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    n = F.col("city_idx") * 4 + F.col("page") - 1
+    walk, at = F.floor(F.col("n") / 12), F.col("n") % 12
+    kind = (
+        F.when((walk % 4 == 0) & at.isin(6, 7), "empty")
+        .when((walk % 4 == 1) & at.isin(2, 5), "empty")
+        .when((walk % 4 == 1) & (at == 9), "cut")
+        .when((walk % 4 == 2) & (at == 4), "behind")
+        .when((walk % 4 == 2) & (at == 8), "shape")
+        .when((walk % 4 == 3) & (at == 10), "status")
+        .when((walk % 4 == 3) & (at == 11), "missing")
+    )
+    payload = (
+        F.when(kind == "empty", '{"search":{"result":{"listings":[]}}}')
+        .when(kind == "cut", F.expr("left(payload, length(payload) - 2)"))
+        .when(kind == "behind", F.concat("payload", F.lit(',"end"')))
+        .when(kind == "shape", '{"search":null}')
+        .when(F.coalesce(kind, F.lit("")) != "missing", F.col("payload"))
+    )
+    pages = part_pages(spark, sf_dir, bad=True).withColumn("n", n.cast("bigint"))
+    return pages.select(
+        "run", "uf", F.concat(F.lit("Cidade "), walk).alias("city"), walk.cast("int").alias("city_idx"),
+        "neighbourhood", "neighbourhood_pos", "listing_type", (at + 1).cast("int").alias("page"),
+        F.when(kind == "status", 503).otherwise(200).alias("status"), payload.alias("payload"), "n",
+    ).withColumn("uf", F.lit("SP"))
+
+
+def in_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The log of the spoilt pages, landed as files that cut walks, two files to a batch;
+    a second run finds nothing new."""
+    source, log, checkpoint = (new_dir(spark, name) for name in ("landed", "log", "stream"))
+    spoilt_pages(spark, sf_dir).repartition(6, "n").drop("n").write.parquet(source)
+    for _ in range(2):
+        ingest_pages(spark, source, log, checkpoint, BASE_URL, PORTAL, NOW, max_files=2)
+    return read_log(spark, log)
+
+
+WALKED_ITEMS_SQL = """walked_items AS (SELECT items.* FROM items JOIN walked USING (n)
+        WHERE lost IS NULL AND (stop IS NULL OR page < stop))"""
+
+
+@query(
+    "T1_outcomes_in_batches",
+    f"""WITH {SPOILT_SQL}, {WALKED_ITEMS_SQL}
+    SELECT n, k % 24 AS pos, bad AS outcome FROM walked_items
+    UNION ALL SELECT n, -1 AS pos, lost AS outcome FROM walked WHERE lost IS NOT NULL""",
+)
+def outcomes_in_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Items and pages without items, up to the stop of their walks across all batches."""
+    rows = counted(in_batches(spark, sf_dir))
+    n = F.col("city_idx") * 12 + F.col("page") - 1
+    return rows.select(
+        n.cast("bigint").alias("n"), F.coalesce("pos", F.lit(-1)).cast("bigint").alias("pos"), OUTCOME
+    )
+
+
+@query(
+    "T1_listings_in_batches",
+    f"""WITH {SPOILT_SQL}, {WALKED_ITEMS_SQL}
+    SELECT url, preco, estado FROM (SELECT n, k, {URL_SQL.replace(K, "k")} AS url, bad FROM walked_items)
+    JOIN (SELECT {K} AS k, {PRICE_SQL} AS preco, {STATE_SQL} AS estado FROM part) USING (k)
+    WHERE bad IS NULL QUALIFY row_number() OVER (PARTITION BY url ORDER BY k DESC) = 1""",
+)
+def listings_in_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The current table of walks that came in several batches."""
+    good, _ = split_outcomes(counted(in_batches(spark, sf_dir)))
+    return current_listings(None, good).select("url", "preco", "estado")
+
+
+@query(
+    "T1_input_is_whole",
+    f"""WITH {SPOILT_SQL}
+    SELECT part, count(*) AS n FROM (
+        SELECT CASE WHEN bad IS NULL THEN 'good' ELSE 'rejected' END AS part
+        FROM items JOIN pages USING (n) WHERE lost IS NULL
+        UNION ALL SELECT 'page' FROM pages WHERE lost IS NOT NULL) GROUP BY part""",
+)
+def input_is_whole(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the log holds in each of its parts: together they are the input."""
+    return in_batches(spark, sf_dir).groupBy("part").agg(F.count("*").alias("n"))
+
+
+@query(
+    "S1_pages_in_the_walk",
+    f"""WITH {SPOILT_SQL}
+    SELECT walk AS city_idx, page, lost AS outcome FROM walked WHERE lost <> 'page:empty'""",
+)
+def pages_in_the_walk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages that cannot be read come out rejected, with their walk and reason, and end it."""
+    _, rejected = parse_pages(spoilt_pages(spark, sf_dir).drop("n"), BASE_URL, PORTAL, NOW)
+    return rejected.where("pos IS NULL").select(
+        F.col("city_idx").cast("bigint").alias("city_idx"), F.col("page").cast("bigint").alias("page"), OUTCOME
+    )
 
 
