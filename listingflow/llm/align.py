@@ -30,9 +30,9 @@ HEAVY = 1 << 18
 # Bounds of what a worker holds at once: bytes of text to encode, chunks remembered
 # and encoded in one call, tokens aligned (one longer document goes alone).
 TEXT_AT_ONCE = 1 << 20
-CACHE_CHUNKS = 300_000
+CACHE_CHUNKS = 400_000
 CHUNKS_AT_ONCE = 4096
-TOKENS_AT_ONCE = 1 << 19
+TOKENS_AT_ONCE = 1 << 18
 
 # A space between two characters that are none begins a piece in byte-level BPE.
 SINGLE_SPACE = re.compile(r" (?<=\S )(?=\S)")
@@ -63,25 +63,59 @@ class ByteLevel:
         for entry, number in vocabulary.items():
             if all(c in alphabet for c in entry):
                 self.tokens[number] = bytes(alphabet[c] for c in entry)
-        self.known: dict[str, bytes] = {}
+        self.sizes = np.array([len(token) for token in self.tokens], np.int64)
+        self.known: dict[str, bytes | None] = {}
 
-    def pack(self, texts: list[str]) -> list[bytes]:
+    def _ids(self, text: str) -> np.ndarray | None:
+        """Ids of a text; None if they do not give its bytes again."""
+        ids = self.own.encode_batch_fast([text], add_special_tokens=False)[0].ids
+        whole = b"".join(map(self.tokens.__getitem__, ids)) == text.encode()
+        return np.array(ids, "<u4") if whole else None
+
+    def _one(self, text: str) -> bytes | None:
+        ids = self._ids(text)
+        return None if ids is None else ids.tobytes()
+
+    def _learn(self, chunks: list[str]) -> None:
+        """Remember the ids of chunks that stand behind a space.
+
+        A chunk that neither begins nor ends with white space is a text by itself, so
+        many are encoded in one call and told apart by the bytes of their tokens.
+        """
+        plain = [c for c in chunks if c and not (c[0].isspace() or c[-1].isspace())]
+        for at in range(0, len(plain), CHUNKS_AT_ONCE):
+            some = plain[at : at + CHUNKS_AT_ONCE]
+            ids = self._ids(" " + " ".join(some))
+            if ids is None:
+                self.known.update((chunk, self._one(" " + chunk)) for chunk in some)
+                continue
+            ends = np.cumsum([len(chunk.encode()) + 1 for chunk in some])
+            cuts = np.searchsorted(np.cumsum(self.sizes[ids]), ends, "left") + 1
+            packed = ids.tobytes()
+            begins = [0, *(4 * cuts).tolist()]
+            self.known.update(zip(some, (packed[x:y] for x, y in zip(begins, begins[1:], strict=False)), strict=True))
+        odd = [c for c in chunks if not c or c[0].isspace() or c[-1].isspace()]
+        self.known.update((chunk, self._one(" " + chunk)) for chunk in odd)
+
+    def pack(self, texts: list[str]) -> list[bytes | None]:
         """Ids of each text with a space before it, as little-endian 32-bit integers.
 
-        No piece spans a single space between two words, so what stands between
-        such spaces is encoded once and remembered.
+        None if they do not give the text's bytes again. No piece spans a single space
+        between two words, so what stands between such spaces is encoded once and
+        remembered.
         """
-        parts = [SINGLE_SPACE.split(" " + text) for text in texts]
+        parts = [SINGLE_SPACE.split(text) for text in texts]
         if len(self.known) > CACHE_CHUNKS:
             self.known.clear()
         known = self.known
-        chunks = [[first, *(" " + chunk for chunk in rest)] for first, *rest in parts]
-        new = list({chunk for own in chunks for chunk in own if chunk not in known})
-        for at in range(0, len(new), CHUNKS_AT_ONCE):
-            some = new[at : at + CHUNKS_AT_ONCE]
-            for chunk, found in zip(some, self.own.encode_batch_fast(some, add_special_tokens=False), strict=True):
-                known[chunk] = np.array(found.ids, "<u4").tobytes()
-        packed = [b"".join(map(known.__getitem__, own)) for own in chunks]
+        new = list(set().union(*parts) - known.keys())
+        self._learn(new)
+        packed: list[bytes | None] = []
+        for own in parts:
+            try:
+                packed.append(b"".join(map(known.__getitem__, own)))
+            except TypeError:  # a chunk is not given back
+                packed.append(None)
         for chunk in new:
             if len(chunk) > 64:  # long chunks are rare and not kept
                 del known[chunk]
@@ -105,8 +139,23 @@ class Pieces:
             else:
                 self.tokens.append(piece.replace("▁", " ").encode())
 
-    def pack(self, texts: list[str]) -> list[bytes]:
-        return [np.array(ids, "<u4").tobytes() for ids in self.own.encode(texts, num_threads=1)]
+        self.sizes = np.array([len(token) for token in self.tokens], np.int64)
+        self.bytes = np.frombuffer(b"".join(self.tokens), np.uint8)
+        self.at = np.cumsum(self.sizes) - self.sizes
+
+    def pack(self, texts: list[str]) -> list[bytes | None]:
+        """Ids of each text as little-endian 32-bit integers; None if they do not give
+        the bytes of the text with a space before it again."""
+        return [self._whole(np.array(ids, "<u4"), text) for ids, text in zip(self.own.encode(texts, num_threads=1), texts, strict=True)]
+
+    def _whole(self, ids: np.ndarray, text: str) -> bytes | None:
+        data = np.frombuffer(b" " + text.encode(), np.uint8)
+        sizes = self.sizes[ids]
+        ends = np.cumsum(sizes)
+        if not len(ids) or ends[-1] != len(data):
+            return None
+        places = np.repeat(self.at[ids] - ends + sizes, sizes) + np.arange(len(data))
+        return ids.tobytes() if np.array_equal(self.bytes[places], data) else None
 
 
 @lru_cache(maxsize=2)
@@ -129,14 +178,9 @@ def encoded(docs: DataFrame, a_path: str, b_path: str, id: str = "doc_id", text:
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         left, right = pair_of_tokenizers(a_path, b_path)
 
-        def whole(packed: bytes, tokens: list[bytes], data: bytes) -> bool:
-            return b"".join(map(tokens.__getitem__, np.frombuffer(packed, "<u4").tolist())) == data
-
         def pairs(texts: list[str]) -> Iterator[tuple[bytes, bytes]]:
             for text, a, b in zip(texts, left.pack(texts), right.pack(texts), strict=True):
-                data = b" " + text.encode()
-                good = text and whole(a, left.tokens, data) and whole(b, right.tokens, data)
-                yield (a, b) if good else (b"", b"")
+                yield (a, b) if text and a is not None and b is not None else (b"", b"")
 
         for batch in batches:
             rows: list[tuple[bytes, bytes]] = []
@@ -243,7 +287,7 @@ def _alignments(
 def token_sizes(a_path: str, b_path: str) -> tuple[np.ndarray, np.ndarray]:
     """Bytes of every token of both vocabularies."""
     left, right = pair_of_tokenizers(a_path, b_path)
-    return tuple(np.array([len(t) for t in own.tokens], np.int64) for own in (left, right))
+    return left.sizes, right.sizes
 
 
 def pair_counts(ids: DataFrame, a_path: str, b_path: str) -> DataFrame:

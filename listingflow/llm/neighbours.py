@@ -9,7 +9,7 @@ until few lists change; pairs met before are not compared again.
 
 A query goes through each space of its length. It begins at its own node and at a
 few nodes of the space, keeps the best it has met, and asks the neighbours of those
-it has not asked yet, until there is none. Graph and search compare 8-bit codes; the
+it has not asked yet, until there is none. Graph and search compare 16-bit codes; the
 best found are compared exactly.
 """
 
@@ -60,7 +60,7 @@ def _octave(vector: np.ndarray) -> int:
 
 
 def encode(vector: np.ndarray, octave: int | None) -> bytes:
-    """8-bit components, their scale, and the component that is added.
+    """16-bit components, their scale, and the component that is added.
 
     `octave` is that of a node's space; without it the vector is a query, of length
     1 and with nothing added.
@@ -70,16 +70,16 @@ def encode(vector: np.ndarray, octave: int | None) -> bytes:
     norm = np.sqrt((own**2).sum())
     size = 1.0 if octave is None else 2.0 ** (math.log2(largest) + math.log2(norm) - octave - 0.51)
     own *= size / norm
-    scale = np.abs(own).max() / 127
+    scale = np.abs(own).max() / 32767
     added = 0.0 if octave is None else math.sqrt(max(0.0, 1 - size * size))
-    return np.rint(own / scale).astype(np.int8).tobytes() + np.array([scale, added], np.float32).tobytes()
+    return np.rint(own / scale).astype(np.int16).tobytes() + np.array([scale, added], np.float32).tobytes()
 
 
 def decode(codes: list[bytes]) -> np.ndarray:
     """A row per code; inner products of rows are the likeness in a space."""
     raw = np.frombuffer(b"".join(codes), np.uint8).reshape(len(codes), -1)
     tail = np.ascontiguousarray(raw[:, -8:]).view(np.float32)
-    return np.concatenate([raw[:, :-8].view(np.int8) * tail[:, :1], tail[:, 1:]], axis=1).astype(np.float32)
+    return np.concatenate([np.ascontiguousarray(raw[:, :-8]).view(np.int16) * tail[:, :1], tail[:, 1:]], axis=1).astype(np.float32)
 
 
 def whole(batches: Iterable[pa.RecordBatch], *keys: str) -> Iterator[pa.Table]:
