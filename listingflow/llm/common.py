@@ -38,6 +38,14 @@ def stored(df: DataFrame, purpose: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def discard(df: DataFrame) -> None:
+    """Remove the folder of a `stored` table that nothing reads any more."""
+    context = df.sparkSession.sparkContext
+    for folder in {file.rsplit("/", 1)[0] for file in df.inputFiles()}:
+        path = context._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(context._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def remainder(id_column: Column) -> Column:
     """crc32 of the id as text, modulo 5: the fold that hold-outs are made of."""
     return F.coalesce(F.crc32(id_column.cast("string")), F.lit(0)) % 5

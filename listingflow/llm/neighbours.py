@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from listingflow.llm.common import prepare, stored
+from listingflow.llm.common import discard, prepare, stored
 
 SEED = 20240229
 # Neighbours of a node, groupings that the graph begins with, nodes of one such group.
@@ -309,7 +309,8 @@ def neighbour_graph(nodes: DataFrame, spaces: dict[tuple[int, int], tuple[int, i
     """(node, code, ids, likeness, fresh): the nearest nodes found of every node."""
     graph = _begun(nodes, spaces)
     for number in range(ROUNDS):
-        graph = _round(graph, number)
+        before, graph = graph, _round(graph, number)
+        discard(before)
         fresh = F.length(F.replace(F.hex("fresh"), F.lit("00"), F.lit(""))) / 2
         changed, held = graph.agg(F.sum(fresh), F.sum(F.length("fresh"))).first()
         if not held or changed < SETTLED * held:
@@ -373,16 +374,17 @@ def _search(queries: DataFrame, graph: DataFrame, nodes: DataFrame) -> DataFrame
     pairs = graph.select("node", "ids").mapInArrow(links, "node long, other long")
     known = nodes.select(F.col("node").alias("other"), "code")
     beside = F.sort_array(F.collect_list(F.struct("other", "code")))  # at most DEGREE of them
-    adjacent = pairs.join(known, "other").groupBy("node").agg(beside.alias("beside"))
     buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    adjacent = pairs.join(known, "other").repartition(buckets, "node").groupBy("node").agg(beside.alias("beside"))
     name = f"neighbours_{uuid.uuid4().hex}"
-    adjacent.repartition(buckets, "node").write.bucketBy(buckets, "node").sortBy("node").saveAsTable(name)
+    adjacent.write.bucketBy(buckets, "node").sortBy("node").saveAsTable(name)
     try:
         for _ in range(SEARCH_ROUNDS):
             asked = _asked(pools)
             if asked.isEmpty():
                 break
-            pools = _answered(pools, asked, spark.table(name))
+            before, pools = pools, _answered(pools, asked, spark.table(name))
+            discard(before)
     finally:
         spark.sql(f"drop table {name}")
     return pools
