@@ -195,6 +195,31 @@ def test_quality_and_toxicity_on_held_out_rows(spark):
     assert np.mean([a > b for a in yes for b in no]) > 0.9
 
 
+@pytest.mark.parametrize("share", [0.2, 0.5, 0.85])
+def test_share_of_positives_of_a_known_mixture(share):
+    """Estimated from positives and a mixture only; the bins overlap."""
+    draw = np.random.default_rng(7)
+    count = lambda x: np.bincount(np.clip((x * 100).astype(int), 0, 99), minlength=100)
+    n = 20_000
+    good = draw.beta(6, 2, int(n * share))
+    bad = draw.beta(1, 8, n - len(good))
+    found = quality.share_of_positives(count(draw.beta(6, 2, 3000)), count(np.concatenate([good, bad])))
+    assert share - 0.06 < found < share + 0.02
+
+
+def test_the_prior_comes_from_texts_not_from_negatives(spark, monkeypatch):
+    """Labels of negatives change nothing."""
+    docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet").limit(2500)
+    labels = spark.read.parquet("/root/testdata/sf0.1/labels.parquet")
+    found = []
+    own = quality.share_of_positives
+    monkeypatch.setattr(quality, "share_of_positives", lambda *counts: found.append(own(*counts)) or found[-1])
+    with_all = quality.train(docs, labels)
+    without = quality.train(docs, labels.where("quality = 1"))
+    assert found[0] == found[1] and 0.75 < found[0] < 0.9
+    assert np.allclose(with_all[0], without[0]) and np.isclose(with_all[1], without[1])
+
+
 def test_classifiers_on_odd_rows(spark, odd_docs, no_docs):
     labels = spark.createDataFrame([(1, 1, 0), (2, 0, None), (6, None, 1), (None, 1, 1)], "doc_id long, quality int, toxic int")
     none = labels.where("false")
