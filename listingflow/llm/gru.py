@@ -23,8 +23,11 @@ WIDTH = 32
 SLOTS = CLASSES * WIDTH
 START = SLOTS  # the input at the start of a document
 WINDOW = 16
-LANES = 128
-RATE = 0.006
+# Lanes at most; to learn, so many that about STEPS windows come of the documents given.
+LANES = 512
+LEAST_LANES = 32
+STEPS = 512
+RATE = 0.008
 SEED = 5
 
 SHAPES = {
@@ -68,9 +71,9 @@ def new_model(mass: np.ndarray) -> Model:
 class Lanes:
     """Documents of slots, laid on lanes."""
 
-    def __init__(self, documents: list[np.ndarray]):
+    def __init__(self, documents: list[np.ndarray], lanes: int = LANES):
         """`documents`: the slots of each, none empty."""
-        loads = [(0, lane) for lane in range(min(LANES, len(documents)))]
+        loads = [(0, lane) for lane in range(min(lanes, len(documents)))]
         on_lane: list[list[int]] = [[] for _ in loads]
         for k in sorted(range(len(documents)), key=lambda k: -len(documents[k])):
             load, lane = heapq.heappop(loads)
@@ -128,13 +131,14 @@ def _recur(model: Model, inputs: np.ndarray, state: np.ndarray) -> tuple[np.ndar
     return states, (gates, candidates, pulls, keep)
 
 
-def _softmax(logits: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Probabilities and log normalisers of rows, in place."""
+def _softmax(logits: np.ndarray, learn: bool) -> tuple[np.ndarray, np.ndarray]:
+    """Probabilities (only to learn) and log normalisers of rows, in place."""
     top = logits.max(1, keepdims=True)
     logits -= top
     np.exp(logits, out=logits)
     total = logits.sum(1, keepdims=True)
-    logits /= total
+    if learn:
+        logits /= total
     return logits, (np.log(total) + top)[:, 0]
 
 
@@ -145,7 +149,7 @@ def _outputs(model: Model, states: np.ndarray, targets: np.ndarray, learn: bool)
     logits = states @ model["class_weight"] + model["class_bias"]
     rows = np.arange(n)
     chosen = logits[rows, kind]
-    p, norm = _softmax(logits)
+    p, norm = _softmax(logits, learn)
     logp = chosen - norm
     order = np.argsort(kind, kind="stable")
     ends = np.cumsum(np.bincount(kind, minlength=CLASSES))
@@ -166,7 +170,7 @@ def _outputs(model: Model, states: np.ndarray, targets: np.ndarray, learn: bool)
             logits = own @ model["word_weight"][c] + model["word_bias"][c]
             here = np.arange(end - begin)
             chosen = logits[here, at]
-            p, norm = _softmax(logits)
+            p, norm = _softmax(logits, learn)
             within[begin:end] = chosen - norm
             if learn:
                 p[here, at] -= 1
@@ -226,7 +230,9 @@ class Learner:
     def learn(self, documents: list[np.ndarray]) -> int:
         """Learn from every window of `documents`, none empty; the tokens that gave a gradient."""
         seen = 0
-        lanes = Lanes(documents)
+        width = sum(map(len, documents)) // (WINDOW * STEPS)
+        width = min(LANES, max(LEAST_LANES, width))
+        lanes = Lanes(documents, width)
         state = np.zeros((len(lanes.lengths), HIDDEN), np.float32)
         for at in lanes.windows():
             state = state[: at.shape[1]]
@@ -241,7 +247,7 @@ class Learner:
             _back(self.model, inputs, states, kept, d_states, grads)
             # A window of few lanes tells little and moves the weights little.
             seen += int(there.sum())
-            share = there.sum() / (LANES * WINDOW)
+            share = there.sum() / (width * WINDOW)
             scale = np.float32(1 / max(1, there.sum()))
             rows, values = grads.pop("table")
             for name, rows, gradient in (*((n, slice(None), g) for n, g in grads.items()), ("table", rows, values)):

@@ -4,6 +4,10 @@ Counts are taken over all training words, and the network is trained on all trai
 documents: each partition learns on its own from the weights given, and the weights
 are averaged by the words seen. Frequent words (a bounded number) are broadcast with
 their counts; the others, of which there may be any number, are looked up by a join.
+
+Texts are split and looked up once: the slots of their words are stored, and learning
+and scoring read those. As each partition learns from its own documents, the weights
+depend on how the table is split into partitions.
 """
 
 from __future__ import annotations
@@ -21,7 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from listingflow.llm import gru
-from listingflow.llm.common import BATCH_ROWS, prepare, records, stored, words
+from listingflow.llm.common import prepare, records, stored, words
 
 # The token behind a document's last word; no word is empty.
 END = b""
@@ -31,10 +35,7 @@ FREQUENT = 1 << 17
 TAILS = 64
 # Words counted, and tokens learned from or scored, at once in a task.
 COUNTED = 300_000
-CHUNK = 1_600_000
-# Rows of a batch, of bounded bytes as ever: many documents fill the lanes beside a
-# very long one.
-ROWS = 4 * BATCH_ROWS
+CHUNK = 4_000_000
 # The share of the training documents (in sixteenths) that each round learns from.
 ROUNDS = ((0, 4), (4, 16))
 BLOCK = 4096
@@ -125,16 +126,20 @@ class Lexicon:
         return at, slots, tails
 
 
-def _learned(docs: DataFrame, text: str, lexicon, flat: np.ndarray) -> np.ndarray:
+def _unpacked(packed: Iterable[bytes]) -> list[np.ndarray]:
+    return [np.frombuffer(data, np.int16) for data in packed]
+
+
+def _learned(rows: DataFrame, flat: np.ndarray) -> np.ndarray:
     """One round: weights learned by every partition from `flat`, averaged by words seen."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        lex, learner, seen = lexicon.value, gru.Learner(gru.unpack(flat)), 0
+        learner, seen = gru.Learner(gru.unpack(flat)), 0
         chunk, size = [], 0
         for batch in batches:
-            for (value,) in records(batch, text):
-                chunk.append(lex.look_up([*words(value), END])[1])
-                size += len(chunk[-1])
+            for own in _unpacked(batch.column("slots").to_pylist()):
+                chunk.append(own)
+                size += len(own)
                 if size >= CHUNK:
                     seen += learner.learn(chunk)
                     chunk, size = [], 0
@@ -172,48 +177,31 @@ def _learned(docs: DataFrame, text: str, lexicon, flat: np.ndarray) -> np.ndarra
                 }
             )
 
-    models = docs.select(text).mapInArrow(run, schema)
+    models = rows.select("slots").mapInArrow(run, schema)
     summed = models.groupBy("block", "part").applyInArrow(added, schema).groupBy("block").applyInArrow(added, schema)
-    rows = sorted(summed.collect(), key=lambda r: r["block"])
-    if not rows:
+    blocks = sorted(summed.collect(), key=lambda r: r["block"])
+    if not blocks:
         return flat
-    return np.concatenate([np.frombuffer(r["weights"]) / r["seen"] for r in rows]).astype(np.float32)
+    return np.concatenate([np.frombuffer(r["weights"]) / r["seen"] for r in blocks]).astype(np.float32)
 
 
-def _scored(docs: DataFrame, id: str, text: str, others: list[str], lexicon, flat: np.ndarray) -> DataFrame:
-    """Per document: sums over frequent words and slots, and its other words with their numbers."""
+def _looked_up(docs: DataFrame, id: str, text: str, others: list[str], lexicon) -> DataFrame:
+    """Per document: its slots, sums over frequent words and tails, and its other words
+    with their numbers. `row` tells rows apart once the result is stored."""
     kinds = {field.name: field.dataType.simpleString() for field in docs.schema}
     schema = ", ".join(f"`{name}` {kinds[name]}" for name in (id, *others)) + (
-        ", row long, n_tokens long, n_frequent long, base double, slots double, rare array<struct<word: binary, n: long>>"
+        ", row long, n_tokens long, n_frequent long, base double, tails double, slots binary,"
+        " rare array<struct<word: binary, n: long>>"
     )
     rare_type = pa.list_(pa.struct([("word", pa.binary()), ("n", pa.int64())]))
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        lex, model = lexicon.value, gru.unpack(flat)
+        lex = lexicon.value
         logs = np.log10(lex.counts + 0.5)
         row = TaskContext.get().partitionId() << 40
-
-        def scored(batch: pa.RecordBatch, found: list[tuple], chunk: list[np.ndarray]) -> pa.RecordBatch:
-            nonlocal row
-            tokens, frequent, base, rest, rare = map(list, zip(*found, strict=True))
-            own = gru.log_probabilities(model, chunk) / math.log(10) + np.array(rest)
-            rows = range(row, row + len(found))
-            row += len(found)
-            return pa.RecordBatch.from_pydict(
-                {name: batch.column(name) for name in (id, *others)}
-                | {
-                    "row": pa.array(rows, pa.int64()),
-                    "n_tokens": pa.array(tokens, pa.int64()),
-                    "n_frequent": pa.array(frequent, pa.int64()),
-                    "base": pa.array(base, pa.float64()),
-                    "slots": pa.array(own, pa.float64()),
-                    "rare": pa.array(rare, rare_type),
-                }
-            )
-
         for batch in batches:
-            found, chunk, size, begin = [], [], 0, 0
-            for k, (value,) in enumerate(records(batch, text)):
+            found = []
+            for (value,) in records(batch, text):
                 tokens = [*words(value), END]
                 at, slots, tails = lex.look_up(tokens)
                 known = at >= 0
@@ -221,20 +209,55 @@ def _scored(docs: DataFrame, id: str, text: str, others: list[str], lexicon, fla
                 in_tail = known & (tails >= 0)
                 # Of words in a tail the count's part; for those not broadcast it follows by a join.
                 rest = logs[at[in_tail]].sum() - lex.tail_norm[tails[tails >= 0]].sum()
-                rare = Counter(tokens[j] for j in np.flatnonzero(~known))
+                rare = Counter(tokens[j] for j in np.flatnonzero(~known).tolist())
                 rows = [{"word": w, "n": n} for w, n in rare.items()]
-                found.append((len(tokens), int(known.sum()), float(base.sum()), float(rest), rows))
-                chunk.append(slots)
-                size += len(tokens)
-                if size >= CHUNK:
-                    yield scored(batch.slice(begin, k + 1 - begin), found, chunk)
-                    found, chunk, size, begin = [], [], 0, k + 1
-            if found:
-                yield scored(batch.slice(begin), found, chunk)
+                found.append((len(tokens), int(known.sum()), float(base.sum()), float(rest), slots.astype(np.int16).tobytes(), rows))
+            if not found:
+                continue
+            n_tokens, frequent, base, rest, slots, rare = map(list, zip(*found, strict=True))
+            yield pa.RecordBatch.from_pydict(
+                {name: batch.column(name) for name in (id, *others)}
+                | {
+                    "row": pa.array(range(row, row + len(found)), pa.int64()),
+                    "n_tokens": pa.array(n_tokens, pa.int64()),
+                    "n_frequent": pa.array(frequent, pa.int64()),
+                    "base": pa.array(base, pa.float64()),
+                    "tails": pa.array(rest, pa.float64()),
+                    "slots": pa.array(slots, pa.binary()),
+                    "rare": pa.array(rare, rare_type),
+                }
+            )
+            row += len(found)
 
     return docs.select(id, *others, text).mapInArrow(run, schema)
 
 
+def _scored(rows: DataFrame, flat: np.ndarray) -> DataFrame:
+    """(row, slots): the log probability of each document's slots, and of its words in tails."""
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        model = gru.unpack(flat)
+
+        def scored(held: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            chunk = [own for batch in held for own in _unpacked(batch.column("slots").to_pylist())]
+            found = gru.log_probabilities(model, chunk) / math.log(10)
+            number = np.concatenate([batch.column("row").to_numpy() for batch in held])
+            tails = np.concatenate([batch.column("tails").to_numpy() for batch in held])
+            yield pa.RecordBatch.from_pydict({"row": pa.array(number), "slots": pa.array(found + tails)})
+
+        held, size = [], 0
+        for batch in batches:
+            held.append(batch)
+            size += batch.column("slots").nbytes // 2
+            if size >= CHUNK:
+                yield from scored(held)
+                held, size = [], 0
+        if size:
+            yield from scored(held)
+
+    return rows.select("row", "tails", "slots").mapInArrow(run, "row long, slots double")
+
+
 def score_documents(docs: DataFrame, learn_from: Column, id: str = "doc_id", text: str = "text") -> DataFrame:
     """Log probabilities (base 10) of every whole text.
 
@@ -249,17 +272,17 @@ def score_documents(docs: DataFrame, learn_from: Column, id: str = "doc_id", tex
     """
     prepare(docs.sparkSession)
     spark = docs.sparkSession
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", ROWS)
     rows = docs.select(F.col(id).alias("id"), F.col(text).alias("text"), F.coalesce(learn_from, F.lit(False)).alias("learn"))
-    training = rows.where("learn").select("id", "text")
-    counts = stored(count_words(training, "text"), "counts")
+    counts = stored(count_words(rows.where("learn"), "text"), "counts")
     lex = Lexicon(counts)
     lexicon = spark.sparkContext.broadcast(lex)
     flat = gru.pack(gru.new_model(lex.mass))
-    part = F.pmod(F.xxhash64("id", "text"), F.lit(16))
+    part = F.pmod(F.xxhash64("id", "text"), F.lit(16)).alias("part")
+    rows = rows.select("id", "learn", part, "text")
+    found = stored(_looked_up(rows, "id", "text", ["learn", "part"], lexicon), "slots")
     for begin, end in ROUNDS:
-        flat = _learned(training.where((part >= begin) & (part < end)), "text", lexicon, flat)
-    found = stored(_scored(rows, "id", "text", ["learn"], lexicon, flat), "scores")
+        flat = _learned(found.where(F.col("learn") & (F.col("part") >= begin) & (F.col("part") < end)), flat)
+    scores = _scored(found, flat).withColumnRenamed("row", "scored")
 
     rare = found.select("row", F.explode("rare").alias("r")).select("row", F.col("r.word").alias("w"), F.col("r.n").alias("n"))
     seen = rare.join(counts.select("word", "c"), F.col("w") == F.col("word"), "left")
@@ -267,6 +290,7 @@ def score_documents(docs: DataFrame, learn_from: Column, id: str = "doc_id", tex
         F.sum(F.col("n") * F.log10(F.coalesce("c", F.lit(0)) + 0.5)).alias("logs"),
         F.sum(F.when(F.col("c") > 0, F.col("n")).otherwise(0)).alias("known"),
     )
+    found = found.select("id", "learn", "row", "n_tokens", "n_frequent", "base").join(scores, F.col("row") == F.col("scored"))
     logs = F.coalesce("logs", F.lit(0.0))
     return found.join(sums, F.col("row") == F.col("of"), "left").select(
         F.col("id").alias(id),
