@@ -46,6 +46,14 @@ def discard(df: DataFrame) -> None:
         path.getFileSystem(context._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def free_name(name: str, *taken: list[str]) -> str:
+    """`name`, longer by as many underscores as it takes to clash with no column taken."""
+    known = {column.lower() for columns in taken for column in columns}
+    while name.lower() in known:
+        name += "_"
+    return name
+
+
 def remainder(id_column: Column) -> Column:
     """crc32 of the id as text, modulo 5: the fold that hold-outs are made of."""
     return F.coalesce(F.crc32(id_column.cast("string")), F.lit(0)) % 5

@@ -15,6 +15,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from listingflow.llm.common import free_name
+
 # Marks that no pattern matches; a text that holds them has STAND_IN in their place.
 MARK, CUT, STAND_IN = "", "", ""
 # Characters looked at on either side of a match, and the score a span needs.
@@ -179,21 +181,21 @@ def find_spans(docs: DataFrame, text: str = "text", name: str = "spans") -> Data
     an empty array. Repeated rows and other columns stay as they are; a column of the
     same name is replaced.
     """
-    out = docs.withColumn("_text", _clean(F.col(text)))
-    out = out.withColumns({f"_p_{k.name}": _parts(F.col("_text"), k) for k in KINDS})
+    clean = free_name("_text", docs.columns)
+    of = {(s, k): free_name(f"_{s}_{k.name}", docs.columns) for k in KINDS for s in "pnsf"}
+    out = docs.withColumn(clean, _clean(F.col(text)))
+    out = out.withColumns({of["p", k]: _parts(F.col(clean), k) for k in KINDS})
     # The last character counted of a part is its CUT, except in the first.
     sizes = {
-        f"_n_{k.name}": F.transform(f"_p_{k.name}", lambda p, i: F.length(p) - F.when(i > 0, 1).otherwise(0))
-        for k in KINDS
+        of["n", k]: F.transform(of["p", k], lambda p, i: F.length(p) - F.when(i > 0, 1).otherwise(0)) for k in KINDS
     }
     out = out.withColumns(sizes)
-    out = out.withColumns({f"_s_{k.name}": _starts(F.col(f"_n_{k.name}")) for k in KINDS})
-    found = [_spans(F.col(f"_p_{k.name}"), F.col(f"_s_{k.name}"), k) for k in KINDS]
-    out = out.withColumns({f"_f_{k.name}": f for k, f in zip(KINDS, found, strict=True)})
+    out = out.withColumns({of["s", k]: _starts(F.col(of["n", k])) for k in KINDS})
+    found = [_spans(F.col(of["p", k]), F.col(of["s", k]), k) for k in KINDS]
+    out = out.withColumns({of["f", k]: f for k, f in zip(KINDS, found, strict=True)})
     empty = F.expr("cast(array() as array<struct<start:bigint,rank:int,kind:string,end:bigint,score:double>>)")
-    each = [F.coalesce(F.col(f"_f_{k.name}"), empty) for k in KINDS]
-    used = ["_text", *(f"_{s}_{k.name}" for k in KINDS for s in "pnsf")]
-    return out.withColumn(name, F.array_sort(F.concat(*each))).drop(*used)
+    each = [F.coalesce(F.col(of["f", k]), empty) for k in KINDS]
+    return out.withColumn(name, F.array_sort(F.concat(*each))).drop(clean, *of.values())
 
 
 def spans_text(spans: Column) -> Column:
@@ -240,8 +242,9 @@ def redact(docs: DataFrame, text: str = "text") -> DataFrame:
     first counts. A null text stays null. A text that holds MARK or CUT gets STAND_IN
     for them.
     """
-    out = docs.withColumn("_text", _clean(F.col(text)))
+    clean, parts = free_name("_text", docs.columns), free_name("_parts", docs.columns)
+    out = docs.withColumn(clean, _clean(F.col(text)))
     for kind in KINDS:
-        out = out.withColumn("_parts", _parts(F.col("_text"), kind))
-        out = out.withColumn("_text", _replaced(F.col("_parts"), kind))
-    return out.withColumn(text, F.when(F.col(text).isNotNull(), F.col("_text"))).drop("_text", "_parts")
+        out = out.withColumn(parts, _parts(F.col(clean), kind))
+        out = out.withColumn(clean, _replaced(F.col(parts), kind))
+    return out.withColumn(text, F.when(F.col(text).isNotNull(), F.col(clean))).drop(clean, parts)
