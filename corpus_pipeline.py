@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from listingflow.llm import quality
 from listingflow.llm.bpe import encode_decode
-from listingflow.llm.common import labels_to_learn, stored, table
+from listingflow.llm.common import free_name, labels_to_learn, stored, table
 from listingflow.llm.decontaminate import contaminated
 from listingflow.llm.minmax import near_duplicates
 from listingflow.llm.pii import redact
@@ -29,11 +29,13 @@ def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return quality.keep_good(docs, model, quality.GOOD)
 
 
-def _keyed(docs: DataFrame) -> DataFrame:
-    """`docs` with `_key`, of id and text; keys sort as ids do, rows without an id last."""
+def _keyed(docs: DataFrame) -> tuple[DataFrame, str, str]:
+    """`docs` with a column that tells rows apart by id and text, and two free names: that
+    of the column and another. Keys sort as ids do, rows without an id last."""
+    key = free_name("_key", docs.columns)
     text = F.concat(F.when(F.col("text").isNull(), "0").otherwise("1"), F.coalesce("text", F.lit("")))
     own = F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id").alias("id"), F.sha2(text, 256).alias("text"))
-    return docs.withColumn("_key", own)
+    return docs.withColumn(key, own), key, free_name("_found", docs.columns)
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -42,17 +44,20 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     Rows are told apart by id and text: of rows equal in both one stays, and rows that
     share an id, or have none, go or stay each by its own text.
     """
-    keyed = _keyed(docs)
-    kept = near_duplicates(keyed, size=5, percent=80, id="_key").where("kept").select(F.to_json("_key").alias("_kept"))
-    own = keyed.withColumn("_key", F.to_json("_key"))
-    return own.join(kept, F.col("_key") == F.col("_kept"), "left_semi").dropDuplicates(["_key"]).drop("_key")
+    keyed, key, found = _keyed(docs)
+    kept = near_duplicates(keyed.select(key, "text"), size=5, percent=80, id=key).where("kept")
+    kept = kept.select(F.to_json(key).alias(found))
+    own = keyed.withColumn(key, F.to_json(key))
+    return own.join(kept, F.col(key) == F.col(found), "left_semi").dropDuplicates([key]).drop(key)
 
 
 def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold no passage of the benchmark."""
-    keyed = _keyed(docs).withColumn("_key", F.to_json("_key"))
-    leaks = contaminated(keyed, table(spark, sf_dir, "benchmark"), id="_key").select(F.col("_key").alias("_leak")).distinct()
-    return keyed.join(leaks, F.col("_key") == F.col("_leak"), "left_anti").drop("_key")
+    keyed, key, found = _keyed(docs)
+    keyed = keyed.withColumn(key, F.to_json(key))
+    leaks = contaminated(keyed.select(key, "text"), table(spark, sf_dir, "benchmark"), id=key)
+    leaks = leaks.select(F.col(key).alias(found)).distinct()
+    return keyed.join(leaks, F.col(key) == F.col(found), "left_anti").drop(key)
 
 
 def cover_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
