@@ -30,7 +30,7 @@ HEAVY = 1 << 18
 # Bounds of what a worker holds at once: bytes of text to encode, chunks remembered
 # and encoded in one call, tokens aligned (one longer document goes alone).
 TEXT_AT_ONCE = 1 << 20
-CACHE_CHUNKS = 400_000
+CACHE_CHUNKS = 200_000
 CHUNKS_AT_ONCE = 4096
 TOKENS_AT_ONCE = 1 << 18
 
