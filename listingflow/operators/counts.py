@@ -26,6 +26,34 @@ def saved_totals(writes: DataFrame, state: str = "uf", city: str = "city") -> Da
     )
 
 
+def outcome_totals(
+    rows: DataFrame, run: str = "run", state: str = "uf", city: str = "city", outcome: str = "outcome"
+) -> DataFrame:
+    """What became of the pages of a run: per city, per state, per run and in all.
+
+    `rows` are those of `plans.collect.page_outcomes` that count. `saved` are good items
+    that the table accepts, `refused` the others, `failed_pages` pages that could not be
+    read, `empty_pages` those without listings; `errors` are refused items and failed
+    pages. `level` is 0 for a city, 1 for a state, 3 for a run, 7 for all, so that a NULL in a
+    place's name is not taken for a total.
+
+    Outcomes are counted by city first, with partial sums in each task, and rolled up once.
+    """
+    kind = F.col(outcome)
+    page = F.coalesce(kind.startswith("page:"), F.lit(False))
+    empty = F.coalesce(kind == "page:empty", F.lit(False))
+    good = kind.isNull() & savable(rows)
+    per_city = rows.groupBy(run, state, city).agg(
+        F.count_if(good).alias("saved"),
+        F.count_if(~good & ~page).alias("refused"),
+        F.count_if(page & ~empty).alias("failed_pages"),
+        F.count_if(empty).alias("empty_pages"),
+    )
+    sums = [F.sum(name).alias(name) for name in per_city.columns[3:]]
+    totals = per_city.rollup(run, state, city).agg(*sums, F.grouping_id().alias("level"))
+    return totals.withColumn("errors", F.col("refused") + F.col("failed_pages"))
+
+
 def batch_metrics(df: DataFrame, required: list[str] = REQUIRED) -> DataFrame:
     """Rows offered, rows the table accepts, and the rest."""
     ok = savable(df, required)

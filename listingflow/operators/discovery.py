@@ -35,10 +35,12 @@ def city_index(municipalities: DataFrame) -> DataFrame:
 
 
 def city_counts(municipalities: DataFrame) -> DataFrame:
-    """Cities per state and, in the row without a state, in all."""
+    """Cities per state (`level` 0) and in all (`level` 1)."""
     per_state = municipalities.groupBy("uf").agg(F.count("*").alias("n_cities"))
     return per_state.rollup("uf").agg(
-        F.sum("n_cities").alias("n_cities"), F.count("*").alias("n_states")
+        F.sum("n_cities").alias("n_cities"),
+        F.count("*").alias("n_states"),
+        F.grouping_id().alias("level"),
     )
 
 

@@ -81,6 +81,51 @@ def next_progress(done: DataFrame, n_cities: DataFrame, limit: int | None = None
     )
 
 
+def save_cities(ranges: DataFrame, done: DataFrame, now: str) -> DataFrame:
+    """`ranges` (see `schema.CITY_PROGRESS`) with the finished cities (uf, city_idx) in them.
+
+    Cities may be done in any order, more than once and in runs for one city; ranges
+    that touch or overlap become one. `updated_at` is `now` where a range has grown.
+    Cities without a number in their state leave no progress.
+    """
+    fresh = done.where("city_idx is not null").select("uf", "city_idx").distinct()
+    fresh = fresh.select(
+        F.col("uf").alias("estado"), F.col("city_idx").cast("int").alias("first_city"),
+        F.col("city_idx").cast("int").alias("last_city"), F.lit(None).cast("string").alias("updated_at"),
+    )
+    by_first = Window.partitionBy("estado").orderBy("first_city", "last_city")
+    reach = F.max("last_city").over(by_first.rowsBetween(Window.unboundedPreceding, -1))
+    begins = F.when(F.col("first_city") <= reach + 1, 0).otherwise(1)
+    islands = (
+        ranges.select(*fresh.columns)
+        .unionByName(fresh)
+        .withColumn("_begins", begins)
+        .withColumn("_island", F.sum("_begins").over(by_first.rowsBetween(Window.unboundedPreceding, 0)))
+    )
+    merged = islands.groupBy("estado", "_island").agg(
+        F.min("first_city").alias("first_city"),
+        F.max("last_city").alias("last_city"),
+        F.max("updated_at").alias("_old"),
+        F.max(F.when(F.col("updated_at").isNotNull(), F.col("last_city") - F.col("first_city"))).alias("_most"),
+    )
+    grown = F.col("_most").isNull() | (F.col("_most") < F.col("last_city") - F.col("first_city"))
+    updated = F.when(grown, F.lit(now)).otherwise(F.col("_old")).alias("updated_at")
+    return merged.select("estado", "first_city", "last_city", updated)
+
+
+def state_progress(ranges: DataFrame, n_cities: DataFrame) -> DataFrame:
+    """(estado, last_page) that the ranges come to, for the states of `n_cities` (uf, n_cities).
+
+    Complete if all cities are done; else where the first one that is not starts.
+    """
+    first = ranges.where("first_city = 0").select(F.col("estado").alias("_estado"), F.col("last_city").alias("_last"))
+    at = F.coalesce(F.col("_last"), F.lit(-1))
+    return n_cities.join(first, F.col("uf") == F.col("_estado"), "left").select(
+        F.col("uf").alias("estado"),
+        F.when(at + 1 >= F.col("n_cities"), COMPLETE).otherwise(packed(at)).cast("bigint").alias("last_page"),
+    )
+
+
 def generic_progress(
     pages: DataFrame, walk: list[str], max_pages: Column, start: int = FIRST_PAGE, empty: str = "empty"
 ) -> DataFrame:

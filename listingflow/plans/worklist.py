@@ -25,6 +25,31 @@ def resume(worklist: DataFrame, progress: DataFrame) -> DataFrame:
     ).drop("last_page")
 
 
+def resume_cities(worklist: DataFrame, ranges: DataFrame) -> DataFrame:
+    """Work of the cities that are in no range of finished ones (`schema.CITY_PROGRESS`).
+
+    Each finished city is left out, also behind the first one that is not; cities without
+    a number are always work.
+    """
+    done = ranges.select(F.col("estado").alias("_estado"), "first_city", "last_city")
+    inside = F.col("city_idx").between(F.col("first_city"), F.col("last_city"))
+    return worklist.join(done, (F.col("uf") == F.col("_estado")) & inside, "left_anti")
+
+
+def select_city(cities: DataFrame, uf: str, city: str) -> DataFrame:
+    """(uf, city, city_idx) of a run for one city, its name in any case.
+
+    It keeps its number in the state, so its progress counts for it alone. A city that
+    is not listed is work all the same, under the name given and without a number.
+    """
+    uf = uf.upper()
+    listed = cities.where((F.col("uf") == uf) & (F.lower("city") == city.lower())).select("uf", "city", "city_idx")
+    asked = states(cities.sparkSession).where(F.col("uf") == uf).select(
+        "uf", F.lit(city).alias("city"), F.lit(None).cast("int").alias("city_idx")
+    )
+    return listed.unionByName(asked.join(listed.select("uf").distinct(), "uf", "left_anti"))
+
+
 def expand_worklist(cities: DataFrame, neighbourhoods: DataFrame) -> DataFrame:
     """City x (its neighbourhoods in order, then the pass without one) x type.
 

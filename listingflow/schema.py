@@ -43,5 +43,15 @@ PROGRESS = T.StructType(
     ]
 )
 
+# Finished cities of a state, as ranges of their numbers, both ends included.
+CITY_PROGRESS = T.StructType(
+    [
+        T.StructField("estado", T.StringType()),
+        T.StructField("first_city", T.IntegerType()),
+        T.StructField("last_city", T.IntegerType()),
+        T.StructField("updated_at", T.StringType()),
+    ]
+)
+
 # Columns only later jobs fill; see `upsert_latest(preserve=...)`.
 CONTROL_COLUMNS = ["imovel_disponivel", "imovel_atualizado"]

@@ -6,13 +6,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from listingflow.operators.counts import (
-    batch_metrics, count_listings, listings_per_state, saved_totals,
+    batch_metrics, count_listings, listings_per_state, outcome_totals, saved_totals,
 )
 from listingflow.operators.parse import OUTCOME, parse_listings, project_items
 from listingflow.operators.upsert import latest, upsert_latest, write_order
 from listingflow.plans.collect import (
     counted, current_listings, parse_pages, split_outcomes, walked_pages,
 )
+from listingflow.schema import LISTINGS
 from listingflow.session import new_dir
 from listingflow.sources.payloads import explode_listings, unreadable
 from listingflow.sources.tables import (
@@ -30,8 +31,12 @@ def parsed(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
     return project_items(part_items(spark, sf_dir), BASE_URL).select("k", *columns)
 
 
+FIELD_SQL: dict[str, str] = {}
+
+
 def field_query(name: str, **columns: str) -> None:
     """Register the projection of some columns of every part's listing item."""
+    FIELD_SQL.update(columns)
     listed = ", ".join(f"{sql} AS {column}" for column, sql in columns.items())
 
     @query(name, f"SELECT {K} AS k, {listed} FROM part")
@@ -249,6 +254,26 @@ def conformed(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+SQL_TYPES = {"string": "VARCHAR", "double": "DOUBLE", "bigint": "BIGINT"}
+
+
+def all_columns_sql() -> str:
+    """All columns as the queries of single fields have them; those no payload fills are NULL."""
+    known = FIELD_SQL | {"portal": f"'{PORTAL}'", "data_coleta": f"'{NOW}'"}
+    known["raw_json"] = f"lpad(CAST({K} % 100000 AS VARCHAR), 8, '0')"
+    return ", ".join(
+        f"CAST({known.get(f.name, 'NULL')} AS {SQL_TYPES[f.dataType.simpleString()]}) AS {f.name}" for f in LISTINGS.fields
+    )
+
+
+@query("S6_all_columns", f"SELECT {all_columns_sql()} FROM part")
+def all_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every column of the table; for the item's text one value that is read from it."""
+    good, _ = parse_listings(part_items(spark, sf_dir), BASE_URL)
+    text = F.get_json_object("raw_json", "$.listing.address.zipCode")
+    return conform_listings(stamp(good, PORTAL, NOW)).withColumn("raw_json", text)
+
+
 @query(
     "S7_schema_growth",
     """SELECT c_custkey, c_name, CASE WHEN c_custkey % 2 = 1 THEN c_mktsegment END AS amenities,
@@ -617,6 +642,23 @@ def input_is_whole(spark: SparkSession, sf_dir: str) -> DataFrame:
     return in_batches(spark, sf_dir).groupBy("part").agg(F.count("*").alias("n"))
 
 
+@query(
+    "G2_outcome_totals",
+    f"""WITH {SPOILT_SQL}, {WALKED_ITEMS_SQL},
+    found AS (SELECT n, CASE WHEN bad IS NULL THEN 'saved' ELSE 'refused' END AS what FROM walked_items
+        UNION ALL SELECT n, CASE lost WHEN 'page:empty' THEN 'empty' ELSE 'failed' END FROM walked WHERE lost IS NOT NULL)
+    SELECT run, uf, city, saved, refused, failed_pages, empty_pages, level, refused + failed_pages AS errors FROM (
+        SELECT run, uf, city, count(*) FILTER (what = 'saved') AS saved, count(*) FILTER (what = 'refused') AS refused,
+            count(*) FILTER (what = 'failed') AS failed_pages, count(*) FILTER (what = 'empty') AS empty_pages,
+            CAST(grouping(run) * 4 + grouping(uf) * 2 + grouping(city) AS BIGINT) AS level
+        FROM (SELECT CAST(0 AS BIGINT) AS run, 'SP' AS uf, 'Cidade ' || n // 12 AS city, what FROM found)
+        GROUP BY ROLLUP (run, uf, city))""",
+)
+def totals_of_outcomes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Saved, refused and failed, by city, state, run and in all, from one run log."""
+    return outcome_totals(counted(in_batches(spark, sf_dir)))
+
+
 @query(
     "S1_pages_in_the_walk",
     f"""WITH {SPOILT_SQL}

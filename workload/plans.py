@@ -10,6 +10,7 @@ from listingflow.functions.variants import truthy
 from listingflow.operators import discovery, progress, rules
 from listingflow.operators.positions import with_position
 from listingflow.plans import worklist
+from listingflow.schema import CITY_PROGRESS
 from listingflow.sources.payloads import explode_locations, explode_municipalities
 from workload.fixtures import NOW, arr, js, num, obj, uf_of, uf_sql
 from workload.registry import query, table
@@ -152,7 +153,8 @@ def sorted_cities(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     "G5_city_counts",
-    f"""SELECT uf, CAST(count(*) AS BIGINT) AS n_cities, CAST(count(DISTINCT uf) AS BIGINT) AS n_states
+    f"""SELECT uf, CAST(count(*) AS BIGINT) AS n_cities, CAST(count(DISTINCT uf) AS BIGINT) AS n_states,
+        CAST(grouping(uf) AS BIGINT) AS level
     FROM {MUNICIPALITIES_SQL} GROUP BY ROLLUP (uf)""",
 )
 def city_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -475,6 +477,77 @@ def next_progress(spark: SparkSession, sf_dir: str) -> DataFrame:
     return progress.next_progress(done, totals, limit=650)
 
 
+# Cities finished in two runs: the first did those of the suppliers, in whatever order
+# they came, the second some in the middle; several states have gaps.
+FIRST_RUN_SQL = f"""(SELECT DISTINCT {uf_sql("s_nationkey")} AS uf, s_suppkey % {CITIES} AS city_idx FROM supplier)"""
+SECOND_RUN_SQL = f"""(SELECT DISTINCT {uf_sql("c_nationkey")} AS uf, c_custkey % 7 + 5 AS city_idx FROM customer
+    WHERE c_custkey % 3 = 0)"""
+RANGES_SQL = """(SELECT uf, min(city_idx) AS first_city, max(city_idx) AS last_city, bool_or(fresh) AS grown FROM (
+    SELECT *, city_idx - row_number() OVER (PARTITION BY uf ORDER BY city_idx) AS island FROM (
+        SELECT uf, city_idx, bool_and(run = 2) AS fresh FROM (SELECT *, 1 AS run FROM {first}
+        UNION ALL SELECT *, 2 AS run FROM {second}) GROUP BY uf, city_idx)) GROUP BY uf, island)"""
+BOTH_RANGES_SQL = RANGES_SQL.format(first=FIRST_RUN_SQL, second=SECOND_RUN_SQL)
+
+
+def finished_cities(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ranges of finished cities after both runs."""
+    first = table(spark, sf_dir, "supplier").select(
+        uf_of(F.col("s_nationkey")).alias("uf"), (F.col("s_suppkey") % CITIES).alias("city_idx")
+    )
+    second = customers(spark, sf_dir).where("c_custkey % 3 = 0")
+    second = second.select("uf", (F.col("c_custkey") % 7 + 5).alias("city_idx"))
+    ranges = spark.createDataFrame([], CITY_PROGRESS)
+    for done, now in ((first, "2024-01-01T00:00:00"), (second, NOW)):
+        ranges = progress.save_cities(ranges, done, now)
+    return ranges
+
+
+# A run that adds cities to a range marks it as its own; else the first run's mark stays.
+@query(
+    "P2_city_ranges",
+    f"""SELECT uf AS estado, CAST(first_city AS INTEGER) AS first_city, CAST(last_city AS INTEGER) AS last_city,
+        CASE WHEN grown THEN '{NOW}' ELSE '2024-01-01T00:00:00' END AS updated_at FROM {BOTH_RANGES_SQL}""",
+)
+def city_ranges(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return finished_cities(spark, sf_dir)
+
+
+@query(
+    "P3_state_progress",
+    f"""SELECT c.uf AS estado, CASE WHEN coalesce(last_city, -1) + 1 >= n_cities THEN -1
+        ELSE (coalesce(last_city, -1) + 1) * 1000 + 1 END AS last_page
+    FROM (SELECT uf, count(*) AS n_cities FROM {CITIES_SQL} GROUP BY uf) c
+    LEFT JOIN {BOTH_RANGES_SQL} r ON c.uf = r.uf AND first_city = 0""",
+)
+def progress_of_states(spark: SparkSession, sf_dir: str) -> DataFrame:
+    totals = cities(spark, sf_dir).groupBy("uf").agg(F.count("*").alias("n_cities"))
+    return progress.state_progress(finished_cities(spark, sf_dir), totals)
+
+
+@query(
+    "F4_resume_cities",
+    f"""SELECT uf, city, CAST(city_idx AS INTEGER) AS city_idx FROM {CITIES_SQL} c
+    WHERE NOT EXISTS (SELECT 1 FROM (SELECT * FROM {FIRST_RUN_SQL} UNION SELECT * FROM {SECOND_RUN_SQL}) d
+        WHERE d.uf = c.uf AND d.city_idx = c.city_idx)""",
+)
+def resume_cities(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Cities that neither run has finished, wherever in the state they are."""
+    return worklist.resume_cities(cities(spark, sf_dir), finished_cities(spark, sf_dir))
+
+
+@query(
+    "F4_one_city",
+    f"""SELECT uf, city, CAST(city_idx AS INTEGER) AS city_idx, 'listed' AS kind FROM {CITIES_SQL}
+        WHERE city = 'Cidade 7' AND uf = {uf_sql("3")}
+    UNION ALL SELECT uf, 'nenhuma', NULL, 'not listed' FROM (SELECT DISTINCT uf FROM {CITIES_SQL}) WHERE uf = {uf_sql("3")}""",
+)
+def one_city(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Runs for one city each, in small letters; one of the cities is not in the list."""
+    listed, uf = cities(spark, sf_dir), STATES[3][0].lower()
+    known = worklist.select_city(listed, uf, "cidade 7").withColumn("kind", F.lit("listed"))
+    return known.unionByName(worklist.select_city(listed, uf, "nenhuma").withColumn("kind", F.lit("not listed")))
+
+
 @query(
     "P4_generic_progress",
     """SELECT user_id, CASE WHEN last > user_id * 100 THEN -1 ELSE last END AS last_page FROM (
