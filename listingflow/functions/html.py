@@ -2,12 +2,14 @@
 
 Tags and attributes are read with native regular expressions, so everything
 stays in the JVM: tag and attribute names in any case, attributes in any order,
-quoted or bare values. Comments and the bodies of scripts and styles hold no
-tags and are cut out first where tags are looked for.
+quoted or bare values. A page is cut into its parts once (`page_parts`): comments,
+whole scripts and styles, and start tags; comments and the bodies of scripts and
+styles hold no tags. All that reads tags takes these parts, if they are at hand.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import Column
@@ -16,7 +18,7 @@ from pyspark.sql import functions as F
 from listingflow.functions.text import first_match, parse_date
 
 # The inside of a tag; quoted values may hold a closing bracket.
-TAG_PART = r"""(?:[^>"']|"[^"]*"|'[^']*')"""
+TAG_PART = r"""(?:[^>"']++|"[^"]*+"|'[^']*+')"""
 IN_TAG = TAG_PART + "*+"
 ATTRIBUTE_VALUE = r"""("[^"]*"|'[^']*'|[^\s"'>]+)"""
 
@@ -45,18 +47,30 @@ UPDATED_TEXT = r"(?iU)(?:atualizado|modificado)\s*(?:em|:)?\s*(\d{2}/\d{2}/\d{4}
 ENTITIES = [("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&amp;", "&")]
 
 
-def tags(html: Column, name: str, hint: str) -> Column:
-    """All start tags of a name, as texts, outside comments, scripts and styles.
+# The parts of a page that matter: comments, scripts and styles with their ends, and
+# start tags. What comes first on the page wins, so no tag is seen within the others.
+START_TAG = r"<[a-z][^\s/>]*+(?=[\s/>])" + IN_TAG + ">"
+WHOLE = rf"<(?:script(?=[\s/>]){IN_TAG}>.*?</script|style(?=[\s/>]){IN_TAG}>.*?</style)\s*>"
+PARTS = rf"(?is)<!--.*?-->|{WHOLE}|{START_TAG}"
+# Pages without any of these hold nothing that is looked for in tags.
+HINTS = r"(?i)ld\+json|og:image|article:|<img|data-src"
 
-    Pages without `hint` (any case) are not searched: they have none that matter.
-    """
-    bare = F.regexp_replace(
-        html,
-        r"(?is)<!--.*?-->|(<(script|style)\b" + IN_TAG + r">).*?</\2\s*>",
-        "$1",
-    )
-    found = F.regexp_extract_all(bare, F.lit(r"(?is)(<" + name + r"(?=[\s/>])" + IN_TAG + ">)"), 1)
-    return F.when(html.rlike(rf"(?i)\Q{hint}\E"), found).otherwise(F.array().cast("array<string>"))
+
+def page_parts(html: Column) -> Column:
+    """Scripts, styles and start tags of a page as texts, in order, from one reading."""
+    found = F.filter(F.regexp_extract_all(html, F.lit(PARTS), 0), lambda part: ~part.startswith("<!--"))
+    return F.when(html.rlike(HINTS), found).otherwise(F.array().cast("array<string>"))
+
+
+def _once(parts: Column, use: Callable[[Column], Column]) -> Column:
+    """`use` of the parts, which are made once however often it looks at them."""
+    return F.get(F.transform(F.array(parts), use), F.lit(0))
+
+
+def tags(parts: Column, name: str, hint: str) -> Column:
+    """The start tags of a name among the parts of a page; only those that hold `hint`."""
+    wanted = F.filter(parts, lambda part: part.rlike(rf"(?is)^<{name}(?=[\s/>])") & part.rlike(rf"(?i)\Q{hint}\E"))
+    return F.transform(wanted, lambda part: F.regexp_extract(part, rf"(?is)^{START_TAG}", 0))
 
 
 def attribute(tag: Column, name: str) -> Column:
@@ -67,9 +81,9 @@ def attribute(tag: Column, name: str) -> Column:
     return reduce(lambda c, e: F.replace(c, F.lit(e[0]), F.lit(e[1])), ENTITIES, plain)
 
 
-def meta_contents(html: Column, prop: str) -> Column:
+def meta_contents(parts: Column, prop: str) -> Column:
     """`content` of every meta tag of a property, in page order (may hold NULLs)."""
-    of_property = F.filter(tags(html, "meta", prop), lambda tag: attribute(tag, "property") == prop)
+    of_property = F.filter(tags(parts, "meta", prop), lambda tag: attribute(tag, "property") == prop)
     return F.transform(of_property, lambda tag: attribute(tag, "content"))
 
 
@@ -78,15 +92,15 @@ def _describes_property(value: Column) -> Column:
     return F.coalesce(kind.isin([f'"{name}"' for name in LD_TYPES]), F.lit(False))
 
 
-def json_ld(html: Column) -> Column:
+def json_ld(html: Column, parts: Column | None = None) -> Column:
     """First property description among the page's JSON-LD scripts, as VARIANT."""
-    # Start tags are matched without going back, then looked into one by one.
-    script = r"(?is)<script(?=[\s/>])" + IN_TAG + ">"
-    whole = script + r".*?</script\s*>"
-    bare = F.regexp_replace(html, rf"(?s)<!--.*?-->|({whole})", "$1")
-    scripts = F.regexp_extract_all(bare, F.lit(whole), 0)
-    typed = F.filter(scripts, lambda s: attribute(F.regexp_extract(s, script, 0), "type") == LD_SCRIPT_TYPE)
-    bodies = F.transform(typed, lambda s: F.regexp_extract(s, script + r"(.*)</script\s*>$", 1))
+    start = r"(?is)^<script(?=[\s/>])" + IN_TAG + ">"
+    scripts = F.filter(
+        page_parts(html) if parts is None else parts,
+        lambda part: part.rlike(r"(?is)^<script(?=[\s/>]).*</script\s*>$") & part.contains(LD_SCRIPT_TYPE),
+    )
+    typed = F.filter(scripts, lambda s: attribute(F.regexp_extract(s, start, 0), "type") == LD_SCRIPT_TYPE)
+    bodies = F.transform(typed, lambda s: F.regexp_extract(s, start + r"(.*)</script\s*>$", 1))
 
     def candidates(body: Column) -> Column:
         value = F.try_parse_json(body)
@@ -106,40 +120,44 @@ def initial_state(html: Column) -> Column:
     return F.coalesce(*(F.try_parse_json(first_match(html, p)) for p in STATE_PATTERNS))
 
 
-def photos(html: Column) -> Column:
+def photos(html: Column, parts: Column | None = None) -> Column:
     """Distinct photo addresses joined by `|`, sorted; NULL if there is none."""
-    shared = F.filter(meta_contents(html, PHOTO_TAG), lambda url: url != "")
 
     def about_property(url: Column) -> Column:
         return reduce(lambda a, b: a | b, [url.contains(word) for word in PHOTO_WORDS])
 
-    shown = F.filter(
-        F.transform(tags(html, "img", "<img"), lambda tag: attribute(tag, "src")),
-        lambda url: url.rlike(IMAGE_URL) & about_property(url),
-    )
-    lazy = F.filter(
-        F.transform(
-            tags(html, r"[a-z][^\s/>]*", "data-src"), lambda tag: attribute(tag, "data-src")
-        ),
-        lambda url: url.rlike(IMAGE_URL),
-    )
-    found = F.array_sort(F.array_distinct(F.concat(shared, shown, lazy)))
-    return F.when(F.size(found) > 0, F.array_join(found, "|"))
+    def found(parts: Column) -> Column:
+        shared = F.filter(meta_contents(parts, PHOTO_TAG), lambda url: url != "")
+        shown = F.filter(
+            F.transform(tags(parts, "img", "src"), lambda tag: attribute(tag, "src")),
+            lambda url: url.rlike(IMAGE_URL) & about_property(url),
+        )
+        lazy = F.filter(
+            F.transform(tags(parts, r"[a-z][^\s/>]*", "data-src"), lambda tag: attribute(tag, "data-src")),
+            lambda url: url.rlike(IMAGE_URL),
+        )
+        return F.array_sort(F.array_distinct(F.concat(shared, shown, lazy)))
 
+    urls = _once(page_parts(html), found) if parts is None else found(parts)
+    return _once(urls, lambda all_: F.when(F.size(all_) > 0, F.array_join(all_, "|")))
 
-def page_dates(html: Column) -> Column:
+
+def page_dates(html: Column, parts: Column | None = None) -> Column:
     """struct(published, updated): from the meta tag, else from the page text."""
 
     # Parsed inside `transform`, so that the search for the text runs only once.
-    def from_meta(prop: str) -> Column:
-        return F.get(F.transform(F.slice(meta_contents(html, prop), 1, 1), parse_date), F.lit(0))
+    def from_meta(parts: Column, prop: str) -> Column:
+        return F.get(F.transform(F.slice(meta_contents(parts, prop), 1, 1), parse_date), F.lit(0))
 
     def from_text(pattern: str) -> Column:
         # The search in any case is costly; few pages hold such a date at all.
         found = F.transform(F.array(first_match(html, pattern)), parse_date)
         return F.when(html.rlike(DAY_FIRST_DATE), F.get(found, F.lit(0)))
 
-    return F.struct(
-        F.coalesce(from_meta(PUBLISHED_TAG), from_text(PUBLISHED_TEXT)).alias("published"),
-        F.coalesce(from_meta(MODIFIED_TAG), from_text(UPDATED_TEXT)).alias("updated"),
-    )
+    def dates(parts: Column) -> Column:
+        return F.struct(
+            F.coalesce(from_meta(parts, PUBLISHED_TAG), from_text(PUBLISHED_TEXT)).alias("published"),
+            F.coalesce(from_meta(parts, MODIFIED_TAG), from_text(UPDATED_TEXT)).alias("updated"),
+        )
+
+    return _once(page_parts(html), dates) if parts is None else dates(parts)

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from listingflow.functions import html as H
 from listingflow.functions.text import coordinates
+from listingflow.functions.variants import held
 
 PAGES = "page_id bigint, url string, html string"
 
@@ -16,15 +17,16 @@ def read_pages(spark: SparkSession, path: str) -> DataFrame:
 
 
 def extract_pages(pages: DataFrame, html: str = "html") -> DataFrame:
-    """Everything the page functions find, in one narrow projection."""
-    body = F.col(html)
+    """Everything the page functions find, in one narrow projection; a page is cut into
+    its parts once for all of them."""
+    body, parts = F.col(html), F.col("_parts")
     others = [name for name in pages.columns if name != html]
-    return pages.select(
+    return pages.withColumn("_parts", held(H.page_parts(body))).select(
         *others,
-        H.json_ld(body).alias("json_ld"),
+        H.json_ld(body, parts).alias("json_ld"),
         H.next_data(body).alias("next_data"),
         H.initial_state(body).alias("initial_state"),
-        H.photos(body).alias("fotos_urls"),
-        H.page_dates(body).alias("dates"),
+        H.photos(body, parts).alias("fotos_urls"),
+        H.page_dates(body, parts).alias("dates"),
         coordinates(body).alias("place"),
     )

@@ -50,22 +50,40 @@ def stamp(df: DataFrame, portal: str, now: str) -> DataFrame:
     return df.withColumns({"portal": F.lit(portal), "data_coleta": collected})
 
 
-def write_listings(df: DataFrame, path: str, files: int | None = None) -> None:
-    """Write a new snapshot, split by state and sorted by place.
+# A folder cannot be named by an empty text: an empty state gets this name, which is no code.
+NO_STATE = "(none)"
+# Columns that are looked up by single values, with the values a file may hold of each.
+LOOK_UPS = {"url": 1_000_000, "portal": 1_000}
+ROW_GROUP_BYTES = 16 << 20
+
+
+def write_listings(df: DataFrame, path: str, files: int | None = None, row_group: int = ROW_GROUP_BYTES) -> None:
+    """Write a new snapshot, laid out for queries by state, place, type, purpose, portal or url.
 
     Rows are spread by ranges of place and address, so a state or a
     neighbourhood with a large share of the rows goes to many files, while a
-    query for one place still reads few. Never write to a path `df` reads from.
+    query for one place still reads few. Within a file, which holds few places, rows are sorted
+    by purpose and type, so that its row groups hold few of either; Bloom filters tell
+    which row groups may hold a url or portal. Never write to a path `df` reads from.
     """
     place = ["estado", "cidade", "bairro", "url"]
     rows = conform_listings(df)
+    rows = rows.withColumn("estado", F.when(F.col("estado") == "", NO_STATE).otherwise(F.col("estado")))
     spread = rows.repartitionByRange(files, *place) if files else rows.repartitionByRange(*place)
-    placed = spread.sortWithinPartitions(*place)
-    placed.write.partitionBy("estado").mode("errorifexists").parquet(path)
+    placed = spread.sortWithinPartitions("estado", "finalidade", "tipo", "cidade", "bairro", "url")
+    writer = placed.write.partitionBy("estado").mode("errorifexists").option("parquet.block.size", row_group)
+    for name, values in LOOK_UPS.items():
+        writer = writer.option(f"parquet.bloom.filter.enabled#{name}", "true")
+        writer = writer.option(f"parquet.bloom.filter.expected.ndv#{name}", values)
+    writer.option("parquet.bloom.filter.adaptive.enabled", "true").parquet(path)
 
 
 def read_listings(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(LISTINGS).parquet(path).select(*LISTINGS.fieldNames())
+    """The snapshot; a query for a state reads its folder only."""
+    rows = spark.read.schema(LISTINGS).parquet(path)
+    without = F.col("estado").eqNullSafe(NO_STATE)
+    named = rows.where(~without).select(*LISTINGS.fieldNames())
+    return named.unionByName(rows.where(without).withColumn("estado", F.lit("")).select(*named.columns))
 
 
 def only_portal(df: DataFrame, portal: str | None = None) -> DataFrame:

@@ -8,11 +8,11 @@ from conftest import plan_of
 from pyspark.sql import functions as F
 
 from listingflow.operators import discovery, progress
-from listingflow.operators.counts import batch_metrics, count_listings, saved_totals
+from listingflow.operators.counts import batch_metrics, count_listings, outcome_totals, saved_totals
 from listingflow.operators.upsert import latest, upsert_latest, write_order
 from listingflow.plans import worklist
 from listingflow.plans.collect import counted, current_listings, parse_pages, split_outcomes
-from listingflow.schema import LISTINGS
+from listingflow.schema import CITY_PROGRESS, LISTINGS
 from listingflow.sources.payloads import PAGE_CONTEXT, read_pages, read_payloads
 from listingflow.sources.tables import (
     add_columns, conform_listings, evolve, read_listings, stamp, write_listings,
@@ -127,6 +127,44 @@ def test_table_layout(spark, tmp_path):
         write_listings(df, path)
 
 
+def scanned_rows(df):
+    """Rows that the scan of a collected query has read."""
+    df.collect()
+    leaves = df._jdf.queryExecution().executedPlan().collectLeaves()
+    scans = [leaves.apply(k).metrics() for k in range(leaves.size())]
+    return sum(m.apply("numOutputRows").value() for m in scans if m.contains("numFiles"))
+
+
+def test_row_groups_are_skipped_for_every_look_up(spark, tmp_path):
+    """Each column that is looked up by value: most rows are never read."""
+    rows = [
+        (f"https://p/{i * 7919 % 6000:05d}", f"c{i % 40:02d}", f"b{i % 400:03d}", ["casa", "flat", "terreno", None][i // 40 % 4],
+         ["venda", "aluguel"][i // 160 % 2], ["", "SP", "RJ", None][i // 320 % 4], f"portal{i * 31 % 9}", "x" * 300)
+        for i in range(6000)
+    ]
+    names = "url string, cidade string, bairro string, tipo string, finalidade string, estado string, portal string, raw_json string"
+    path = str(tmp_path / "listings")
+    write_listings(spark.createDataFrame(rows, names).repartition(3), path, files=12, row_group=1 << 14)
+    back = read_listings(spark, path)
+    key = lambda r: tuple("" if v is None else "=" + v for v in r)
+    assert sorted(map(key, back.select(*[n.split()[0] for n in names.split(", ")]).collect())) == sorted(map(key, rows))
+    counts = {tuple(r) for r in back.groupBy("estado").count().collect()}
+    assert {s for s, _ in counts} == {"", "SP", "RJ", None}
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    read, limits = {}, {}
+    try:
+        for condition, most in {
+            "url = 'https://p/01234'": 0.2, "url = 'https://p/01234x'": 0.05, "portal = 'other'": 0.05, "cidade = 'c07'": 0.6,
+            "bairro = 'b007'": 0.6, "estado = 'SP'": 0.3, "estado = ''": 0.3, "tipo = 'flat'": 0.7, "finalidade = 'venda'": 0.9,
+            "tipo = 'flat' and finalidade = 'venda' and estado = 'SP'": 0.2,
+        }.items():
+            read[condition] = scanned_rows(back.where(condition).select("url")) / len(rows)
+            limits[condition] = most
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert {c: part for c, part in read.items() if part > limits[c]} == {}, read
+
+
 def test_stamp_keeps_what_is_there(spark):
     df = spark.createDataFrame([("u", "x"), ("v", None)], "url string, data_coleta string")
     assert rows_of(stamp(df, "p", NOW).select("url", "data_coleta", "portal")) == [("u", "x", "p"), ("v", NOW, "p")]
@@ -360,3 +398,43 @@ def test_a_replayed_batch_changes_nothing(spark, tmp_path):
     for attempt in range(2):  # a new checkpoint forgets that batch 0 was written
         ingest_pages(spark, source, log, str(tmp_path / f"state{attempt}"), "", "p", NOW)
         assert rows_of(read_log(spark, log).select("batch", "part")) == [(0, "good"), (0, "page"), (0, "rejected")]
+
+
+# --- progress per city ---
+
+
+def test_ranges_of_finished_cities(spark):
+    empty = spark.createDataFrame([], CITY_PROGRESS)
+    done = lambda *c: spark.createDataFrame(list(c), "uf string, city_idx int")
+    first = progress.save_cities(empty, done(("SP", 0), ("SP", 2), ("SP", 1), ("SP", 7), ("SP", 7), ("RJ", 3), ("RJ", None)), "t1")
+    assert rows_of(first) == [("RJ", 3, 3, "t1"), ("SP", 0, 2, "t1"), ("SP", 7, 7, "t1")]
+    # A run for one city joins two ranges; the other state is as it was.
+    second = progress.save_cities(first, done(("SP", 4), ("SP", 5), ("SP", 6), ("SP", 1)), "t2")
+    assert rows_of(second) == [("RJ", 3, 3, "t1"), ("SP", 0, 2, "t1"), ("SP", 4, 7, "t2")]
+    third = progress.save_cities(second, done(("SP", 3)), "t3")
+    assert rows_of(third) == [("RJ", 3, 3, "t1"), ("SP", 0, 7, "t3")]
+    assert rows_of(progress.save_cities(third, done(), "t4")) == rows_of(third)
+    totals = spark.createDataFrame([("SP", 8), ("RJ", 4), ("AC", 2)], "uf string, n_cities int")
+    assert rows_of(progress.state_progress(third, totals)) == [("AC", 1), ("RJ", 1), ("SP", -1)]
+    assert rows_of(progress.state_progress(second, totals)) == [("AC", 1), ("RJ", 1), ("SP", 3001)]
+    work = spark.createDataFrame([("SP", str(i), i) for i in range(8)] + [("SP", "?", None), ("RJ", "3", 3)], "uf string, city string, city_idx int")
+    left = worklist.resume_cities(work, second)
+    assert sorted(r.city for r in left.collect()) == ["3", "?"] and "NestedLoop" not in plan_of(left)
+
+
+def test_one_city(spark):
+    cities = spark.createDataFrame([("SP", "Campinas", 4), ("RJ", "Campinas", 1)], "uf string, city string, city_idx int")
+    assert rows_of(worklist.select_city(cities, "sp", "CAMPINAS")) == [("SP", "Campinas", 4)]
+    assert rows_of(worklist.select_city(cities, "SP", "Nenhuma")) == [("SP", "Nenhuma", None)]
+    assert rows_of(worklist.select_city(cities, "XX", "Campinas")) == []
+
+
+def test_outcome_totals(spark):
+    rows = [(0, "SP", "a", "u", None), (0, "SP", "a", None, None), (0, "SP", "b", "u", "reject:price"), (0, None, None, "u", None),
+            (1, "SP", "a", None, "page:empty"), (1, "SP", "a", None, "page:not JSON")]
+    df = spark.createDataFrame(rows, "run int, uf string, city string, url string, outcome string")
+    got = {(r.run, r.uf, r.city, r.level): (r.saved, r.refused, r.failed_pages, r.empty_pages, r.errors) for r in outcome_totals(df).collect()}
+    assert got[0, "SP", "a", 0] == (1, 1, 0, 0, 1) and got[0, "SP", None, 1] == (1, 2, 0, 0, 2)
+    assert got[0, None, None, 0] == got[0, None, None, 1] == (1, 0, 0, 0, 0)
+    assert got[0, None, None, 3] == (2, 2, 0, 0, 2) and got[1, None, None, 3] == (0, 0, 1, 1, 1)
+    assert got[None, None, None, 7] == (2, 2, 1, 1, 3) and len(got) == 10
