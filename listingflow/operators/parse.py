@@ -13,6 +13,9 @@ first one that fails names the outcome.
 
 from __future__ import annotations
 
+from functools import lru_cache
+from typing import NamedTuple
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -165,8 +168,8 @@ class _Reader:
         """The other parsed columns."""
         c = F.col
         listing_id = self.leaf("listing.id")
-        null_id = self.item.contains('"id":') & F.is_variant_null(listing_id.value)
-        id_in_url = F.coalesce(to_text(listing_id), F.when(null_id, "None"), F.lit(""))
+        null_id = F.when(listing_id.text.isNull(), F.when(F.is_variant_null(listing_id.value), "None"))
+        id_in_url = F.coalesce(to_text(listing_id), null_id, F.lit(""))
         href = self.leaf("listing.link.href")
         unit_type = self.head("unitTypes")
         unit_name = F.when(given(unit_type), unit_type.text)
@@ -340,6 +343,37 @@ class _Reader:
         return F.coalesce(*(F.when(failed, F.lit(name)) for name, failed in self.checks()))
 
 
+class _Projection(NamedTuple):
+    """The columns of a parser, made once: they name what they read and fit any table."""
+
+    opened: Column
+    price: Column
+    choices: dict[str, Column]
+    checked: dict[str, Column]
+    read: dict[str, Column]
+    found: Column
+    per_m2: Column
+
+
+@lru_cache(maxsize=16)
+def _projection(application: str, item: str, base_url: str) -> _Projection:
+    """Some thousand expressions, which take seconds to make, for one running application."""
+    reader = _Reader(item, base_url)
+    per_m2 = F.when(
+        (F.col("preco") != 0) & (F.col("area_construida") > 0) & ~F.isnan("area_construida"),
+        round2(F.try_divide("preco", "area_construida")),
+    )
+    return _Projection(
+        held(F.from_json(F.col(item), ITEM, READ_OPTIONS)),
+        held(F.from_json(reader.price_text, PRICING, READ_OPTIONS)),
+        reader.choices(),
+        reader.checked_columns(),
+        {name: column.alias(name) for name, column in reader.columns().items()},
+        reader.outcome().alias("_found"),
+        per_m2,
+    )
+
+
 def project_items(df: DataFrame, base_url: str, item: str = "item") -> DataFrame:
     """Parsed columns plus `outcome`, next to the columns `df` already has.
 
@@ -347,22 +381,16 @@ def project_items(df: DataFrame, base_url: str, item: str = "item") -> DataFrame
     column neither reads the JSON again nor repeats the checks.
     """
     kept = [name for name in df.columns if name != item]
-    reader = _Reader(item, base_url)
-    checked = reader.checked_columns()
-    read = {name: column.alias(name) for name, column in reader.columns().items()}
-    out = (
-        df.withColumn("_item", held(F.from_json(F.col(item), ITEM, READ_OPTIONS)))
-        .withColumn("_price", held(F.from_json(reader.price_text, PRICING, READ_OPTIONS)))
-        .withColumns(reader.choices())
-        .withColumns(checked)
-        .select(*kept, *checked, *read.values(), reader.outcome().alias("_found"))
-        .select(*kept, *checked, *read, held(F.col("_found")).alias(OUTCOME))
-    )
-    per_m2 = F.when(
-        (F.col("preco") != 0) & (F.col("area_construida") > 0) & ~F.isnan("area_construida"),
-        round2(F.try_divide("preco", "area_construida")),
+    own = _projection(df.sparkSession.sparkContext.applicationId, item, base_url)
+    return (
+        df.withColumn("_item", own.opened)
+        .withColumn("_price", own.price)
+        .withColumns(own.choices)
+        .withColumns(own.checked)
+        .select(*kept, *own.checked, *own.read.values(), own.found)
+        .select(*kept, *own.checked, *own.read, held(F.col("_found")).alias(OUTCOME))
+        .withColumn("preco_por_m2", own.per_m2)
     )
-    return out.withColumn("preco_por_m2", per_m2)
 
 
 def parse_listings(

@@ -231,3 +231,21 @@ def test_columns_nobody_asks_for_are_pruned(spark):
     df = spark.createDataFrame([("{}",)], "item string")
     plan = project_items(df, BASE).select("url")._jdf.queryExecution().optimizedPlan().toString()
     assert "raw_json" not in plan and "descricao" not in plan
+
+
+def test_id_is_read_not_searched_for(spark):
+    """A null id counts however it is written; a text that looks like one does not."""
+    items = ['{"listing":{"id" : null}}', '{"listing":{"title":"\\"id\\":null"}}', '{"listing":{"other":{"id":null}}}', '{"listing":{"\\u0069d":null}}']
+    rows = spark.createDataFrame([(k, text) for k, text in enumerate(items)], "k int, item string")
+    got = {r.k: r.url for r in project_items(rows, BASE).select("k", "url").collect()}
+    assert got == {0: f"{BASE}/imovel/None", 1: f"{BASE}/imovel/", 2: f"{BASE}/imovel/", 3: f"{BASE}/imovel/None"}
+
+
+def test_parser_is_made_once(spark):
+    from listingflow.operators import parse
+
+    rows = spark.createDataFrame([(1, "{}")], "k int, item string")
+    project_items(rows, "https://once")
+    before = parse._projection.cache_info()
+    project_items(rows.withColumn("more", rows.k), "https://once")
+    assert parse._projection.cache_info().misses == before.misses
