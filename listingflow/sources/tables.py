@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, DataFrameReader, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -52,8 +52,8 @@ def stamp(df: DataFrame, portal: str, now: str) -> DataFrame:
 
 # A folder cannot be named by an empty text: an empty state gets this name, which is no code.
 NO_STATE = "(none)"
-# Columns that are looked up by single values, with the values a file may hold of each.
-LOOK_UPS = {"url": 1_000_000, "portal": 1_000}
+# Columns that are looked up by single values, with the values a row group may hold of each.
+LOOK_UPS = {"url": 100_000, "portal": 100}
 ROW_GROUP_BYTES = 16 << 20
 
 
@@ -78,12 +78,19 @@ def write_listings(df: DataFrame, path: str, files: int | None = None, row_group
     writer.option("parquet.bloom.filter.adaptive.enabled", "true").parquet(path)
 
 
+def stored_listings(reader: DataFrameReader, paths: list[str]) -> DataFrame:
+    """Rows of folders that `write_listings` has written, empty states by their own name."""
+    rows = reader.schema(LISTINGS).parquet(*paths)
+    without = F.col("estado").eqNullSafe(NO_STATE)
+    named = rows.where(~without)
+    named = named.select(*LISTINGS.fieldNames(), "_metadata")
+    unnamed = rows.where(without).withColumn("estado", F.lit("")).select(*named.columns)
+    return named.unionByName(unnamed)
+
+
 def read_listings(spark: SparkSession, path: str) -> DataFrame:
     """The snapshot; a query for a state reads its folder only."""
-    rows = spark.read.schema(LISTINGS).parquet(path)
-    without = F.col("estado").eqNullSafe(NO_STATE)
-    named = rows.where(~without).select(*LISTINGS.fieldNames())
-    return named.unionByName(rows.where(without).withColumn("estado", F.lit("")).select(*named.columns))
+    return stored_listings(spark.read, [path]).select(*LISTINGS.fieldNames())
 
 
 def only_portal(df: DataFrame, portal: str | None = None) -> DataFrame:

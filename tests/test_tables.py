@@ -13,6 +13,7 @@ from listingflow.operators.upsert import latest, upsert_latest, write_order
 from listingflow.plans import worklist
 from listingflow.plans.collect import counted, current_listings, parse_pages, split_outcomes
 from listingflow.schema import CITY_PROGRESS, LISTINGS
+from listingflow.sources import versions as table_versions
 from listingflow.sources.payloads import PAGE_CONTEXT, read_pages, read_payloads
 from listingflow.sources.tables import (
     add_columns, conform_listings, evolve, read_listings, stamp, write_listings,
@@ -438,3 +439,35 @@ def test_outcome_totals(spark):
     assert got[0, None, None, 0] == got[0, None, None, 1] == (1, 0, 0, 0, 0)
     assert got[0, None, None, 3] == (2, 2, 0, 0, 2) and got[1, None, None, 3] == (0, 0, 1, 1, 1)
     assert got[None, None, None, 7] == (2, 2, 1, 1, 3) and len(got) == 10
+
+
+# --- versions ---
+
+
+def test_an_update_opens_only_what_it_touches(spark, tmp_path, monkeypatch):
+    root = str(tmp_path / "table")
+    names = "url string, estado string, cidade string, preco double, portal string"
+    first = [(f"u{k}", ["SP", "RJ", "", None, "A/B %20"][k % 5], "c", float(k), "p") for k in range(50)]
+    order = [F.col("preco")]
+    assert table_versions.update_listings(spark, root, spark.createDataFrame(first, names), order) == 0
+    opened = []
+    own = table_versions._open
+    monkeypatch.setattr(table_versions, "_open", lambda s, r, folders: opened.append(list(folders)) or own(s, r, folders))
+    # One address of RJ changes, one of SP moves to the empty state, one is new, one is refused.
+    second = [("u1", "RJ", "c", 101.0, "p"), ("u1", "RJ", "c", 100.0, "p"), ("u5", "", "c", 105.0, "p"), ("new", "SP", "c", 1.0, "p"), (None, "AC", "c", 1.0, "p")]
+    assert table_versions.update_listings(spark, root, spark.createDataFrame(second, names), order) == 1
+    assert opened[1] == ["v=0/estado=RJ", "v=0/estado=SP"]  # whole rows; the first look reads addresses only
+    want = {r[0]: r[1:4] for r in first} | {"u1": ("RJ", "c", 101.0), "u5": ("", "c", 105.0), "new": ("SP", "c", 1.0)}
+    got = table_versions.read_version(spark, root)
+    assert got.columns == LISTINGS.fieldNames()
+    assert {r.url: (r.estado, r.cidade, r.preco) for r in got.collect()} == want and got.count() == len(want)
+    _, folders = table_versions._manifest(spark, root, None)
+    assert sum(f.startswith("v=0/") for f in folders) == 3 and {f for f in folders if f.startswith("v=1/")} == {
+        "v=1/estado=RJ", "v=1/estado=SP", "v=1/estado=(none)",
+    }
+    before = table_versions.read_version(spark, root, 0)
+    assert {r.url: (r.estado, r.cidade, r.preco) for r in before.collect()} == {r[0]: r[1:4] for r in first}
+    plan = plan_of(own(spark, root, folders).select("url", "_metadata.file_path"))
+    assert "raw_json" not in plan and "cidade" not in plan
+    with pytest.raises(ValueError):
+        table_versions.read_version(spark, root, 9)

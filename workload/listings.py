@@ -19,6 +19,7 @@ from listingflow.sources.payloads import explode_listings, unreadable
 from listingflow.sources.tables import (
     add_columns, conform_listings, evolve, only_portal, read_listings, stamp, write_listings,
 )
+from listingflow.sources.versions import read_version, update_listings
 from listingflow.streaming.ingest import current, ingest_incremental, ingest_pages, read_log
 from workload.fixtures import (
     AREA_SQL, BASE_URL, ID_SQL, K, NOW, PORTAL, PRICE_SQL, STATE_SQL, URL_SQL,
@@ -369,6 +370,21 @@ def upsert_preserve(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query(
+    "U1_versions",
+    f"""WITH writes AS (SELECT {URL_SQL} AS url, {PRICE_SQL} AS preco, {STATE_SQL} AS estado, {K} AS k,
+        CASE WHEN {K} % 2 = 0 THEN 0 ELSE 1 END AS run FROM part WHERE {K} % 2 = 0 OR {K} % 5 = 1)
+    SELECT url, preco, estado FROM writes QUALIFY row_number() OVER (PARTITION BY url ORDER BY run DESC, k DESC) = 1""",
+)
+def versions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two runs; the second replaces listings of a few states and rewrites only those."""
+    root = new_dir(spark, "versions")
+    for condition in ("k % 2 = 0", "k % 2 = 1 AND k % 5 = 1"):
+        good, _ = parse_listings(part_items(spark, sf_dir).where(condition), BASE_URL)
+        update_listings(spark, root, stamp(good, PORTAL, NOW), [F.col("k")])
+    return read_version(spark, root).select("url", "preco", "estado")
+
+
 @query(
     "U2_write_order",
     """WITH writes AS (SELECT CAST(l_orderkey % 5000 AS VARCHAR) AS url, l_suppkey % 7 AS city_idx,
