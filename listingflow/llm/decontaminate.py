@@ -1,10 +1,10 @@
 """Benchmark passages in documents, by fingerprints of item-sized windows.
 
 A window is as many words of a document as an item has. Windows are laid where the
-document holds a shingle of an item as the item does: a preselection by an exact
-join. A window between two such may share shingles, too, and with words put into the
-item may be a little more similar; only pairs near the threshold can be lost. Their SimHash fingerprints are compared with those
-of the items by Hamming distance: fingerprints are cut into blocks, and two within
+document holds a shingle of an item as the item does, which an exact join tells, and
+at every word between two such places that lie no further apart than a passage can
+grow by words put into it and still be similar enough. All other windows share too little with any
+item. Their SimHash fingerprints are compared with those of the items by Hamming distance: fingerprints are cut into blocks, and two within
 the radius differ by few bits in one block at least, so equal blocks after a few
 flips find every pair within the radius. Candidates are confirmed by the exact
 weighted similarity of their shingles. Column expressions only.
@@ -12,7 +12,7 @@ weighted similarity of their shingles. Column expressions only.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from listingflow.llm.common import lower_ascii, stored
@@ -22,6 +22,8 @@ THRESHOLD = 0.8
 # Fingerprints of 64 bits in blocks. At a similarity of 0.8 about 10 bits differ,
 # give or take 3; the radius leaves out some 2 pairs in 10,000 there.
 BITS, BLOCKS, RADIUS = 64, 8, 20
+# Words of a document that windows are cut from at once.
+SEGMENT = 2048
 WHITE = r"[\x20\x09-\x0D]+"
 
 
@@ -134,14 +136,26 @@ def contaminated(
     met = _located(docs, "id", "text", sizes).join(weights.select("size", "shingle"), ["size", "shingle"], "left_semi")
     met = stored(met.distinct(), "anchors")
     starts = met.join(places, ["size", "shingle"]).select(
-        "id", "n", "size", "n_words", F.greatest(F.col("at") - F.col("place"), F.lit(0)).alias("start")
+        "id", "n", "size", "n_words", "key", F.greatest(F.col("at") - F.col("place"), F.lit(0)).alias("start")
+    )
+    # Words put into a passage, or left out, move the places behind them: the best window may
+    # begin anywhere between the places before and behind.
+    along = Window.partitionBy("id", "n", "key").orderBy("start")
+    gap = F.col("start") - F.lag("start").over(along)
+    most = F.floor(F.col("n_words") * (1 / threshold - 1)).cast("int") + F.col("size")
+    windows = starts.distinct().withColumn("back", F.when(gap <= most, gap - 1).otherwise(0))
+    windows = windows.select("id", "n", "size", "n_words", F.explode(F.expr("sequence(start - coalesce(back, 0), start)")).alias("start"))
+    windows = windows.distinct().withColumn("segment", F.floor(F.col("start") / SEGMENT).cast("int"))
+    listed = windows.groupBy("id", "n", "segment").agg(
+        F.collect_set(F.struct("size", "n_words", "start")).alias("windows"), F.max("n_words").alias("longest")
     )
-    windows = starts.distinct()
-    listed = windows.groupBy("id", "n").agg(F.collect_set(F.struct("size", "n_words", "start")).alias("windows"))
     again = docs.select(F.col("id").alias("i"), _hashes(_words(F.col("text"))).alias("hashes"))
     cut = again.join(listed, (F.col("i") == F.col("id")) & (F.size("hashes") == F.col("n")))
-    cut = cut.select("id", "hashes", F.explode("windows").alias("w"))
-    cut = cut.select("id", "w.*", F.expr("slice(hashes, w.start + 1, w.n_words)").alias("hashes"))
+    # A window is cut before it is a row of its own, so no row but its own copies the text.
+    cut = cut.select("id", "windows", "segment", F.expr(f"slice(hashes, segment * {SEGMENT} + 1, {SEGMENT} + longest)").alias("part"))
+    own = f"transform(windows, w -> struct(w.*, slice(part, w.start - segment * {SEGMENT} + 1, w.n_words) as hashes))"
+    own = own.replace("w.*", "w.size as size, w.n_words as n_words, w.start as start")
+    cut = cut.select("id", F.explode(F.expr(own)).alias("w")).select("id", "w.*")
     shingles = _shingles(F.col("hashes"), F.col("size"))
     cut = cut.select("id", "size", "n_words", "start", shingles.alias("shingles")).distinct()
     window = F.xxhash64("id", "size", "n_words", "start", "shingles").alias("window")
