@@ -537,15 +537,15 @@ def resume_cities(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     "F4_one_city",
-    f"""SELECT uf, city, CAST(city_idx AS INTEGER) AS city_idx, 'listed' AS kind FROM {CITIES_SQL}
-        WHERE city = 'Cidade 7' AND uf = {uf_sql("3")}
-    UNION ALL SELECT uf, 'nenhuma', NULL, 'not listed' FROM (SELECT DISTINCT uf FROM {CITIES_SQL}) WHERE uf = {uf_sql("3")}""",
+    f"""SELECT {uf_sql("3")} AS uf, coalesce(city, asked) AS city, CAST(city_idx AS INTEGER) AS city_idx, asked
+    FROM (VALUES ('cidade 7'), ('nenhuma')) wanted(asked)
+    LEFT JOIN (SELECT * FROM {CITIES_SQL} WHERE uf = {uf_sql("3")}) ON lower(city) = asked""",
 )
 def one_city(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Runs for one city each, in small letters; one of the cities is not in the list."""
+    """Runs for one city each, in small letters; one of the cities is never in the list."""
     listed, uf = cities(spark, sf_dir), STATES[3][0].lower()
-    known = worklist.select_city(listed, uf, "cidade 7").withColumn("kind", F.lit("listed"))
-    return known.unionByName(worklist.select_city(listed, uf, "nenhuma").withColumn("kind", F.lit("not listed")))
+    runs = [worklist.select_city(listed, uf, name).withColumn("asked", F.lit(name)) for name in ("cidade 7", "nenhuma")]
+    return runs[0].unionByName(runs[1])
 
 
 @query(
