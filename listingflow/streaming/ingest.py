@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from listingflow.operators.parse import OUTCOME
 from listingflow.operators.upsert import REQUIRED, upsert_latest, write_order
 from listingflow.plans.collect import page_outcomes
+from listingflow.session import spread
 from listingflow.sources.payloads import PAGE_CONTEXT
 from listingflow.sources.tables import stamp
 
@@ -56,7 +57,8 @@ def ingest_pages(
 ) -> None:
     """Parse newly landed listing pages; all that they hold goes to the log.
 
-    Each page is parsed once. Good items, rejected ones and pages without items go to
+    Each page is parsed once, in as many tasks as the cluster works on well, however few
+    files a batch has. Good items, rejected ones and pages without items go to
     folders of their own below the micro-batch's (`part=good`, `rejected`, `page`), by
     one write that a replay replaces as a whole: good + rejected + pages is always the
     input. No walk is cut here, for its pages may come in several batches; the stop
@@ -64,7 +66,7 @@ def ingest_pages(
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        rows = stamp(page_outcomes(batch, base_url), portal, now)
+        rows = stamp(page_outcomes(spread(batch), base_url), portal, now)
         part = F.when(F.col(OUTCOME).isNull(), "good").otherwise(
             F.when(F.col(OUTCOME).startswith("page:"), "page").otherwise("rejected")
         )

@@ -2,10 +2,12 @@
 
 import pytest
 from conftest import SF_DIR, plan_of
+from pyspark.sql import functions as F
 
 import __spark_entry__
 import workload
 from workload.check import compare, connect
+from workload.fixtures import part_items, part_pages
 
 
 @pytest.fixture(scope="module")
@@ -31,3 +33,13 @@ def test_entry(spark):
     df = __spark_entry__.entry(spark)
     assert df.columns == ["estado", "n_listings", "n_priced", "mean_price"] and df.count() > 0
     assert set(__spark_entry__.oracle_sql()) <= set(__spark_entry__.queries())
+
+
+def test_one_row_group_of_parts_is_parsed_by_many_tasks(spark, tmp_path):
+    columns = "p_partkey bigint, p_name string, p_type string, p_brand string, p_size int, p_retailprice double"
+    parts = [(k if k < 2000 else None, "a", "b", "c", 1, 2.0) for k in range(2010)]
+    spark.createDataFrame(parts, columns).coalesce(1).write.parquet(f"{tmp_path}/part.parquet")
+    cores = spark.sparkContext.defaultParallelism
+    for rows, n in ((part_items(spark, str(tmp_path)), 2010), (part_pages(spark, str(tmp_path)), 85)):
+        tasks = [r["count"] for r in rows.groupBy(F.spark_partition_id()).count().collect()]
+        assert sum(tasks) == n and len(tasks) > cores and max(tasks) < n / cores

@@ -401,6 +401,15 @@ def test_a_replayed_batch_changes_nothing(spark, tmp_path):
         assert rows_of(read_log(spark, log).select("batch", "part")) == [(0, "good"), (0, "page"), (0, "rejected")]
 
 
+def test_one_file_of_pages_is_parsed_by_many_tasks(spark, tmp_path):
+    source, log = str(tmp_path / "in"), str(tmp_path / "log")
+    pages = [page(0, number, f"/{number}") for number in range(400)]
+    spark.createDataFrame(pages, PAGE_CONTEXT).coalesce(1).write.parquet(source)
+    ingest_pages(spark, source, log, str(tmp_path / "state"), "", "p", NOW)
+    rows = read_log(spark, log)
+    assert rows.count() == 400 and len(rows.inputFiles()) >= spark.sparkContext.defaultParallelism
+
+
 # --- progress per city ---
 
 

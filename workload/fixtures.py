@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from listingflow.dims import PAGE_SIZE, STATES
+from listingflow.session import spread
 from workload.registry import table
 
 BASE_URL = "https://portal.example"
@@ -166,7 +167,7 @@ def part_item(bad: bool = False) -> Column:
 
 def part_items(spark: SparkSession, sf_dir: str, bad: bool = False) -> DataFrame:
     """(k, item): one listing item per part."""
-    return table(spark, sf_dir, "part").select(
+    return spread(table(spark, sf_dir, "part")).select(
         F.col("p_partkey").alias("k"), part_item(bad).alias("item")
     )
 
@@ -174,9 +175,8 @@ def part_items(spark: SparkSession, sf_dir: str, bad: bool = False) -> DataFrame
 def part_pages(spark: SparkSession, sf_dir: str, bad: bool = False) -> DataFrame:
     """Landed listing pages: 24 parts each, with the context of their walk."""
     number = F.floor(F.col("p_partkey") / PAGE_SIZE)
-    items = table(spark, sf_dir, "part").select(
-        number.alias("n"), "p_partkey", part_item(bad).alias("item")
-    )
+    parts = spread(table(spark, sf_dir, "part").withColumn("n", number), "n")
+    items = parts.select("n", "p_partkey", part_item(bad).alias("item"))
     one_page = F.array_sort(F.collect_list(F.struct("p_partkey", "item")))
     listings = F.concat(F.lit("["), F.array_join(one_page["item"], ","), F.lit("]"))
     pages = items.groupBy("n").agg(listings.alias("listings"))
