@@ -64,7 +64,9 @@ def write_listings(df: DataFrame, path: str, files: int | None = None, row_group
     neighbourhood with a large share of the rows goes to many files, while a
     query for one place still reads few. Within a file, which holds few places, rows are sorted
     by purpose and type, so that its row groups hold few of either; Bloom filters tell
-    which row groups may hold a url or portal. Never write to a path `df` reads from.
+    which row groups may hold a url or portal. Never write to a path `df` reads from. Spark
+    runs `df` once for the bounds of the ranges and once for the rows: one that is costly to
+    make, as parsed items are, is better stored first (`session.stored`).
     """
     place = ["estado", "cidade", "bairro", "url"]
     rows = conform_listings(df)

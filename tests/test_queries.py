@@ -43,3 +43,13 @@ def test_one_row_group_of_parts_is_parsed_by_many_tasks(spark, tmp_path):
     for rows, n in ((part_items(spark, str(tmp_path)), 2010), (part_pages(spark, str(tmp_path)), 85)):
         tasks = [r["count"] for r in rows.groupBy(F.spark_partition_id()).count().collect()]
         assert sum(tasks) == n and len(tasks) > cores and max(tasks) < n / cores
+
+
+def test_partitioned_table_parses_once(spark, monkeypatch):
+    from workload import listings
+
+    plans, write = [], listings.write_listings
+    monkeypatch.setattr(listings, "write_listings", lambda df, path: (plans.append(plan_of(df)), write(df, path)))
+    assert workload.QUERIES["S8_partitioned_table"](spark, SF_DIR).count() > 0
+    # The writer runs its input twice, so the items must have been parsed by then.
+    assert len(plans) == 1 and "Generate" not in plans[0] and "Scan parquet" in plans[0]

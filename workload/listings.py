@@ -14,7 +14,7 @@ from listingflow.plans.collect import (
     counted, current_listings, parse_pages, split_outcomes, walked_pages,
 )
 from listingflow.schema import LISTINGS
-from listingflow.session import new_dir
+from listingflow.session import discard, new_dir, stored
 from listingflow.sources.payloads import explode_listings, unreadable
 from listingflow.sources.tables import (
     add_columns, conform_listings, evolve, only_portal, read_listings, stamp, write_listings,
@@ -299,7 +299,9 @@ def schema_growth(spark: SparkSession, sf_dir: str) -> DataFrame:
 def partitioned_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     good, _ = parse_listings(part_items(spark, sf_dir), BASE_URL)
     path = new_dir(spark, "listings")
-    write_listings(stamp(good, PORTAL, NOW), path)
+    parsed_once = stored(conform_listings(stamp(good, PORTAL, NOW)), "parsed")
+    write_listings(parsed_once, path)
+    discard(parsed_once)
     found = read_listings(spark, path).where(F.col("estado").isin("SP", "RJ"))
     return found.groupBy("estado", "cidade", "bairro").agg(
         F.count("*").alias("n"), F.max("preco").alias("max_price")
