@@ -19,20 +19,22 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from listingflow.llm.common import prepare, records, stored
+from listingflow.llm.common import prepare, stored
 
 # Linked pairs of ids whose counts go to every task; all others are joined. None of
 # the others holds more than one link in HEAVY, so no key of that join is hot.
 HEAVY = 1 << 18
 # Bounds of what a worker holds at once: bytes of text to encode, chunks remembered
-# and encoded in one call, tokens aligned (one longer document goes alone).
-TEXT_AT_ONCE = 1 << 20
-CACHE_CHUNKS = 200_000
+# and encoded in one call, tokens aligned (one longer document goes alone), links counted.
+TEXT_AT_ONCE = 1 << 19
+CACHE_CHUNKS = 40_000
 CHUNKS_AT_ONCE = 4096
-TOKENS_AT_ONCE = 1 << 18
+TOKENS_AT_ONCE = 1 << 17
+LINKS_AT_ONCE = 1 << 20
 
 # A space between two characters that are none begins a piece in byte-level BPE.
 SINGLE_SPACE = re.compile(r" (?<=\S )(?=\S)")
@@ -65,6 +67,7 @@ class ByteLevel:
                 self.tokens[number] = bytes(alphabet[c] for c in entry)
         self.sizes = np.array([len(token) for token in self.tokens], np.int64)
         self.known: dict[str, bytes | None] = {}
+        self.older: dict[str, bytes | None] = {}
 
     def _ids(self, text: str) -> np.ndarray | None:
         """Ids of a text; None if they do not give its bytes again."""
@@ -102,13 +105,16 @@ class ByteLevel:
 
         None if they do not give the text's bytes again. No piece spans a single space
         between two words, so what stands between such spaces is encoded once and
-        remembered.
+        remembered; of many chunks only those stay that come again.
         """
         parts = [SINGLE_SPACE.split(text) for text in texts]
         if len(self.known) > CACHE_CHUNKS:
-            self.known.clear()
+            self.known, self.older = {}, self.known
         known = self.known
-        new = list(set().union(*parts) - known.keys())
+        new = set().union(*parts) - known.keys()
+        again = new & self.older.keys()
+        known.update((chunk, self.older.pop(chunk)) for chunk in again)
+        new = list(new - again)
         self._learn(new)
         packed: list[bytes | None] = []
         for own in parts:
@@ -182,26 +188,25 @@ def encoded(docs: DataFrame, a_path: str, b_path: str, id: str = "doc_id", text:
             for text, a, b in zip(texts, left.pack(texts), right.pack(texts), strict=True):
                 yield (a, b) if text and a is not None and b is not None else (b"", b"")
 
-        for batch in batches:
-            rows: list[tuple[bytes, bytes]] = []
-            waiting: list[str] = []
-            held = 0
-            for (value,) in records(batch, text):
-                waiting.append(value or "")
-                held += len(waiting[-1])
-                if held >= TEXT_AT_ONCE:
-                    rows += pairs(waiting)
-                    waiting, held = [], 0
-            rows += pairs(waiting)
-            yield pa.RecordBatch.from_pydict(
+        def packed(rows: pa.RecordBatch) -> pa.RecordBatch:
+            found = list(pairs([value or "" for value in rows.column(text).to_pylist()]))
+            return pa.RecordBatch.from_pydict(
                 {
-                    id: batch.column(id),
-                    "key": pa.array([os.urandom(16) for _ in rows], pa.binary()),
-                    "a": pa.array([a for a, _ in rows], pa.binary()),
-                    "b": pa.array([b for _, b in rows], pa.binary()),
+                    id: rows.column(id),
+                    "key": pa.array([os.urandom(16) for _ in found], pa.binary()),
+                    "a": pa.array([a for a, _ in found], pa.binary()),
+                    "b": pa.array([b for _, b in found], pa.binary()),
                 }
             )
 
+        for batch in batches:
+            begin = held = 0
+            for k, size in enumerate(pc.binary_length(batch.column(text)).to_pylist(), 1):
+                held += size or 0
+                if held >= TEXT_AT_ONCE or k == batch.num_rows:
+                    yield packed(batch.slice(begin, k - begin))
+                    begin, held = k, 0
+
     return stored(docs.select(id, text).mapInArrow(run, f"{id} {kind}, key binary, a binary, b binary"), "token-ids")
 
 
@@ -290,6 +295,25 @@ def token_sizes(a_path: str, b_path: str) -> tuple[np.ndarray, np.ndarray]:
     return left.sizes, right.sizes
 
 
+def _linked(batches: Iterable[pa.RecordBatch], sizes: tuple[np.ndarray, np.ndarray]) -> Iterator[pa.RecordBatch]:
+    """(code, links) of the pairs of ids in these rows, of a bounded number of links at a time."""
+    codes, held = [], 0
+
+    def counted() -> pa.RecordBatch:
+        code, links = np.unique(np.concatenate(codes), return_counts=True)
+        return pa.RecordBatch.from_pydict({"code": code, "links": links})
+
+    for own, _ in _alignments(batches, sizes):
+        a, b = own.links()
+        codes.append(own.ids[0][a] * len(sizes[1]) + own.ids[1][b])
+        held += len(a)
+        if held >= LINKS_AT_ONCE:
+            yield counted()
+            codes, held = [], 0
+    if held:
+        yield counted()
+
+
 def pair_counts(ids: DataFrame, a_path: str, b_path: str) -> DataFrame:
     """(code, a_id, b_id, links, best): how often two ids are linked in all documents.
 
@@ -298,22 +322,7 @@ def pair_counts(ids: DataFrame, a_path: str, b_path: str) -> DataFrame:
     """
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sizes = token_sizes(a_path, b_path)
-        codes, held = [], 0
-
-        def counted() -> pa.RecordBatch:
-            code, links = np.unique(np.concatenate(codes), return_counts=True)
-            return pa.RecordBatch.from_pydict({"code": code, "links": links})
-
-        for own, _ in _alignments(batches, sizes):
-            a, b = own.links()
-            codes.append(own.ids[0][a] * len(sizes[1]) + own.ids[1][b])
-            held += len(a)
-            if held >= 1 << 22:
-                yield counted()
-                codes, held = [], 0
-        if held:
-            yield counted()
+        return _linked(batches, token_sizes(a_path, b_path))
 
     n_b = len(pair_of_tokenizers(a_path, b_path)[1].tokens)
     counts = ids.select("a", "b").mapInArrow(run, "code long, links long").groupBy("code").agg(F.sum("links").alias("links"))
@@ -388,8 +397,10 @@ def agreement(ids: DataFrame, counts: DataFrame, a_path: str, b_path: str, heavy
             columns = (keys.take(pa.array(of)), none, none, pa.array(n_best[of]), pa.array(count_sum[of]))
             yield pa.RecordBatch.from_pydict(dict(zip(names, columns, strict=True)))
             if not found.all():  # pairs that are not in the table, once per document
-                rare = np.stack([document[~found], code[~found]])
-                (of, pair), times = np.unique(rare, axis=1, return_counts=True)
+                # One number for both, as sorting numbers is far cheaper than sorting columns.
+                ids = len(sizes[0]) * len(sizes[1])
+                rare, times = np.unique(document[~found] * ids + code[~found], return_counts=True)
+                of, pair = np.divmod(rare, ids)
                 none = pa.nulls(len(of), pa.int64())
                 columns = (keys.take(pa.array(of)), pa.array(pair), pa.array(times), none, none)
                 yield pa.RecordBatch.from_pydict(dict(zip(names, columns, strict=True)))

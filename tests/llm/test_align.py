@@ -4,6 +4,7 @@ import hashlib
 from collections import Counter, defaultdict
 
 import public_tokenizers
+import pyarrow as pa
 from conftest import SF_DIR
 from odd_rows import no_docs, odd_docs  # noqa: F401
 from sentencepiece import SentencePieceProcessor
@@ -104,3 +105,15 @@ def test_long_groups_and_small_chunks(spark, monkeypatch):
     assert [(a, b, c, e) for a, b, c, _, e, *_ in brute(texts)] == list(
         zip(own.counts[0].tolist(), own.counts[1].tolist(), own.texts()[1].tolist(), own.texts()[0], strict=True)
     )
+
+
+def test_links_are_counted_a_bounded_number_at_a_time(monkeypatch):
+    monkeypatch.setattr(tested, "TOKENS_AT_ONCE", 50)
+    monkeypatch.setattr(tested, "LINKS_AT_ONCE", 40)
+    left, right = tested.pair_of_tokenizers(A, B)
+    texts = ["one two three four five six seven eight"] * 30
+    rows = pa.RecordBatch.from_pydict({"a": left.pack(texts), "b": right.pack(texts)})
+    found = list(tested._linked([rows], tested.token_sizes(A, B)))
+    links = [sum(batch.column("links").to_pylist()) for batch in found]
+    assert sum(links) == sum(n for _, _, _, n, *_ in brute(texts))
+    assert len(links) > 1 and max(links) < 40 + 50
