@@ -86,7 +86,7 @@ class Leaf(NamedTuple):
     """A scalar of the payload: as text, and as the VARIANT it was.
 
     Nearly every decision can be made on the text, which is read for all fields
-    of an item at once. `value` parses the item again, so it stands only in
+    of an item at once. `value` is looked up, so it stands only in
     branches for the rest, where the type matters: is a `0` a number or a text?
     It must not stand in a condition, not even behind an `&`: Spark may evaluate
     a common part of conditions ahead of them.

@@ -1,9 +1,9 @@
 """Listing items (JSON text) to rows of the listings table.
 
-Each item is read once, with a schema of texts. Most decisions can be made on
-those; the few that need the JSON type of a value (was a `0` a number or a text,
-was a field null or missing?) parse the item again as VARIANT, in branches that
-ordinary items do not enter (see `Leaf`).
+Each item is read once with a schema of texts and once as VARIANT. Most decisions can
+be made on the texts; the few that need the JSON type of a value (was a `0` a number or
+a text, was a field null or missing?) look into the VARIANT, in branches that ordinary
+items do not enter (see `Leaf`).
 
 An item the payload rules refuse gets an `outcome`: `reject:<field>` is one bad
 item, `fatal:<field>` is a broken shape that ends the walk it came from (see
@@ -72,15 +72,16 @@ def _unless(settled: Column, otherwise: Column) -> Column:
 
 
 class _Reader:
-    """Columns and checks over one opened item (`_item`) and its first price (`_price`)."""
+    """Columns and checks over one opened item (`_item`) and its first price (`_price`),
+    both also as VARIANT (`_exact`, `_exact_price`)."""
 
     def __init__(self, item: str, base_url: str) -> None:
         self.item = F.col(item)
         self.base_url = base_url
-        self.exact = F.try_parse_json(self.item)
+        self.exact = F.col("_exact")
         self.clean = F.col(f"_item.{CORRUPT}").isNull()
         self.price_text = F.get(F.col("_item.listing.pricingInfos"), F.lit(0))
-        self.exact_price = F.try_parse_json(self.price_text)
+        self.exact_price = F.col("_exact_price")
         self.clean_price = F.col(f"_price.{CORRUPT}").isNull()
 
     # --- access ---
@@ -346,8 +347,10 @@ class _Reader:
 class _Projection(NamedTuple):
     """The columns of a parser, made once: they name what they read and fit any table."""
 
+    exact: Column
     opened: Column
     price: Column
+    exact_price: Column
     choices: dict[str, Column]
     checked: dict[str, Column]
     read: dict[str, Column]
@@ -364,8 +367,10 @@ def _projection(application: str, item: str, base_url: str) -> _Projection:
         round2(F.try_divide("preco", "area_construida")),
     )
     return _Projection(
+        held(F.try_parse_json(F.col(item))),
         held(F.from_json(F.col(item), ITEM, READ_OPTIONS)),
         held(F.from_json(reader.price_text, PRICING, READ_OPTIONS)),
+        held(F.try_parse_json(reader.price_text)),
         reader.choices(),
         reader.checked_columns(),
         {name: column.alias(name) for name, column in reader.columns().items()},
@@ -377,14 +382,16 @@ def _projection(application: str, item: str, base_url: str) -> _Projection:
 def project_items(df: DataFrame, base_url: str, item: str = "item") -> DataFrame:
     """Parsed columns plus `outcome`, next to the columns `df` already has.
 
-    The opened item and the outcome are held, so that a later filter on any
-    column neither reads the JSON again nor repeats the checks.
+    The opened item, its VARIANT and the outcome are held, so that neither a later
+    filter nor any number of columns reads the JSON again or repeats the checks.
     """
     kept = [name for name in df.columns if name != item]
     own = _projection(df.sparkSession.sparkContext.applicationId, item, base_url)
     return (
-        df.withColumn("_item", own.opened)
+        df.withColumn("_exact", own.exact)
+        .withColumn("_item", own.opened)
         .withColumn("_price", own.price)
+        .withColumn("_exact_price", own.exact_price)
         .withColumns(own.choices)
         .withColumns(own.checked)
         .select(*kept, *own.checked, *own.read.values(), own.found)

@@ -4,6 +4,7 @@ import copy
 import json
 
 import pytest
+from conftest import plan_of
 
 from listingflow.operators.parse import is_fatal, parse_listings, project_items, stop_at_fatal
 
@@ -249,3 +250,10 @@ def test_parser_is_made_once(spark):
     before = parse._projection.cache_info()
     project_items(rows.withColumn("more", rows.k), "https://once")
     assert parse._projection.cache_info().misses == before.misses
+
+
+def test_an_item_is_read_as_variant_once(spark):
+    """However many columns need the JSON type of a value: it was read again for each of them."""
+    items = spark.createDataFrame([(1, "{}")], "k int, item string")
+    plan = plan_of(project_items(items, BASE).select("preco", "area_construida", "banheiros", "latitude", "outcome"))
+    assert plan.count("parseJson(") == 2  # the item and its first price
