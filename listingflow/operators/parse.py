@@ -22,8 +22,8 @@ from pyspark.sql import functions as F
 from listingflow.dims import UNIT_TYPES
 from listingflow.functions.text import round2
 from listingflow.functions.variants import (
-    Leaf, get, given, given_double, held, is_text, joined, kind, maybe_typed, struct, texts, to_double,
-    to_int, to_text, truthy,
+    Leaf, get, given, given_double, held, held_if_read, is_text, joined, kind, maybe_typed, struct, texts,
+    to_double, to_int, to_text, truthy,
 )
 
 # Schema of an item. Spark fills CORRUPT if any value has another shape.
@@ -367,10 +367,10 @@ def _projection(application: str, item: str, base_url: str) -> _Projection:
         round2(F.try_divide("preco", "area_construida")),
     )
     return _Projection(
-        held(F.try_parse_json(F.col(item))),
+        held_if_read(F.try_parse_json(F.col(item))),
         held(F.from_json(F.col(item), ITEM, READ_OPTIONS)),
-        held(F.from_json(reader.price_text, PRICING, READ_OPTIONS)),
-        held(F.try_parse_json(reader.price_text)),
+        held_if_read(F.from_json(reader.price_text, PRICING, READ_OPTIONS)),
+        held_if_read(F.try_parse_json(reader.price_text)),
         reader.choices(),
         reader.checked_columns(),
         {name: column.alias(name) for name, column in reader.columns().items()},
@@ -383,19 +383,19 @@ def project_items(df: DataFrame, base_url: str, item: str = "item") -> DataFrame
     """Parsed columns plus `outcome`, next to the columns `df` already has.
 
     The opened item, its VARIANT and the outcome are held, so that neither a later
-    filter nor any number of columns reads the JSON again or repeats the checks.
+    filter nor any number of columns reads the JSON again or repeats the checks. Checks
+    and readings that none of the columns asked for looks at are pruned.
     """
     kept = [name for name in df.columns if name != item]
     own = _projection(df.sparkSession.sparkContext.applicationId, item, base_url)
     return (
         df.withColumn("_exact", own.exact)
         .withColumn("_item", own.opened)
-        .withColumn("_price", own.price)
-        .withColumn("_exact_price", own.exact_price)
+        .withColumns({"_price": own.price, "_exact_price": own.exact_price})
         .withColumns(own.choices)
         .withColumns(own.checked)
         .select(*kept, *own.checked, *own.read.values(), own.found)
-        .select(*kept, *own.checked, *own.read, held(F.col("_found")).alias(OUTCOME))
+        .select(*kept, *own.checked, *own.read, held_if_read(F.col("_found")).alias(OUTCOME))
         .withColumn("preco_por_m2", own.per_m2)
     )
 

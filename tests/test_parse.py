@@ -257,3 +257,21 @@ def test_an_item_is_read_as_variant_once(spark):
     items = spark.createDataFrame([(1, "{}")], "k int, item string")
     plan = plan_of(project_items(items, BASE).select("preco", "area_construida", "banheiros", "latitude", "outcome"))
     assert plan.count("parseJson(") == 2  # the item and its first price
+
+
+def test_only_what_is_asked_for_is_read(spark):
+    """The checks, and the price with its VARIANT, were worked out for every column."""
+    rows = project_items(spark.createDataFrame([(1, json.dumps(ITEM))], "k int, item string"), BASE)
+    point, contract = rows.select("latitude"), rows.select("contract_type")
+    assert plan_of(point).count("parseJson(") == 1 and "iptuPeriod" not in plan_of(point)
+    assert plan_of(contract).count("parseJson(") == 0 and plan_of(contract).count("from_json(") == 2
+    assert [r.latitude for r in point.collect()] == [-23.5]
+    assert [r.contract_type for r in contract.collect()] == ["SALE"]
+
+
+def test_a_filter_does_not_read_again(spark):
+    rows = project_items(spark.createDataFrame([(1, json.dumps(ITEM))], "k int, item string"), BASE)
+    found = rows.where("preco > 1 AND outcome IS NULL AND tipo = 'apartamento'").select("k", "preco")
+    plan = plan_of(found)
+    assert plan.count("parseJson(") == 2 and plan.count("from_json(") == 2
+    assert [tuple(r) for r in found.collect()] == [(1, 949.3)]
