@@ -21,11 +21,13 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 
-from listingflow.llm.common import prepare, records
+from listingflow.llm.common import hold_alone, prepare, records
 
-# Distinct pieces and token pairs that a worker remembers before it starts anew.
-CACHE_PIECES = 600_000
-CACHE_PAIRS = 1_000_000
+# Distinct chunks, pieces and token pairs that a worker remembers: as many again are
+# kept for as long as they are asked for. Some 100 MB in a worker at most.
+CACHE_CHUNKS = 200_000
+CACHE_PIECES = 100_000
+CACHE_PAIRS = 200_000
 
 # A space between two characters that are none always begins a piece: no
 # alternative of the splitting pattern holds a space behind another character,
@@ -54,19 +56,28 @@ def merge(piece: bytes, ranks: dict[bytes, int]) -> list[bytes]:
 
 
 class Remembered(dict):
-    """Results by argument; long arguments are rare and not kept."""
+    """The latest `size` results by argument, and the `size` before them until they are
+    replaced; of those, what is asked for again stays. Long arguments are rare and not kept."""
 
-    def __init__(self, make: Callable[[str], bytes]):
-        self.make = make
+    def __init__(self, make: Callable[[str], bytes], size: int):
+        self.make, self.size = make, size
+        self.older: dict[str, bytes] = {}
 
     def __missing__(self, key: str) -> bytes:
-        value = self.make(key)
+        value = self.older.pop(key, None)
+        if value is None:
+            value = self.make(key)
         if len(key) <= 48:
-            if len(self) >= CACHE_PIECES:
+            if len(self) >= self.size:
+                self.older = dict(self)
                 self.clear()
             self[key] = value
         return value
 
+    def forget(self) -> None:
+        self.clear()
+        self.older = {}
+
 
 class Encoder:
     """Encodes and decodes with the ranks of one vocabulary file."""
@@ -88,8 +99,13 @@ class Encoder:
             self.matcher.add_word(token.decode("latin-1"), rank)
         self.matcher.make_automaton()
         self.pairs: dict[int, bool] = {}
-        self.pieces = Remembered(self.pack_piece)
-        self.chunks = Remembered(lambda chunk: self.pack_chunk(" " + chunk))
+        self.pieces = Remembered(self.pack_piece, CACHE_PIECES)
+        self.chunks = Remembered(lambda chunk: self.pack_chunk(" " + chunk), CACHE_CHUNKS)
+
+    def forget(self) -> None:
+        self.pairs.clear()
+        self.pieces.forget()
+        self.chunks.forget()
 
     def compatible(self, left: int, right: int) -> bool:
         """Whether merging the two tokens' bytes gives these two tokens again."""
@@ -168,6 +184,7 @@ def encode_decode(
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = encoder(ranks_path, pattern)
+        hold_alone(own.forget)
         for batch in batches:
             rows = []
             for (value,) in records(batch, text):

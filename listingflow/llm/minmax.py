@@ -25,7 +25,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from listingflow.llm.common import prepare, records, stored, words
+from listingflow.llm.common import hold_alone, prepare, records, stored, words
 from listingflow.llm.components import components
 
 SEED = 20240229
@@ -51,6 +51,10 @@ class _Hashes(dict):
 _HASHES = _Hashes()
 
 
+def _begin() -> None:
+    hold_alone(_HASHES.clear)
+
+
 def _mix(x: np.ndarray) -> np.ndarray:
     """A bijection of 64-bit numbers that spreads every bit (the splitmix finaliser)."""
     x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
@@ -123,6 +127,7 @@ def _sign(docs: DataFrame, id: str, text: str, size: int, rows: int, bands: int)
     """(id, n_shingles, digest of the set, band keys) of every document."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        _begin()
         for batch in batches:
             sets = [shingle_set(value, size) for (value,) in records(batch, text)]
             full = [s for s in sets if len(s)]
@@ -145,6 +150,7 @@ def _sets(docs: DataFrame, text: str, size: int) -> DataFrame:
     """(digest, shingles): the full sets of documents, each set once."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        _begin()
         for batch in batches:
             sets = [shingle_set(value, size) for (value,) in records(batch, text)]
             yield pa.RecordBatch.from_pydict(

@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from listingflow.llm.common import prepare, records, stored
+from listingflow.llm.common import hold_alone, prepare, records, stored
 
 # At most about so many positives are learned from, and about so many unlabelled texts
 # give the start; the pass after it takes all unlabelled texts.
@@ -181,6 +181,7 @@ def _matrix(rows: list[bytes]) -> np.ndarray:
 
 def _featured(docs: DataFrame, text: str) -> DataFrame:
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hold_alone()
         for batch in batches:
             rows = [features(value).tobytes() for (value,) in records(batch, text)]
             yield pa.RecordBatch.from_pydict({"features": pa.array(rows, pa.binary())})
@@ -214,6 +215,7 @@ def _in_one_task(samples: DataFrame, work: Callable[[np.ndarray, np.ndarray], tu
     """What `work` makes of the two bounded samples, in a task."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hold_alone()
         rows: dict[int, list[bytes]] = {0: [], 1: []}
         for batch in batches:
             for kind, row in records(batch, "kind", "features"):
@@ -262,6 +264,7 @@ def _all_bins(docs: DataFrame, text: str, model: np.ndarray, mean: np.ndarray, s
     """How many of all texts score in each bin."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hold_alone()
         counts = np.zeros(BINS, np.int64)
         for batch in batches:
             rows = np.array([features(value) for (value,) in records(batch, text)], np.float32).reshape(-1, N_FEATURES)
@@ -282,6 +285,7 @@ def _all_rows(
     del rows
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hold_alone()
         positive = (np.frombuffer(trusted.value, np.float32).reshape(-1, N_FEATURES) - mean) / scale
         draw = np.random.default_rng(SEED)
         risk = Risk(start, prior)
@@ -325,6 +329,7 @@ def score(docs: DataFrame, model: tuple[np.ndarray, float], id: str = "doc_id",
     kind = docs.schema[id].dataType.simpleString()
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hold_alone()
         for batch in batches:
             found = np.array([features(value) @ weights for (value,) in records(batch, text)], float)
             yield pa.RecordBatch.from_pydict(
@@ -340,6 +345,7 @@ def keep_good(docs: DataFrame, model: tuple[np.ndarray, float], threshold: float
     weights, bias = model
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hold_alone()
         for batch in batches:
             found = np.array([features(value) @ weights for (value,) in records(batch, text)], float)
             yield batch.filter(pa.array(sigmoid(found + bias) >= threshold))
