@@ -16,6 +16,7 @@ import os
 import re
 from collections.abc import Iterable, Iterator
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -23,7 +24,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from listingflow.llm.common import prepare, stored
+from listingflow.llm.common import hold_alone, prepare, stored
 
 # Linked pairs of ids whose counts go to every task; all others are joined. None of
 # the others holds more than one link in HEAVY, so no key of that join is hot.
@@ -31,12 +32,16 @@ HEAVY = 1 << 18
 # Bounds of what a worker holds at once: bytes of text to encode, chunks remembered
 # and encoded in one call, tokens aligned (one longer document goes alone), links counted.
 TEXT_AT_ONCE = 1 << 19
-CACHE_CHUNKS = 40_000
+CACHE_CHUNKS = 100_000
 CHUNKS_AT_ONCE = 4096
+CHUNKS_IN_TEXT = 128
+# Tells the ids of the second tokenizer among those of both.
+MARK = np.uint32(1 << 31)
 TOKENS_AT_ONCE = 1 << 17
 LINKS_AT_ONCE = 1 << 20
 
-# A space between two characters that are none begins a piece in byte-level BPE.
+# A space between two characters that are none begins a piece in byte-level BPE, and in
+# a vocabulary whose pieces hold spaces at their start only (see `Pieces.by_chunk`).
 SINGLE_SPACE = re.compile(r" (?<=\S )(?=\S)")
 
 
@@ -66,8 +71,6 @@ class ByteLevel:
             if all(c in alphabet for c in entry):
                 self.tokens[number] = bytes(alphabet[c] for c in entry)
         self.sizes = np.array([len(token) for token in self.tokens], np.int64)
-        self.known: dict[str, bytes | None] = {}
-        self.older: dict[str, bytes | None] = {}
 
     def _ids(self, text: str) -> np.ndarray | None:
         """Ids of a text; None if they do not give its bytes again."""
@@ -79,53 +82,16 @@ class ByteLevel:
         ids = self._ids(text)
         return None if ids is None else ids.tobytes()
 
-    def _learn(self, chunks: list[str]) -> None:
-        """Remember the ids of chunks that stand behind a space.
-
-        A chunk that neither begins nor ends with white space is a text by itself, so
-        many are encoded in one call and told apart by the bytes of their tokens.
-        """
-        plain = [c for c in chunks if c and not (c[0].isspace() or c[-1].isspace())]
-        for at in range(0, len(plain), CHUNKS_AT_ONCE):
-            some = plain[at : at + CHUNKS_AT_ONCE]
-            ids = self._ids(" " + " ".join(some))
-            if ids is None:
-                self.known.update((chunk, self._one(" " + chunk)) for chunk in some)
-                continue
-            ends = np.cumsum([len(chunk.encode()) + 1 for chunk in some])
-            cuts = np.searchsorted(np.cumsum(self.sizes[ids]), ends, "left") + 1
-            packed = ids.tobytes()
-            begins = [0, *(4 * cuts).tolist()]
-            self.known.update(zip(some, (packed[x:y] for x, y in zip(begins, begins[1:], strict=False)), strict=True))
-        odd = [c for c in chunks if not c or c[0].isspace() or c[-1].isspace()]
-        self.known.update((chunk, self._one(" " + chunk)) for chunk in odd)
-
     def pack(self, texts: list[str]) -> list[bytes | None]:
         """Ids of each text with a space before it, as little-endian 32-bit integers.
 
-        None if they do not give the text's bytes again. No piece spans a single space
-        between two words, so what stands between such spaces is encoded once and
-        remembered; of many chunks only those stay that come again.
+        None if they do not give the text's bytes again.
         """
-        parts = [SINGLE_SPACE.split(text) for text in texts]
-        if len(self.known) > CACHE_CHUNKS:
-            self.known, self.older = {}, self.known
-        known = self.known
-        new = set().union(*parts) - known.keys()
-        again = new & self.older.keys()
-        known.update((chunk, self.older.pop(chunk)) for chunk in again)
-        new = list(new - again)
-        self._learn(new)
-        packed: list[bytes | None] = []
-        for own in parts:
-            try:
-                packed.append(b"".join(map(known.__getitem__, own)))
-            except TypeError:  # a chunk is not given back
-                packed.append(None)
-        for chunk in new:
-            if len(chunk) > 64:  # long chunks are rare and not kept
-                del known[chunk]
-        return packed
+        return [self._one(" " + text) for text in texts]
+
+    def joined(self, chunks: list[str]) -> np.ndarray | None:
+        """Ids of chunks that stand behind a space each; None if they do not give the bytes again."""
+        return self._ids(" " + " ".join(chunks))
 
 
 class Pieces:
@@ -147,6 +113,8 @@ class Pieces:
 
         self.sizes = np.array([len(token) for token in self.tokens], np.int64)
         self.bytes = np.frombuffer(b"".join(self.tokens), np.uint8)
+        # Whether a piece that holds a space behind its start is one of spaces alone.
+        self.by_chunk = all(b" " not in token[1:] or not token.strip(b" ") for token in self.tokens)
         self.at = np.cumsum(self.sizes) - self.sizes
 
     def pack(self, texts: list[str]) -> list[bytes | None]:
@@ -154,14 +122,98 @@ class Pieces:
         the bytes of the text with a space before it again."""
         return [self._whole(np.array(ids, "<u4"), text) for ids, text in zip(self.own.encode(texts, num_threads=1), texts, strict=True)]
 
+    def joined(self, chunks: list[str]) -> np.ndarray | None:
+        """Ids of chunks that stand behind a space each; None if they do not give the bytes again."""
+        texts = [" ".join(chunks[at : at + CHUNKS_IN_TEXT]) for at in range(0, len(chunks), CHUNKS_IN_TEXT)]
+        ids = np.fromiter(chain.from_iterable(self.own.encode(texts, num_threads=1)), "<u4")
+        return ids if self._gives(ids, " ".join(texts)) else None
+
     def _whole(self, ids: np.ndarray, text: str) -> bytes | None:
+        return ids.tobytes() if self._gives(ids, text) else None
+
+    def _gives(self, ids: np.ndarray, text: str) -> bool:
+        """Whether the ids give the bytes of the text with a space before it."""
         data = np.frombuffer(b" " + text.encode(), np.uint8)
         sizes = self.sizes[ids]
         ends = np.cumsum(sizes)
         if not len(ids) or ends[-1] != len(data):
-            return None
+            return False
         places = np.repeat(self.at[ids] - ends + sizes, sizes) + np.arange(len(data))
-        return ids.tobytes() if np.array_equal(self.bytes[places], data) else None
+        return np.array_equal(self.bytes[places], data)
+
+
+class Both:
+    """The ids of two tokenizers for whole texts, by chunks between single spaces.
+
+    No piece of either tokenizer spans a single space between two characters that are
+    none, so what stands between such spaces is encoded once and remembered; of many
+    chunks only those stay that come again.
+    """
+
+    def __init__(self, left: ByteLevel, right: Pieces):
+        self.left, self.right = left, right
+        # Per chunk the ids of the left, then those of the right one with MARK.
+        self.known: dict[str, bytes | None] = {}
+        self.older: dict[str, bytes | None] = {}
+
+    def forget(self) -> None:
+        self.known, self.older = {}, {}
+
+    def _learn(self, chunks: list[str]) -> None:
+        """Remember the ids of chunks that stand behind a space.
+
+        A chunk that neither begins nor ends with white space is a text by itself, so
+        many are encoded in one call and told apart by the bytes of their tokens.
+        """
+        plain = [c for c in chunks if c and not (c[0].isspace() or c[-1].isspace())]
+        odd = [c for c in chunks if not c or c[0].isspace() or c[-1].isspace()]
+        for at in range(0, len(plain), CHUNKS_AT_ONCE):
+            some = plain[at : at + CHUNKS_AT_ONCE]
+            a = self.left.joined(some)
+            b = None if a is None else self.right.joined(some)
+            if b is None:
+                odd += some
+                continue
+            ends = np.cumsum([len(chunk.encode()) + 1 for chunk in some])
+            of = np.concatenate([np.searchsorted(ends, np.cumsum(own.sizes[ids])) for own, ids in ((self.left, a), (self.right, b))])
+            packed = np.concatenate([a, b | MARK])[np.argsort(of, kind="stable")].tobytes()
+            cuts = [0, *(4 * np.cumsum(np.bincount(of, minlength=len(some)))).tolist()]
+            self.known.update(zip(some, (packed[x:y] for x, y in zip(cuts, cuts[1:], strict=False)), strict=True))
+        for chunk, a, b in zip(odd, self.left.pack(odd), self.right.pack(odd), strict=True):
+            whole = a is not None and b is not None
+            self.known[chunk] = a + (np.frombuffer(b, "<u4") | MARK).tobytes() if whole else None
+
+    def pack(self, texts: list[str]) -> list[tuple[bytes, bytes]]:
+        """Packed ids of both for each text, empty if either does not give the text's bytes again."""
+        if not self.right.by_chunk:
+            both = zip(texts, self.left.pack(texts), self.right.pack(texts), strict=True)
+            return [(a, b) if text and a is not None and b is not None else (b"", b"") for text, a, b in both]
+        parts = [SINGLE_SPACE.split(text) for text in texts]
+        if len(self.known) > CACHE_CHUNKS:
+            self.known, self.older = {}, self.known
+        known, older = self.known, self.older
+        new = set().union(*parts) - known.keys()
+        again = new & older.keys()
+        known.update((chunk, older.pop(chunk)) for chunk in again)
+        new = list(new - again)
+        self._learn(new)
+        packed = []
+        for text, own in zip(texts, parts, strict=True):
+            try:
+                packed.append(b"".join(map(known.__getitem__, own)) if text else b"")
+            except TypeError:  # a chunk is not given back
+                packed.append(b"")
+        for chunk in new:
+            if len(chunk) > 64:  # long chunks are rare and not kept
+                del known[chunk]
+        ids = np.frombuffer(b"".join(packed), "<u4")
+        cuts = np.cumsum([0, *(len(own) // 4 for own in packed)])
+        right = ids >= MARK
+        before = np.concatenate([[0], np.cumsum(right)])[cuts]
+        a, b = ids[~right].tobytes(), (ids[right] & ~MARK).tobytes()
+        ranges = ((4 * at).tolist() for at in (cuts - before, before))
+        a, b = ([own[x:y] for x, y in zip(at, at[1:], strict=False)] for own, at in zip((a, b), ranges, strict=True))
+        return list(zip(a, b, strict=True))
 
 
 @lru_cache(maxsize=2)
@@ -170,6 +222,11 @@ def pair_of_tokenizers(a_path: str, b_path: str) -> tuple[ByteLevel, Pieces]:
     return ByteLevel(a_path), Pieces(b_path)
 
 
+@lru_cache(maxsize=2)
+def both_tokenizers(a_path: str, b_path: str) -> Both:
+    return Both(*pair_of_tokenizers(a_path, b_path))
+
+
 def encoded(docs: DataFrame, a_path: str, b_path: str, id: str = "doc_id", text: str = "text") -> DataFrame:
     """(id, key, a, b): the ids of both tokenizers for every whole text, stored.
 
@@ -182,14 +239,11 @@ def encoded(docs: DataFrame, a_path: str, b_path: str, id: str = "doc_id", text:
     kind = docs.schema[id].dataType.simpleString()
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        left, right = pair_of_tokenizers(a_path, b_path)
-
-        def pairs(texts: list[str]) -> Iterator[tuple[bytes, bytes]]:
-            for text, a, b in zip(texts, left.pack(texts), right.pack(texts), strict=True):
-                yield (a, b) if text and a is not None and b is not None else (b"", b"")
+        both = both_tokenizers(a_path, b_path)
+        hold_alone(both.forget)
 
         def packed(rows: pa.RecordBatch) -> pa.RecordBatch:
-            found = list(pairs([value or "" for value in rows.column(text).to_pylist()]))
+            found = both.pack([value or "" for value in rows.column(text).to_pylist()])
             return pa.RecordBatch.from_pydict(
                 {
                     id: rows.column(id),
@@ -388,18 +442,22 @@ def agreement(ids: DataFrame, counts: DataFrame, a_path: str, b_path: str, heavy
             code = own.ids[0][a] * len(sizes[1]) + own.ids[1][b]
             at = np.minimum(np.searchsorted(codes, code), max(len(codes) - 1, 0))
             found = codes[at] == code if len(codes) else np.zeros(len(code), bool)
-            n_best, count_sum = np.zeros((2, own.documents), np.int64)
-            np.add.at(n_best, document[found], best[at[found]])
-            np.add.at(count_sum, document[found], links[at[found]])
+            # Links follow each other by document, so its sums are differences of running sums.
+            ends = np.cumsum(np.bincount(document, minlength=own.documents))
+            own_best = best[at] & found if len(codes) else found
+            own_links = np.where(found, links[at], 0) if len(codes) else np.zeros(len(code), np.int64)
+            sums = (np.concatenate([[0], np.cumsum(x, dtype=np.int64)])[ends] for x in (own_best, own_links))
+            n_best, count_sum = (np.diff(x, prepend=0) for x in sums)
             of = np.flatnonzero(count_sum)
             none = pa.nulls(len(of), pa.int64())
             keys = rows.column("key")
             columns = (keys.take(pa.array(of)), none, none, pa.array(n_best[of]), pa.array(count_sum[of]))
             yield pa.RecordBatch.from_pydict(dict(zip(names, columns, strict=True)))
-            if not found.all():  # pairs that are not in the table, once per document
+            missing = np.flatnonzero(~found)
+            if len(missing):  # pairs that are not in the table, once per document
                 # One number for both, as sorting numbers is far cheaper than sorting columns.
                 ids = len(sizes[0]) * len(sizes[1])
-                rare, times = np.unique(document[~found] * ids + code[~found], return_counts=True)
+                rare, times = np.unique(document[missing] * ids + code[missing], return_counts=True)
                 of, pair = np.divmod(rare, ids)
                 none = pa.nulls(len(of), pa.int64())
                 columns = (keys.take(pa.array(of)), pa.array(pair), pa.array(times), none, none)
